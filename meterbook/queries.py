@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from meterbook.functions.rules import MONEY, business_days_add
+from meterbook.functions.rules import business_days_add
 from meterbook.operators import (
     accounts as acc,
     arrangements as arr,
@@ -509,13 +510,10 @@ def validated_lookup(t):
 
 
 def _missing(t: Tables) -> DataFrame:
-    rows = txn.missing_system_txns(t.bills, t.bill_lines, CODE, CUTOFF)
-    return rows.withColumn("wap", F.col("wap").cast(MONEY))
+    return txn.missing_system_txns(t.bills, t.bill_lines, CODE, CUTOFF)
 
 
 def _scratch() -> str:
-    import uuid
-
     return f"meterbook-{uuid.uuid4().hex}"
 
 

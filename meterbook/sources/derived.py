@@ -312,7 +312,7 @@ DERIVED: dict[str, str] = {
     # ---- literal seeds spread over the events --------------------------------------------
     "crosswalk": _values("integ_key, external_value, internal_code", CROSSWALK),
     "external_codes": """
-        select event_id, case when event_id % 6 = 0 then 26 else 25 end as integ_key,
+        select event_id,
                cast(case when event_id % 3 = 0 then 250 + event_id % 20 else 440 + event_id % 45 end as varchar(8))
                    as external_value
         from {events}""",
