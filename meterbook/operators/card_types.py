@@ -62,11 +62,19 @@ def recode(
     df: DataFrame, column: str, pairs: Sequence[tuple[str, str]] = RECODES, ignore_case: bool = False
 ) -> DataFrame:
     """Replace texts by codes, one pair after the other (a later pair sees earlier results)."""
-    value = F.col(column)
-    for old, new in pairs:
-        here = F.upper(value) == old.upper() if ignore_case else value == old
-        value = F.when(here, F.lit(new)).otherwise(value)
-    return df.withColumn(column, value)
+
+    def same(text: str) -> str:
+        return text.upper() if ignore_case else text
+
+    value = F.upper(F.col(column)) if ignore_case else F.col(column)
+    result = F.when(F.lit(False), F.col(column))
+    for start, (old, _) in enumerate(pairs):
+        # what this text ends up as once the remaining pairs have been applied to it
+        code = old
+        for text, new in pairs[start:]:
+            code = new if same(code) == same(text) else code
+        result = result.when(value == same(old), F.lit(code))
+    return df.withColumn(column, result.otherwise(F.col(column)))
 
 
 def expand(card_types: DataFrame, pairs: Sequence[tuple[str, str]] = EXPANSIONS) -> DataFrame:

@@ -21,9 +21,9 @@ RANK_PUSHDOWN = 1000
 
 
 def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of the tables a DataFrame reads, from the optimizer's statistics."""
+    """Bytes of the tables a DataFrame reads, from their statistics; no job runs."""
     try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     except AttributeError:  # no local planner to ask
         return None
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
