@@ -94,21 +94,26 @@ def join_keyed(
     return sliced.join(repeated, [*on, "_slice"], how).drop("_slice")
 
 
-def exclude_listed(
+def flag_unlisted(
     rows: DataFrame,
     column: str,
     values: DataFrame,
     value: str,
+    name: str,
     per: Sequence[str] = (),
     row_id: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``column NOT IN (values)`` with SQL's NULL rules, per group if ``per`` is given.
+    """Add the truth of ``column NOT IN (values)``, with SQL's NULL rules, as a column.
 
-    An empty list keeps every row, a list with a NULL keeps none, and a row whose
-    own value is NULL is kept only by an empty list.
+    True for every row when the list is empty; never true when it holds a NULL, nor,
+    unless it is empty, for a row whose own value is NULL. ``per`` keeps one list per key.
     """
     values = values.select(*per, F.col(value).alias("_v"))
-    listing = values.filter(F.col("_v").isNotNull()).distinct().withColumnRenamed("_v", column)
+    listing = (
+        values.filter(F.col("_v").isNotNull())
+        .distinct()
+        .select(*per, F.col("_v").alias(column), F.lit(True).alias("_listed"))
+    )
     if per:
         about = values.groupBy(*per).agg(F.count(F.lit(1)).alias("_n"), F.count("_v").alias("_known"))
         rows = join_keyed(rows, about, per, "left", row_id)
@@ -116,8 +121,24 @@ def exclude_listed(
     else:
         n = values.agg(F.count(F.lit(1))).scalar()
         known = values.agg(F.count("_v")).scalar()
-    kept = rows.filter((n == 0) | ((n == known) & F.col(column).isNotNull())).drop("_n", "_known")
-    return join_keyed(kept, listing, [*per, column], "left_anti", row_id)
+    unlisted = (n == known) & F.col(column).isNotNull() & F.col("_listed").isNull()
+    return (
+        join_keyed(rows, listing, [*per, column], "left", row_id)
+        .withColumn(name, F.coalesce((n == 0) | unlisted, F.lit(False)))
+        .drop("_n", "_known", "_listed")
+    )
+
+
+def exclude_listed(
+    rows: DataFrame,
+    column: str,
+    values: DataFrame,
+    value: str,
+    per: Sequence[str] = (),
+    row_id: Sequence[str] | None = None,
+) -> DataFrame:
+    """The rows for which ``column NOT IN (values)`` is true (see :func:`flag_unlisted`)."""
+    return flag_unlisted(rows, column, values, value, "_unlisted", per, row_id).filter("_unlisted").drop("_unlisted")
 
 
 def top_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from meterbook.functions.rules import or_zero, total
-from meterbook.operators.joins import exclude_listed, join_keyed, top_per_key
+from meterbook.functions.rules import total
+from meterbook.operators.joins import exclude_listed, flag_unlisted, join_keyed, top_per_key
 
 ACCOUNT = ["customer", "account"]
 
@@ -94,16 +94,28 @@ def last_payment(
     date. Done without a per-account sort: the newest position of each batch gives
     the first batch and the position where the run stops, and one more pass sums.
     """
-    paid = settled(payments)
-    cash = batches.filter(F.col("transaction_type") == "CA").select("batch_id").distinct()
-    listed = join_keyed(
-        paid.filter(F.rtrim("ar_code") != ""), cash, ["batch_id"], "left_semi", ["trans_num"]
+    cash = (
+        batches.filter(F.col("transaction_type") == "CA").select("batch_id").distinct().withColumn("_cash", F.lit(True))
     )
+    paid = join_keyed(
+        settled(payments).select(
+            *ACCOUNT, "trans_num", "batch_id", "trans_code", "ar_code", "pay_date", "amount"
+        ),
+        cash,
+        ["batch_id"],
+        "left",
+        ["trans_num"],
+    )
+    listed = F.col("_cash").isNotNull() & (F.rtrim("ar_code") != "")
     if deposit_codes is not None:
-        listed = exclude_listed(listed, "trans_code", deposit_codes, "deposit_code", row_id=["trans_num"])
+        paid = flag_unlisted(paid, "trans_code", deposit_codes, "deposit_code", "_no_deposit", row_id=["trans_num"])
+        listed = listed & F.col("_no_deposit")
+    paid = paid.select(
+        *ACCOUNT, "trans_num", "batch_id", "pay_date", "amount", F.coalesce(listed, F.lit(False)).alias("listed")
+    )
 
     position = F.struct("pay_date", "trans_num")
-    by_batch = listed.groupBy(*ACCOUNT, "batch_id").agg(F.max(position).alias("pos"))
+    by_batch = paid.filter("listed").groupBy(*ACCOUNT, "batch_id").agg(F.max(position).alias("pos"))
     first_two = top_per_key(by_batch, ACCOUNT, [F.desc("pos")], 2)
     run = first_two.groupBy(*ACCOUNT).agg(
         F.max_by("batch_id", "pos").alias("first_batch"),
@@ -111,28 +123,20 @@ def last_payment(
         F.when(F.count(F.lit(1)) == 2, F.min("pos")).alias("stop_pos"),
     )
 
-    # the rows of the run itself, and of the first date where the batch is -1
     whole_day = (F.col("first_batch") == -1) & (F.col("pay_date") == F.col("first_pos.pay_date"))
     in_run = (
-        (F.col("first_batch") != -1)
+        F.col("listed")
+        & (F.col("first_batch") != -1)
         & (F.col("batch_id") == F.col("first_batch"))
         & (F.col("stop_pos").isNull() | (position > F.col("stop_pos")))
     )
-    run_sum = (
-        join_keyed(listed, run, ACCOUNT, "inner", ["trans_num"])
-        .filter(in_run)
-        .groupBy(*ACCOUNT)
-        .agg(total(F.col("amount")).alias("part"))
-    )
-    day_sum = (
-        join_keyed(paid, run.filter("first_batch = -1"), ACCOUNT, "inner", ["trans_num"])
-        .filter(whole_day)
+    # the first payment itself always qualifies, so every account with a run has a sum
+    return (
+        join_keyed(paid, run, ACCOUNT, "inner", ["trans_num"])
+        .filter(whole_day | in_run)
         .groupBy(*ACCOUNT)
-        .agg(total(F.col("amount")).alias("part"))
-    )
-    amounts = run_sum.unionByName(day_sum)
-    return run.join(amounts, ACCOUNT, "left").select(
-        *ACCOUNT,
-        or_zero(F.col("part")).alias("payment_amount"),
-        F.col("first_pos.pay_date").alias("payment_date"),
+        .agg(
+            total(F.col("amount")).alias("payment_amount"),
+            F.max("first_pos.pay_date").alias("payment_date"),
+        )
     )

@@ -17,23 +17,20 @@ def before_due_payments(ar_txns: DataFrame, lines: DataFrame, trans_codes: DataF
     ``state`` has one row per account with ``calc_ts``.
     """
     since = F.col("trans_date") >= F.col("calc_ts")
-    recent = join_keyed(
-        ar_txns.filter(F.col("amount") != 0).select(
-            *ACCOUNT, "trans_num", "bill_number", "trans_code", "amount", "trans_date", "is_statement"
-        ),
-        state.select(*ACCOUNT, "calc_ts"),
-        ACCOUNT,
-        "inner",
-        ["trans_num"],
-    ).filter(since)
-    paid = recent.filter((F.col("amount") < 0) & (F.col("bill_number") == 0))
-    paid = exclude_listed(paid, "trans_num", lines, "trans_num", per=["account"], row_id=["trans_num"])
+    state = state.select(*ACCOUNT, "calc_ts")
+    fields = [*ACCOUNT, "trans_num", "trans_code", "amount", "trans_date"]
+
+    # both kinds are narrowed by what their own row tells before any row is moved
+    paid = ar_txns.filter((F.col("amount") < 0) & (F.col("bill_number") == 0)).select(fields)
     adjustments = trans_codes.filter(F.col("transaction_type") == "AD")
     paid = exclude_listed(paid, "trans_code", adjustments, "trans_code", row_id=["trans_num"])
+    paid = join_keyed(paid, state, ACCOUNT, "inner", ["trans_num"]).filter(since).drop("calc_ts")
+    paid = exclude_listed(paid, "trans_num", lines, "trans_num", per=["account"], row_id=["trans_num"])
+
     aged = trans_codes.filter("use_original_age").select("trans_code").distinct()
-    returned = join_keyed(
-        recent.filter((F.col("amount") > 0) & ~F.col("is_statement")), aged, ["trans_code"], "left_semi", ["trans_num"]
-    )
+    returned = ar_txns.filter((F.col("amount") > 0) & ~F.col("is_statement")).select(fields)
+    returned = join_keyed(returned, aged, ["trans_code"], "left_semi", ["trans_num"])
+    returned = join_keyed(returned, state, ACCOUNT, "inner", ["trans_num"]).filter(since).drop("calc_ts")
     columns = [*ACCOUNT, "amount"]
     return (
         paid.select(columns)

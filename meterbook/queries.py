@@ -36,6 +36,9 @@ TYPE, DIVISION, SERVICE = "BU", "02", "30"
 CODE, CUTOFF = "RF", "2000-01-01"
 STAGED_START = "2023-01-01"
 
+# the aggregation behind the bill lines and receivables; plans that read those several times store it first
+LEDGERS = ("bill_txns",)
+
 Query = Callable[[Tables], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -402,6 +405,7 @@ def disconnect_date_business(t):
 
 @query
 def amount_due_before_due_date(t):
+    t.stored(*LEDGERS)
     waiting = pay.pending_payments(t.payments, t.trans_codes, t.ext_pending)
     return rec.amount_due_before_due_date(t.accounts, t.bills, t.ar_txns, t.bill_lines, t.trans_codes, waiting)
 
@@ -451,17 +455,17 @@ def nsf_amount(t):
 
 @query
 def past_due(t):
-    return due.past_due(t, AS_OF)
+    return due.past_due(t.stored(*LEDGERS), AS_OF)
 
 
 @query
 def past_due_plain(t):
-    return due.past_due(t, AS_OF, notice_codes=False)
+    return due.past_due(t.stored(*LEDGERS), AS_OF, notice_codes=False)
 
 
 @query
 def past_due_v1(t):
-    return due.past_due_v1(t, AS_OF)
+    return due.past_due_v1(t.stored(*LEDGERS), AS_OF)
 
 
 @query
@@ -481,17 +485,17 @@ def comment_restrictions_v1(t):
 
 @query
 def ivr_status(t):
-    return summary.ivr_status(t, AS_OF)
+    return summary.ivr_status(t.stored(*LEDGERS), AS_OF)
 
 
 @query
 def account_summary(t):
-    return summary.account_summary(t, AS_OF, PHONES)
+    return summary.account_summary(t.stored(*LEDGERS), AS_OF, PHONES)
 
 
 @query
 def account_summary_v1(t):
-    return summary.account_summary_v1(t, AS_OF, PHONES)
+    return summary.account_summary_v1(t.stored(*LEDGERS), AS_OF, PHONES)
 
 
 @query

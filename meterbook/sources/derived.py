@@ -11,6 +11,7 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterbook.session import materialize
 from meterbook.sources.seeds import CARD_TYPES, CROSSWALK
 from meterbook.sources.tables import load
 
@@ -156,7 +157,8 @@ DERIVED: dict[str, str] = {
         from {orders}""",
     "bill_txns": """
         select l_orderkey + 1 as bill_number, (l_orderkey + 1) * 10 + l_linenumber as trans_num,
-               max(l_returnflag || l_linestatus) as trans_code,
+               substr('AFAONFNORFRO', 1 + 2 * max(case l_returnflag when 'A' then 0 when 'N' then 2 else 4 end
+                                                + case l_linestatus when 'F' then 0 else 1 end), 2) as trans_code,
                cast(sum(cast(l_extendedprice as decimal(15,2))) as decimal(15,2)) as amount, count(*) as n
         from {lineitem} group by l_orderkey, l_linenumber""",
     "bill_lines": """
@@ -366,6 +368,15 @@ class Tables:
                 self._built[name] = load(self.spark, self.folder, name)
         return self._built[name]
 
+    def stored(self, *names: str) -> Tables:
+        """Write derived tables once, as the tables they stand for are stored.
+
+        For plans that read them in several steps.
+        """
+        for name in names:
+            self._built[name] = materialize(getattr(self, name))
+        return self
+
 
 def as_ctes(name: str, extra: dict[str, str]) -> list[tuple[str, str]]:
     """Texts needed for ``name`` as (name, text) pairs in dependency order."""
