@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+
+from meterbook.session import materialize
 
 # A key is split once it holds more than 1/HOT_SLICES of the rows. At most
 # HOT_SLICES keys can, so the table of split keys is bounded and may be broadcast.
 HOT_SLICES = 10_000
 
+# A key with fewer rows than this is never worth splitting.
+HOT_MIN_ROWS = 1_000_000
+
 # Below this input size one task could process the whole input, so no key can be too hot.
 HOT_MIN_BYTES = 1 << 30
 
@@ -20,6 +25,10 @@ BROADCAST_MAX_BYTES = 10 << 20
 RANK_PUSHDOWN = 1000
 
 
+def _setting(df: DataFrame, name: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(f"meterbook.{name}", str(default)))
+
+
 def input_bytes(df: DataFrame) -> int | None:
     """Bytes of the tables a DataFrame reads, from their statistics; no job runs."""
     try:
@@ -30,27 +39,32 @@ def input_bytes(df: DataFrame) -> int | None:
 
 
 def may_be_hot(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get("meterbook.hot.minBytes", str(HOT_MIN_BYTES)))
     size = input_bytes(df)
-    return size is None or size >= limit
+    return size is None or size >= _setting(df, "hot.minBytes", HOT_MIN_BYTES)
 
 
 def is_small(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get("meterbook.broadcast.maxBytes", str(BROADCAST_MAX_BYTES)))
     size = input_bytes(df)
-    return size is not None and size <= limit
+    return size is not None and size <= _setting(df, "broadcast.maxBytes", BROADCAST_MAX_BYTES)
 
 
-def hot_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Keys holding more than 1/HOT_SLICES of the rows, with the slices each needs."""
-    slices = int(rows.sparkSession.conf.get("meterbook.hot.slices", str(HOT_SLICES)))
-    sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    everything = sizes.agg(F.sum("_n")).scalar()
-    return (
-        sizes.withColumn("_slices", F.ceil(F.col("_n") * slices / everything).cast("int"))
-        .filter(F.col("_slices") > 1)
-        .select(*on, "_slices")
+def hot_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame | None:
+    """Keys holding more than 1/HOT_SLICES of the rows, with the slices each needs.
+
+    One counting job over the key columns. The result has at most HOT_SLICES rows and
+    is written, so later steps do not count again; None if no key is hot.
+    """
+    slices = _setting(rows, "hot.slices", HOT_SLICES)
+    seen = Observation()
+    sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("rows"))
+    large = materialize(sizes.filter(F.col("_n") >= _setting(rows, "hot.minRows", HOT_MIN_ROWS)))
+    everything = seen.get["rows"]
+    if not everything:
+        return None
+    hot = large.withColumn("_slices", F.ceil(F.col("_n") * slices / everything).cast("int")).filter(
+        F.col("_slices") > 1
     )
+    return None if hot.isEmpty() else hot.select(*on, "_slices")
 
 
 def join_keyed(
@@ -63,19 +77,22 @@ def join_keyed(
     """Join many rows to a table with one row per key.
 
     A keyed table built from a checked small input is broadcast. Otherwise, for
-    large inputs, each hot key is cut into slices by a hash of the row's own
-    id, and the key's single row is repeated once per slice, so no task receives
-    more than about 1/HOT_SLICES of the rows. Rows with a NULL key match nothing
-    and are spread as well. The result is the same as that of a plain join.
+    large inputs whose keys are measured to be uneven, each hot key is cut into
+    slices by a hash of the row's own id, and the key's single row is repeated once
+    per slice, so no task receives more than about 1/HOT_SLICES of the rows. Rows
+    with a NULL key match nothing and are spread as well. The result is that of a
+    plain join. A key that contains the row's own id cannot be hot.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"{how} join would depend on how rows are sliced")
     on = list(on)
     if is_small(keyed):
         return rows.join(F.broadcast(keyed), on, how)
-    if not may_be_hot(rows):
+    unique = row_id is not None and set(row_id) <= set(on)
+    hot = hot_keys(rows, on) if not unique and may_be_hot(rows) else None
+    if hot is None:
         return rows.join(keyed, on, how)
-    hot = F.broadcast(hot_keys(rows, on))
+    hot = F.broadcast(hot)
     own = [F.col(c) for c in (row_id or rows.columns)]
     no_key = F.lit(False)
     for name in on:
