@@ -103,5 +103,5 @@ def business_days_add(start: Column, days: Column, holidays: Column | None = Non
     candidates = F.sequence(F.date_add(start, 1), F.date_add(start, span.cast("int")))
     working = F.filter(candidates, lambda d: F.weekday(d) < 5)
     if off is not None:
-        working = F.filter(working, lambda d: ~F.array_contains(off, d))
+        working = F.array_except(working, off)
     return F.when(days <= 0, start).otherwise(F.element_at(working, F.greatest(days, F.lit(1)).cast("int")))
