@@ -119,18 +119,18 @@ def bill_grace_days(bills: DataFrame, grace: DataFrame) -> DataFrame:
     )
 
 
-def disconnect_on(due: Column, account_type: Column, days: Column, holidays: Column | None, business: bool) -> Column:
+def disconnect_on(due: Column, account_type: Column, days: Column, holidays: Column, business: bool) -> Column:
     """Due date plus grace days; no date without a due date or an account type."""
     days = F.coalesce(days, F.lit(0))
     after = business_days_add(due, days, holidays) if business else F.date_add(due, days)
     return F.coalesce(F.when(due.isNotNull() & (F.rtrim(account_type) != ""), after), empty_date())
 
 
-def holiday_list(holidays: DataFrame | None) -> Column | None:
-    """The holiday calendar as one array; it lists days, so its size is bounded by the calendar."""
+def with_holidays(rows: DataFrame, holidays: DataFrame | None) -> DataFrame:
+    """Add the holiday calendar as one array; it lists days, so its size is bounded by the calendar."""
     if holidays is None:
-        return None
-    return holidays.agg(F.array_sort(F.collect_set("holiday"))).scalar()
+        return rows.withColumn("holidays", F.array().cast("array<date>"))
+    return rows.withColumn("holidays", holidays.agg(F.array_sort(F.collect_set("holiday"))).scalar())
 
 
 def disconnect_date(
@@ -141,9 +141,9 @@ def disconnect_date(
         current_bill(bills), grace_days(grace), ["account_type", "bill_type"], "left", ["bill_number"]
     )
     on = disconnect_on(
-        F.col("bill_due_date"), F.col("account_type"), F.col("grace_days"), holiday_list(holidays), business_days
+        F.col("bill_due_date"), F.col("account_type"), F.col("grace_days"), F.col("holidays"), business_days
     )
-    return bill.select(*ACCOUNT, "bill_due_date", on.alias("disconnect_date"))
+    return with_holidays(bill, holidays).select(*ACCOUNT, "bill_due_date", on.alias("disconnect_date"))
 
 
 def group_not_due(bills: DataFrame, as_of) -> DataFrame:

@@ -14,7 +14,7 @@ from meterbook.operators.accounts import (
     service_address,
 )
 from meterbook.operators.arrangements import arrangement_status
-from meterbook.operators.bills import disconnect_on, grace_days, holiday_list
+from meterbook.operators.bills import disconnect_on, grace_days, with_holidays
 from meterbook.operators.comments import cash_only, comment_restrictions, comment_restrictions_v1
 from meterbook.operators.contacts import phone_by_priority
 from meterbook.operators.joins import join_keyed
@@ -85,6 +85,7 @@ def account_summary(
     frame = join_keyed(frame, _names(tables.customers), ["customer"], "left", ACCOUNT)
     phones = phone_by_priority(tables.contacts, tables.phone_types, phone_types)
     frame = join_keyed(frame, phones, ["customer"], "left", ACCOUNT)
+    frame = with_holidays(frame, holidays)
 
     bill = F.col("current")
     pending, disconnected = collection_codes(tables.collection_settings)
@@ -92,7 +93,7 @@ def account_summary(
         bill["amount_due_before"], F.col("paid_before_due"), bill.isNotNull(), F.col("pending_payment")
     )
     disconnect = disconnect_on(
-        bill["bill_due_date"], bill["account_type"], F.col("grace_days"), holiday_list(holidays), business_days
+        bill["bill_due_date"], bill["account_type"], F.col("grace_days"), F.col("holidays"), business_days
     )
     bill_due = F.when(bill.isNull(), or_empty_date(F.lit(None).cast("date"))).otherwise(bill["bill_due_date"])
     return frame.select(
@@ -170,6 +171,7 @@ def account_summary_v1(
     )
     phones = phone_by_priority(tables.contacts, tables.phone_types, phone_types)
     frame = join_keyed(frame, phones, ["customer"], "left", ACCOUNT)
+    frame = with_holidays(frame, holidays)
 
     def kept(flag: str, name: str):
         """The row's own value, blank only when there was no row."""
@@ -183,7 +185,7 @@ def account_summary_v1(
         F.col("plain_due_date"),
         F.col("bill_account_type"),
         F.col("grace_days"),
-        holiday_list(holidays),
+        F.col("holidays"),
         business_days,
     )
     return frame.select(
