@@ -117,16 +117,13 @@ def unbilled_amount(
     unlisted = join_keyed(linked, on_lines, ["trans_num"], "left_anti", ["trans_num"])
 
     # a bill that does not exist counts as due on the day itself, so never as past due
-    paid_bill = payments.groupBy("trans_num").agg(F.max("paid_bill").alias("paid_bill"))
+    paid_for = payments.filter(F.col("paid_bill") != 0).select("trans_num", F.col("paid_bill").alias("bill_number"))
     due = bills.filter(F.col("due_date") < day(as_of)).select("bill_number").distinct()
     billed = join_keyed(
-        join_keyed(charges.filter(F.col("bill_number") != 0), paid_bill, ["trans_num"], "left", ["trans_num"])
-        .filter(F.coalesce("paid_bill", F.lit(0)) == F.col("bill_number")),
-        due,
-        ["bill_number"],
-        "left_semi",
+        charges.filter(F.col("bill_number") != 0), paid_for.distinct(), ["trans_num", "bill_number"], "left_semi",
         ["trans_num"],
     )
+    billed = join_keyed(billed, due, ["bill_number"], "left_semi", ["trans_num"])
     columns = [*ACCOUNT, "amount"]
     return (
         unlinked.select(columns)
