@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from meterbook.functions.rules import money, or_empty_date
+from meterbook.functions.rules import or_empty_date
 from meterbook.operators.joins import join_keyed, newest
 
 ACCOUNT = ["customer", "account"]
@@ -140,16 +140,3 @@ def parsed_date(text: Column) -> Column:
     """A date from caller text; text that is no date gives NULL instead of failing."""
     return F.try_to_date(text, "yyyy-MM-dd")
 
-
-__all__ = [
-    "account_counts",
-    "account_cycle",
-    "collection_codes",
-    "current_accounts",
-    "ivr_rule",
-    "money",
-    "open_service_order_flag",
-    "parsed_date",
-    "service_address",
-    "validated_lookup",
-]
