@@ -1,12 +1,16 @@
 """Every registered query against its SQL counterpart, on whole tables."""
 
+from functools import partial
+
 import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from meterbook.queries import QUERIES as NAMES, run
 from meterbook_checks.compare import connect, differences
+from meterbook_checks.oracles import oracle_texts
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = {name: partial(run, name) for name in NAMES}, oracle_texts()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +20,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
