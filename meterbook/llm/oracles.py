@@ -43,7 +43,7 @@ SQL: dict[str, str] = {
             sum(weight) over (order by cap / weight, source rows between current row and unbounded following) as open
           from ranked),
         level as (
-          select min((all_words - fixed) / open) as l
+          select arg_min((all_words - fixed) / open, fixed) as l
           from steps, (select 1.5::double * sum(source_size) as all_words from totals)
           where (all_words - fixed) / open <= turn),
         targets as (
