@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterbook.llm.runtime import WORD
 from meterbook.operators.ids import assign_ids
-from meterbook.session import materialize, release
+from meterbook.session import materialize
 
-WEIGHTS, SHARE, MOST, BIN_ROWS = (3.0, 1.0, 2.0), 1.5, 2, 50_000
+WEIGHTS, SHARE, MOST, BIN_ROWS = (3.0, 1.0, 2.0), 1.5, 2, 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -94,7 +94,8 @@ def mix(
         .groupBy("source").agg(F.min(F.struct("bin", (F.col("through") - F.col("words")).alias("before"))).alias("at"))
         .select(F.col("source").alias("cs"), F.col("at.bin").alias("cross_bin"), F.col("at.before").alias("before"))
     )
-    placed = keyed.join(cross, F.col("source").eqNullSafe(F.col("cs")), "left").drop("cs")
+    # written, so that the planner sees how small it is and need not deal the documents by source
+    placed = keyed.join(materialize(cross), F.col("source").eqNullSafe(F.col("cs")), "left").drop("cs")
     inside = F.col("bin").eqNullSafe(F.col("cross_bin"))
     in_order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
     sorted_rows = placed.where(inside).withColumn("end", F.col("before") + F.sum("size").over(in_order))
