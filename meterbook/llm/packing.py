@@ -27,7 +27,7 @@ from meterbook.llm.pretokens import pieces_of
 from meterbook.llm.runtime import TOKENIZER, small_batches, tokenizer_path
 from meterbook.session import materialize
 
-ROOM, END, STEPS, PART_ROWS = 2048, 0, 400, 50_000
+ROOM, END, STEPS, PART_ROWS = 2048, 0, 200, 50_000
 
 Plan = list[tuple[int, tuple[tuple[int, int], ...]]]
 
@@ -123,6 +123,7 @@ def best_fit(left: dict[int, int], room: int) -> Plan:
     """Best fit in decreasing length over counts; equal sequences are one entry."""
     open_at: dict[int, list[list]] = {}
     done: Plan = []
+    smallest = min(left, default=0)
 
     def put(space: int, count: int, items: tuple) -> None:
         if count:
@@ -144,7 +145,7 @@ def best_fit(left: dict[int, int], room: int) -> Plan:
             put(space, count - used, items)
             put(space - each * length, used, (*items, (length, each)))
             n -= used * each
-        for space in [s for s in open_at if s < min(left)]:
+        for space in [s for s in open_at if s < smallest]:
             done += [(c, i) for c, i in open_at.pop(space)]
     return done + [(c, i) for groups in open_at.values() for c, i in groups]
 
