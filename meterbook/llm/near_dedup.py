@@ -1,18 +1,21 @@
 """Near duplicates by an inverted join of MinHash signatures.
 
-Every document gets 128 MinHash coordinates of its set of five-word shingles. Equal sets are one class, however many copies
-there are, and only classes are compared. Each of the first ``LISTS`` coordinates with its value is a posting list. Two
-classes are a candidate pair if they meet in at least ``MEET`` of the lists and agree in ``AGREE`` of all coordinates: a pair at the
-threshold of 0.75 falls short with a chance of about 1 in 100,000, and more similar ones much less often.
+Every document gets MinHash coordinates of its set of five-word shingles. Equal sets are one class, however many copies
+there are, and only classes are compared. Each of ``LISTS`` coordinates with its value is a posting list. Two classes
+are a candidate pair if they meet in at least ``MEET`` lists and agree in ``AGREE`` of ``BITS`` further coordinates, of
+which one bit each is kept. A pair at the threshold of 0.75 falls short with a chance of about 2 in 100,000, and more
+similar ones much less often.
 
 Prefix: a pair that meets in ``MEET`` lists meets in one of the ``LISTS - MEET + 1`` rarest of either class, so a class is
-posted only under those; a list with one member takes a place in the prefix and costs nothing.
+posted only under those; a list with one member takes a place in the prefix and costs nothing. Most documents
+share too little to be posted at all.
 Skip: the most frequent lists, those of widely shared passages, are then not merged at all unless a
-class has little else. A list longer than ``BLOCK`` is compared in pairs of blocks. Collisions are counted on sketches
-that the postings carry (a byte per coordinate), so no candidate pair below the thresholds leaves its task.
+class has little else. A list longer than ``BLOCK`` is compared in pairs of blocks. A pair is taken up only in
+the first list that both post it in, and its collisions are counted there on the sketches that postings carry, so no
+pair below the thresholds leaves its task.
 
-Large groups. Not all pairs of a group are needed, only its components. A first round verifies, for each class, its best
-candidate; a second the best that lies in another component; the last all that are left between components.
+Large groups. Not all pairs of a group are needed, only its components. Three rounds verify, for each class, its best
+candidate in another component; the last round takes all candidates that are left between components.
 Pairs inside a component are skipped. Verification compares the full shingle sets of both texts.
 
 Defined cases: a null text, or one without words, has no shingles and is linked with nothing; 1 to 4 words are one
@@ -31,26 +34,38 @@ from pyspark.sql import DataFrame, functions as F
 
 from meterbook.llm.components import components
 from meterbook.llm.runtime import small_batches
-from meterbook.llm.textnum import mixed, shingles, words
+from meterbook.llm.textnum import gathered, mixed, shingles, words
 from meterbook.session import materialize
 
-COORDINATES, LISTS, MEET, AGREE, BLOCK, WORDS, PERCENT = 128, 64, 32, 74, 1024, 5, 75
+LISTS, MEET, BITS, AGREE, BLOCK, WORDS, PERCENT, ROUNDS = 32, 13, 2048, 1728, 1024, 5, 75, 3
 #: Shingles of which all coordinates are computed at a time.
 SLICE = 1 << 18
 
 
-def _factors() -> tuple[np.ndarray, np.ndarray]:
-    base = mixed(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return base[::2] | np.uint64(1), base[1::2]
+def signatures(own: np.ndarray, rows: np.ndarray, first: int, count: int) -> np.ndarray:
+    """The smallest hash of each row's shingles for ``count`` coordinates; rows must not be empty."""
+    seeds = mixed(np.arange(2 * first + 1, 2 * (first + count) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    factor, shift = seeds[::2] | np.uint64(1), seeds[1::2]
+    out = np.empty((len(rows) - 1, count), np.uint64)
+    for c in range(count):
+        out[:, c] = np.minimum.reduceat(own * factor[c] + shift[c], rows[:-1])
+    return mixed(out)
 
 
-def signatures(own: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """The smallest hash of each row's shingles for every coordinate; rows must not be empty."""
-    factor, shift = _factors()
-    out = np.empty((len(rows) - 1, COORDINATES), np.uint64)
-    for c in range(COORDINATES):
-        out[:, c] = np.minimum.reduceat(own * factor[c] + shift[c], rows[:-1])
-    return out
+def tokens_of(own: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """One number for each list: a coordinate with its value."""
+    coordinate = np.arange(LISTS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return mixed(signatures(own, rows, 0, LISTS) + coordinate)
+
+
+def by_slices(make, own: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``make`` over a few rows at a time, at least one."""
+    parts, a = [], 0
+    while a < len(rows) - 1:
+        b = max(a + 1, int(np.searchsorted(rows, rows[a] + SLICE, "right")) - 1)
+        parts.append(make(own[rows[a] : rows[b]], rows[a : b + 1] - rows[a]))
+        a = b
+    return np.concatenate(parts)
 
 
 def _node(own: np.ndarray) -> int:
@@ -65,26 +80,23 @@ def _sign(batches):
         own, rows = shingles(number, at, WORDS)
         size = np.diff(rows)
         full = np.flatnonzero(size)
-        edges = np.append(rows[:-1][full], rows[-1])
         tokens = np.zeros((batch.num_rows, LISTS), np.int64)
-        sketch = np.zeros((batch.num_rows, COORDINATES), np.uint8)
-        a = 0
-        while a < len(full):  # a few documents at a time, at least one
-            b = max(a + 1, int(np.searchsorted(edges, edges[a] + SLICE, "right")) - 1)
-            found = signatures(own[edges[a] : edges[b]], edges[a : b + 1] - edges[a])
-            coordinate = np.arange(LISTS, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-            tokens[full[a:b]] = mixed(mixed(found[:, :LISTS]) + coordinate).view(np.int64)
-            sketch[full[a:b]] = (mixed(found) & np.uint64(0xFF)).astype(np.uint8)
-            a = b
+        if len(full):
+            tokens[full] = by_slices(tokens_of, own, np.append(rows[:-1][full], rows[-1])).view(np.int64)
         node = [_node(own[s:e]) if e > s else 0 for s, e in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
-             pa.FixedSizeListArray.from_arrays(pa.array(tokens.ravel()), LISTS).cast(pa.list_(pa.int64())),
-             pa.array([x.tobytes() for x in sketch], pa.binary())],
-            names=["doc_id", "n_shingles", "node", "tokens", "sketch"],
+             pa.FixedSizeListArray.from_arrays(pa.array(tokens.ravel()), LISTS).cast(pa.list_(pa.int64()))],
+            names=["doc_id", "n_shingles", "node", "tokens"],
         )
 
 
+def sketches(own: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Bytes of each row: a bit of ``BITS`` coordinates, then 16 bits of each list's number."""
+    bits = np.packbits((signatures(own, rows, LISTS, BITS) & np.uint64(1)).astype(np.uint8), axis=1)
+    return np.concatenate([bits, (tokens_of(own, rows) & np.uint64(0xFFFF)).astype("<u2").view(np.uint8)], axis=1)
+
+
 def _candidates(best: bool):
     """For ``mapInArrow`` over postings sorted by list and block pair."""
     key = ["token", "i", "j"]
@@ -99,7 +111,12 @@ def _candidates(best: bool):
         group = np.cumsum(start)
         node, size, label, tried, block = (rows[c].to_numpy() for c in ("node", "n", "label", "tried", "block"))
         cross = lists[1] != lists[2]
-        sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(n, COORDINATES)
+        bit = np.int64(1) << rows["c"].to_numpy().astype(np.int64)
+        mask = rows["mask"].to_numpy()
+        raw = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(n, -1)
+        sketch = np.ascontiguousarray(raw[:, : BITS // 8]).view(np.uint64)
+        values = np.ascontiguousarray(raw[:, BITS // 8 :]).view("<u2")
+        powers = np.int64(1) << np.arange(LISTS, dtype=np.int64)
         left, right, agree = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for d in range(1, n):
             i = np.flatnonzero(group[d:] == group[:-d])
@@ -110,10 +127,13 @@ def _candidates(best: bool):
             use = (label[i] != label[j]) & (100 * small >= PERCENT * large) & (~cross[i] | (block[i] != block[j]))
             use &= (tried[i] != node[j]) & (tried[j] != node[i])
             i, j = i[use], j[use]
+            if len(i):  # of the lists that both post it in, the first takes up the pair
+                common = mask[i] & mask[j] & ((values[i] == values[j]) @ powers)
+                use = (common & -common) == bit[i]
+                i, j = i[use], j[use]
             if len(i):
-                same = sketch[i] == sketch[j]
-                count = same.sum(axis=1)
-                use = (count >= AGREE) & (same[:, :LISTS].sum(axis=1) >= MEET)
+                count = BITS - np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1).astype(np.int64)
+                use = count >= AGREE
                 left.append(i[use])
                 right.append(j[use])
                 agree.append(count[use])
@@ -160,13 +180,14 @@ def _candidates(best: bool):
 
 def _postings(classes: DataFrame) -> DataFrame:
     """A row for each list of a class's prefix and each pair of blocks it is compared in."""
-    each = classes.select("node", "n", "sketch", "label", "tried", F.explode("prefix").alias("post"))
+    mask = F.aggregate("prefix", F.lit(0).cast("bigint"), lambda m, x: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x["c"])))
+    each = classes.select("node", "n", "sketch", "label", "tried", mask.alias("mask"), F.explode("prefix").alias("post"))
     blocks = F.ceil(F.col("post.f") / F.lit(BLOCK))
     own = each.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     spread = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     return spread.select(
         F.col("post.token").alias("token"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        "block", "node", "n", "label", "tried", "sketch",
+        "block", "node", "n", "label", "tried", F.col("post.c").alias("c"), "mask", "sketch",
     )
 
 
@@ -180,7 +201,7 @@ def _pairs(classes: DataFrame, best: bool) -> DataFrame:
 
 
 def _texts(batches):
-    """Only the rows whose text is the class's: a row may repeat an id with another text."""
+    """Texts with their sketches, only of rows whose text is the class's: a row may repeat an id with another text."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -188,7 +209,14 @@ def _texts(batches):
         own, rows = shingles(number, at, WORDS)
         node = batch.column(0).to_pylist()
         right = [e > s and _node(own[s:e]) == n for n, s, e in zip(node, rows[:-1].tolist(), rows[1:].tolist(), strict=True)]
-        yield batch.filter(pa.array(right, pa.bool_()))
+        there = np.flatnonzero(right)
+        if len(there):
+            size = np.diff(rows)[there]
+            made = by_slices(sketches, gathered(own, rows[:-1][there], size), np.concatenate([[0], np.cumsum(size)]))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.filter(pa.array(right, pa.bool_())).columns, pa.array([x.tobytes() for x in made], pa.binary())],
+                names=["node", "text", "sketch"],
+            )
 
 
 def _verify(batches):
@@ -224,28 +252,27 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     signed = materialize(
-        rows.mapInArrow(_sign, f"doc_id {id_type}, n_shingles bigint, node bigint, tokens array<bigint>, sketch binary")
+        rows.mapInArrow(_sign, f"doc_id {id_type}, n_shingles bigint, node bigint, tokens array<bigint>")
     )
     members = signed.where("n_shingles > 0")
     heads = members.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
-    tokens = members.select("node", "tokens").dropDuplicates(["node"]).select("node", F.explode("tokens").alias("token"))
+    tokens = members.select("node", "tokens").dropDuplicates(["node"]).select("node", F.posexplode("tokens").alias("c", "token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     # a list with one member is not here, and takes a place in the prefix all the same
     shared = (
         tokens.join(common, "token").groupBy("node")
-        .agg(F.sort_array(F.collect_list(F.struct("f", "token"))).alias("posts"))
+        .agg(F.sort_array(F.collect_list(F.struct("f", "token", "c"))).alias("posts"))
         .where(F.size("posts") >= MEET)
         .select("node", F.slice("posts", F.lit(1), F.size("posts") - F.lit(MEET - 1)).alias("prefix"))
     )
-    sketches = members.select("node", "sketch").dropDuplicates(["node"])
-    classes = materialize(shared.join(heads, "node").join(sketches, "node"))
-    wanted = classes.select("node", F.col("rep").alias("doc_id"))
+    posted = materialize(shared.join(heads, "node"))
     texts = materialize(
-        wanted.join(rows, "doc_id").select("node", "text").mapInArrow(_texts, "node bigint, text string")
-        .dropDuplicates(["node"])
+        posted.select("node", F.col("rep").alias("doc_id")).join(rows, "doc_id").select("node", "text")
+        .mapInArrow(_texts, "node bigint, text string, sketch binary").dropDuplicates(["node"])
     )
-    labels = materialize(classes.select("node", F.col("node").alias("label"), F.lit(None).cast("bigint").alias("tried")))
-    for best in (True, True, False):
+    classes = posted.join(texts.select("node", "sketch"), "node")
+    labels = materialize(posted.select("node", F.col("node").alias("label"), F.lit(None).cast("bigint").alias("tried")))
+    for best in [True] * ROUNDS + [False]:
         now = classes.join(labels, "node").withColumn("tried", F.coalesce("tried", "node"))
         pairs = materialize(_pairs(now, best))
         links = _verified(pairs, texts)
