@@ -19,7 +19,7 @@ from meterbook.llm.textnum import gathered, words_at
 _PATTERN = re.compile(r"[^\W\d_²³¹¼½¾]+|'(?:s|t|re|ve|m|ll|d)|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
 _LATER = re.compile(r"[^\x21-\x7e¡-ſ]|<\|")
 #: Words whose ids a worker keeps; the list starts anew when it is full.
-CACHE = 1 << 21
+CACHE = 1 << 19
 _OPEN: dict[str, "Pieces"] = {}
 
 
