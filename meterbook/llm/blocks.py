@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text of a block; a longer document is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 10 << 20
 ROWS = "kind int, key bigint, block bigint, part bigint, data binary"
 _SCHEMA = pa.schema(
     [("kind", pa.int32()), ("key", pa.int64()), ("block", pa.int64()), ("part", pa.int64()), ("data", pa.binary())]
