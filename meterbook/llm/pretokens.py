@@ -20,6 +20,8 @@ _PATTERN = re.compile(r"[^\W\d_²³¹¼½¾]+|'(?:s|t|re|ve|m|ll|d)|[\d²³¹¼
 _LATER = re.compile(r"[^\x21-\x7e¡-ſ]|<\|")
 #: Words whose ids a worker keeps; the list starts anew when it is full.
 CACHE = 1 << 19
+#: Pieces of words kept as Python lists, for new words only.
+PARTS = 1 << 16
 _OPEN: dict[str, "Pieces"] = {}
 
 
@@ -51,6 +53,8 @@ class Pieces:
         found = self.parts.get(part)
         if found is None:
             spelt = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+            if len(self.parts) >= PARTS:
+                self.parts = {}
             found = self.parts[part] = [x.id for x in self.library.model.tokenize(spelt)]
         return found
 

@@ -12,7 +12,7 @@ from pathlib import Path
 from pyspark.sql import Column, SparkSession, functions as F
 
 #: Rows of one Arrow batch, and its bytes where Spark knows the setting: what a Python worker holds at a time.
-BATCH_ROWS, BATCH_BYTES = 2048, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
 #: The class of white space of all operators here, as Java, Python and RE2 read it.
 SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
 TOKENIZER = "word_bpe_49k.json"
