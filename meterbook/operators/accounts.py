@@ -85,7 +85,6 @@ def service_address(
         suffixes.groupBy(F.col("code").alias("num_suffix")).agg(F.min("description").alias("suffix_text")),
         ["num_suffix"],
         "left",
-        ["account"],
     )
     number = F.col("street_num").cast("int").cast("string")
     prefix = F.col("street_prefix")
@@ -95,7 +94,6 @@ def service_address(
             prefixes.groupBy("street_prefix").agg(F.min("description").alias("prefix_text")),
             ["street_prefix"],
             "left",
-            ["account"],
         )
         number, prefix = F.coalesce(number, F.lit("")), F.coalesce("prefix_text", F.lit(""))
     blank = F.lit(" ")
@@ -119,7 +117,7 @@ def validated_lookup(
     """
     known = accounts.select(*ACCOUNT).distinct().withColumn("_known", F.lit(True))
     values = known.join(result, ACCOUNT, "left")
-    rows = join_keyed(requests, values, ACCOUNT, "left", [request_id])
+    rows = join_keyed(requests, values, ACCOUNT, "left")
     valid = F.col("_known").isNotNull()
     filled = []
     for field in result.schema.fields:

@@ -108,7 +108,7 @@ def grace_days(grace: DataFrame) -> DataFrame:
 def bill_grace_days(bills: DataFrame, grace: DataFrame) -> DataFrame:
     """Current bills with the summed grace days of their account and bill type, else 0."""
     return (
-        join_keyed(current_bill(bills), grace_days(grace), ["account_type", "bill_type"], "left", ["bill_number"])
+        join_keyed(current_bill(bills), grace_days(grace), ["account_type", "bill_type"], "left")
         .select(
             *ACCOUNT,
             "bill_number",
@@ -138,7 +138,7 @@ def disconnect_date(
 ) -> DataFrame:
     """When service may be cut for the current bill of each account."""
     bill = join_keyed(
-        current_bill(bills), grace_days(grace), ["account_type", "bill_type"], "left", ["bill_number"]
+        current_bill(bills), grace_days(grace), ["account_type", "bill_type"], "left"
     )
     on = disconnect_on(
         F.col("bill_due_date"), F.col("account_type"), F.col("grace_days"), F.col("holidays"), business_days
@@ -167,11 +167,11 @@ def master_not_due(accounts: DataFrame, bill_groups: DataFrame, bills: DataFrame
     """
     updating = bill_groups.filter("updates_master").select("bill_group").distinct()
     masters = (
-        join_keyed(accounts.filter("is_master"), updating, ["bill_group"], "left_semi", ACCOUNT)
+        join_keyed(accounts.filter("is_master"), updating, ["bill_group"], "left_semi")
         .groupBy(*ACCOUNT)
         .agg(F.min_by("bill_group", F.struct("account_status", "bill_group")).alias("bill_group"))
     )
-    return join_keyed(masters, group_not_due(bills, as_of), ["bill_group"], "left", ACCOUNT).select(
+    return join_keyed(masters, group_not_due(bills, as_of), ["bill_group"], "left").select(
         *ACCOUNT, "bill_group", or_zero(F.col("group_not_due")).alias("master_not_due")
     )
 

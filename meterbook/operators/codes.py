@@ -54,8 +54,7 @@ def notice_codes_on(trans_codes: DataFrame) -> bool:
 
 
 def translate_codes(
-    rows: DataFrame, crosswalk: DataFrame, key: int, column: str, name: str = "internal_code",
-    row_id: list[str] | None = None,
+    rows: DataFrame, crosswalk: DataFrame, key: int, column: str, name: str = "internal_code"
 ) -> DataFrame:
     """Internal code for an external value under one integration key; NULL if unknown.
 
@@ -66,4 +65,4 @@ def translate_codes(
         .groupBy(F.col("external_value").alias(column))
         .agg(F.min("internal_code").alias(name))
     )
-    return join_keyed(rows, mapping, [column], "left", row_id)
+    return join_keyed(rows, mapping, [column], "left")

@@ -15,7 +15,7 @@ ACCOUNT = ["customer", "account"]
 def active_comments(comments: DataFrame, comment_codes: DataFrame, as_of) -> DataFrame:
     """Comments not expired, with the settings of their code."""
     valid = comments.filter(not_expired(F.col("expiration_date"), as_of))
-    return join_keyed(valid, comment_codes, ["comment_code"], "inner", ["comment_id"])
+    return join_keyed(valid, comment_codes, ["comment_code"], "inner")
 
 
 def cash_only(accounts: DataFrame, comments: DataFrame, comment_codes: DataFrame, as_of) -> DataFrame:
@@ -25,8 +25,8 @@ def cash_only(accounts: DataFrame, comments: DataFrame, comment_codes: DataFrame
         restricting.filter("comment_type = 'A'").select("account").distinct().withColumn("_a", F.lit(True))
     )
     by_customer = restricting.select("customer").distinct().withColumn("_c", F.lit(True))
-    rows = join_keyed(accounts.select(*ACCOUNT).distinct(), by_account, ["account"], "left", ACCOUNT)
-    rows = join_keyed(rows, by_customer, ["customer"], "left", ACCOUNT)
+    rows = join_keyed(accounts.select(*ACCOUNT).distinct(), by_account, ["account"], "left")
+    rows = join_keyed(rows, by_customer, ["customer"], "left")
     return rows.select(*ACCOUNT, F.coalesce("_a", "_c", F.lit(False)).alias("cash_only"))
 
 
@@ -40,8 +40,8 @@ def comment_codes(accounts: DataFrame, comments: DataFrame, codes: DataFrame, as
     entry = F.struct("comment_code", "disallowed")
     by_account = valid.groupBy("account").agg(F.collect_set(entry).alias("_a"))
     by_customer = valid.groupBy("customer").agg(F.collect_set(entry).alias("_c"))
-    rows = join_keyed(accounts.select(*ACCOUNT).distinct(), by_account, ["account"], "left", ACCOUNT)
-    rows = join_keyed(rows, by_customer, ["customer"], "left", ACCOUNT)
+    rows = join_keyed(accounts.select(*ACCOUNT).distinct(), by_account, ["account"], "left")
+    rows = join_keyed(rows, by_customer, ["customer"], "left")
     none = F.array().cast("array<struct<comment_code:string,disallowed:string>>")
     both = F.array_sort(F.array_union(F.coalesce("_a", none), F.coalesce("_c", none)))
     return rows.withColumn("_all", both).select(
@@ -108,8 +108,8 @@ def comment_restrictions_v1(
         picked = valid.groupBy(key).agg(earliest(["disallowed"], ["comment_id"]).alias(name))
         return picked.filter(F.col(key).isNotNull())
 
-    rows = join_keyed(accounts.select(*ACCOUNT).distinct(), first("account", "_a"), ["account"], "left", ACCOUNT)
-    rows = join_keyed(rows, first("customer", "_c"), ["customer"], "left", ACCOUNT)
+    rows = join_keyed(accounts.select(*ACCOUNT).distinct(), first("account", "_a"), ["account"], "left")
+    rows = join_keyed(rows, first("customer", "_c"), ["customer"], "left")
     rows = rows.withColumn("_types", type_list(payment_types))
     own = F.when(F.col("_a").isNotNull(), text(F.col("_a.disallowed")))
     other = F.when(F.col("_c").isNotNull(), text(F.col("_c.disallowed")))

@@ -30,7 +30,7 @@ def phone_by_priority(
     rows = _of_type(contacts, "").filter(
         (F.array_position(wanted, F.col("phone_type")) > 0) & (F.rtrim("phone_number") != "")
     )
-    rows = join_keyed(rows, phone_types, ["phone_type"], "inner", ["contact_info_id"])
+    rows = join_keyed(rows, phone_types, ["phone_type"], "inner")
     order = [F.array_position(wanted, F.col("phone_type")).alias("p"), "contact_info_id"]
     fields = ["phone_number", "phone_type", F.col("description").alias("phone_desc")]
     return rows.groupBy("customer").agg(earliest(fields, order).alias("c")).select("customer", "c.*")
@@ -45,7 +45,7 @@ def contact_recency(contacts: DataFrame, old: str = "BF", new: str = "BM") -> Da
     peers = _of_type(contacts, new).groupBy(*PHONE).agg(
         F.max("updated").alias("new_updated"), F.count(F.lit(1)).alias("peers")
     )
-    rows = join_keyed(_of_type(contacts, old), peers, PHONE, "left", ["contact_info_id"])
+    rows = join_keyed(_of_type(contacts, old), peers, PHONE, "left")
     never = F.lit(EMPTY_DATE).cast("timestamp_ntz")
     newer = F.col("updated") > F.coalesce("new_updated", never)
     return rows.withColumn("peers", F.coalesce("peers", F.lit(0))).withColumn(
@@ -54,12 +54,10 @@ def contact_recency(contacts: DataFrame, old: str = "BF", new: str = "BM") -> Da
     )
 
 
-def without_peer(
-    rows: DataFrame, key: Sequence[str], old: str = "BF", new: str = "BM", row_id: Sequence[str] | None = None
-) -> DataFrame:
+def without_peer(rows: DataFrame, key: Sequence[str], old: str = "BF", new: str = "BM") -> DataFrame:
     """Rows of the old address type whose key has no row of the new type."""
     peers = _of_type(rows, new).select(*key).distinct()
-    return join_keyed(_of_type(rows, old), peers, key, "left_anti", row_id)
+    return join_keyed(_of_type(rows, old), peers, key, "left_anti")
 
 
 def promote_addresses(addresses: DataFrame, old: str = "BF", new: str = "BM") -> tuple[DataFrame, DataFrame]:
@@ -74,7 +72,7 @@ def promote_addresses(addresses: DataFrame, old: str = "BF", new: str = "BM") ->
 
 def contact_copies(contacts: DataFrame, old: str = "BF", new: str = "BM") -> DataFrame:
     """Old-type contacts without a peer, as new-type rows with new ids after the highest one."""
-    source = without_peer(contacts, PHONE, old, new, ["contact_info_id"]).withColumn("add_type", F.lit(new))
+    source = without_peer(contacts, PHONE, old, new).withColumn("add_type", F.lit(new))
     carried = [c for c in contacts.columns if c != "contact_pk"]
     ordered = source.select(carried).withColumnRenamed("contact_info_id", "_old_id")
     numbered = assign_ids(
@@ -96,7 +94,6 @@ def sync_newer(
     order: Sequence[str | Column],
     old: str = "BF",
     new: str = "BM",
-    row_id: Sequence[str] | None = None,
 ) -> DataFrame:
     """Update new-type rows from the newest old-type row of the same key, where that is strictly newer.
 
@@ -107,7 +104,7 @@ def sync_newer(
         .groupBy(*key)
         .agg(newest([F.col(c).alias(f"_{c}") for c in columns], order).alias("_src"))
     )
-    joined = join_keyed(rows, latest, key, "left", row_id)
+    joined = join_keyed(rows, latest, key, "left")
     update = same_code(F.col("add_type"), new) & (F.col("_src._updated") > F.col("updated"))
     update = F.coalesce(update, F.lit(False))
     picked = [
@@ -120,7 +117,7 @@ def sync_newer(
 def sync_newer_contacts(contacts: DataFrame, old: str = "BF", new: str = "BM") -> DataFrame:
     # The columns the update copies.
     columns = ["phone_number", "updated", "custom1", "notes", "preferred", "contact_times"]
-    return sync_newer(contacts, PHONE, columns, ["updated", "contact_info_id"], old, new, ["contact_info_id"])
+    return sync_newer(contacts, PHONE, columns, ["updated", "contact_info_id"], old, new)
 
 
 def sync_newer_addresses(addresses: DataFrame, old: str = "BF", new: str = "BM") -> DataFrame:
@@ -152,7 +149,7 @@ def web_contacts_insert(
         .select("customer", F.col("phone_number").alias("email"))
         .distinct()
     )
-    rows = join_keyed(latest_web_contact(web_signups), present, ["customer", "email"], "left_anti", ["web_pk"])
+    rows = join_keyed(latest_web_contact(web_signups), present, ["customer", "email"], "left_anti")
     if drop_null:
         rows = rows.filter(F.col("email").isNotNull())
     numbered = assign_ids(rows, ["web_pk"], highest_id(contacts, "contact_pk"), "contact_pk")

@@ -19,7 +19,7 @@ BALANCE_PLANS_V1 = ["EN", "LN"]
 def active_plans(enrolments: DataFrame, plan_types: DataFrame, as_of) -> DataFrame:
     """Enrolments in force on a day, with the settings of their plan type."""
     running = enrolments.filter(active_at(F.col("start_date"), F.col("stop_date"), as_of))
-    return join_keyed(running, plan_types, ["plan_type"], "inner", ACCOUNT)
+    return join_keyed(running, plan_types, ["plan_type"], "inner")
 
 
 def plan_number(plan_class: Column) -> Column:
@@ -75,7 +75,7 @@ def ar_balance(ar_balances: DataFrame, ar_codes: DataFrame) -> DataFrame:
     """Receivable balance over the codes that count towards it."""
     counted = ar_codes.filter("in_balance").select("ar_code").distinct()
     return (
-        join_keyed(ar_balances, counted, ["ar_code"], "left_semi", [*ACCOUNT, "ar_code"])
+        join_keyed(ar_balances, counted, ["ar_code"], "left_semi")
         .groupBy(*ACCOUNT)
         .agg(total(F.col("current_balance")).alias("ar_balance"))
     )

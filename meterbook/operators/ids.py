@@ -21,12 +21,13 @@ def assign_ids(rows: DataFrame, order: Sequence[str], start: Column | int, name:
 
     The order must be total. Rows are range-partitioned on it, so a key with many
     rows spreads over several tasks; each row is numbered inside its partition, and
-    the partitions' row counts (one row per partition) give the offsets. The
-    numbered rows are written first: both later reads see the same partitions even
-    if an executor is lost in between.
+    the partitions' row counts (one row per partition) give the offsets. The rows are
+    written before the range partitioning, which reads them twice (it samples), and the
+    numbered rows after it: both later reads see the same partitions even if an executor
+    is lost in between.
     """
     placed = materialize(
-        rows.repartitionByRange(*order)
+        materialize(rows).repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id())
     )

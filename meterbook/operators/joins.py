@@ -1,178 +1,71 @@
-"""Joins that keep working when one key holds a large share of the rows."""
+"""Joins to one row per key, SQL's NOT IN, newest and first rows per key.
+
+Skew is left to Spark: ``session.tune`` turns on run-time splitting of skewed joins, also where the next
+aggregation then needs a shuffle of its own. What is broadcast is decided by the planner from sizes it knows.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
-
-from meterbook.session import materialize
-
-# A key is split once it holds more than 1/HOT_SLICES of the rows. At most
-# HOT_SLICES keys can, so the table of split keys is bounded and may be broadcast.
-HOT_SLICES = 10_000
-
-# A key with fewer rows than this is never worth splitting.
-HOT_MIN_ROWS = 1_000_000
-
-# Below this input size one task could process the whole input, so no key can be too hot.
-HOT_MIN_BYTES = 1 << 30
-
-# A table built from no more input than this may be broadcast whole.
-BROADCAST_MAX_BYTES = 10 << 20
-
-# Spark stops limiting before the shuffle above this rank (its default threshold).
-RANK_PUSHDOWN = 1000
-
-
-def _setting(df: DataFrame, name: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(f"meterbook.{name}", str(default)))
-
-
-def input_bytes(df: DataFrame) -> int | None:
-    """Bytes of the tables a DataFrame reads, from their statistics; no job runs."""
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    except AttributeError:  # no local planner to ask
-        return None
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def may_be_hot(df: DataFrame) -> bool:
-    size = input_bytes(df)
-    return size is None or size >= _setting(df, "hot.minBytes", HOT_MIN_BYTES)
-
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-def is_small(df: DataFrame) -> bool:
-    size = input_bytes(df)
-    return size is not None and size <= _setting(df, "broadcast.maxBytes", BROADCAST_MAX_BYTES)
 
+def join_keyed(rows: DataFrame, keyed: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join many rows to a table with one row per key: never more rows than before.
 
-def hot_keys(rows: DataFrame, on: Sequence[str]) -> DataFrame | None:
-    """Keys holding more than 1/HOT_SLICES of the rows, with the slices each needs.
-
-    One counting job over the key columns. The result has at most HOT_SLICES rows and
-    is written, so later steps do not count again; None if no key is hot.
-    """
-    slices = _setting(rows, "hot.slices", HOT_SLICES)
-    seen = Observation()
-    sizes = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).observe(seen, F.sum("_n").alias("rows"))
-    large = materialize(sizes.filter(F.col("_n") >= _setting(rows, "hot.minRows", HOT_MIN_ROWS)))
-    everything = seen.get["rows"]
-    if not everything:
-        return None
-    hot = large.withColumn("_slices", F.ceil(F.col("_n") * slices / everything).cast("int")).filter(
-        F.col("_slices") > 1
-    )
-    return None if hot.isEmpty() else hot.select(*on, "_slices")
-
-
-def join_keyed(
-    rows: DataFrame,
-    keyed: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    row_id: Sequence[str] | None = None,
-) -> DataFrame:
-    """Join many rows to a table with one row per key.
-
-    A keyed table built from a checked small input is broadcast. Otherwise, for
-    large inputs whose keys are measured to be uneven, each hot key is cut into
-    slices by a hash of the row's own id, and the key's single row is repeated once
-    per slice, so no task receives more than about 1/HOT_SLICES of the rows. Rows
-    with a NULL key match nothing and are spread as well. The result is that of a
-    plain join. A key that contains the row's own id cannot be hot.
+    Only joins whose many-row side Spark may split at run time are allowed, so that one key may hold any share of
+    ``rows``. Rows with a NULL key match nothing.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
-        raise ValueError(f"{how} join would depend on how rows are sliced")
-    on = list(on)
-    if is_small(keyed):
-        return rows.join(F.broadcast(keyed), on, how)
-    unique = row_id is not None and set(row_id) <= set(on)
-    hot = hot_keys(rows, on) if not unique and may_be_hot(rows) else None
-    if hot is None:
-        return rows.join(keyed, on, how)
-    hot = F.broadcast(hot)
-    own = [F.col(c) for c in (row_id or rows.columns)]
-    no_key = F.lit(False)
-    for name in on:
-        no_key = no_key | F.col(name).isNull()
-    slices = F.when(no_key, F.lit(HOT_SLICES)).otherwise(F.coalesce("_slices", F.lit(1)))
-    sliced = (
-        rows.join(hot, on, "left")
-        .withColumn("_slice", F.pmod(F.xxhash64(*own), slices).cast("int"))
-        .drop("_slices")
-    )
-    repeated = (
-        keyed.join(hot, on, "left")
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)))
-        .drop("_slices")
-    )
-    return sliced.join(repeated, [*on, "_slice"], how).drop("_slice")
+        raise ValueError(f"a skewed {how} join cannot be split")
+    return rows.join(keyed, list(on), how)
 
 
-def flag_unlisted(
-    rows: DataFrame,
-    column: str,
-    values: DataFrame,
-    value: str,
-    name: str,
-    per: Sequence[str] = (),
-    row_id: Sequence[str] | None = None,
-) -> DataFrame:
+def flag_unlisted(rows: DataFrame, column: str, values: DataFrame, value: str, name: str) -> DataFrame:
     """Add the truth of ``column NOT IN (values)``, with SQL's NULL rules, as a column.
 
     True for every row when the list is empty; never true when it holds a NULL, nor,
-    unless it is empty, for a row whose own value is NULL. ``per`` keeps one list per key.
+    unless it is empty, for a row whose own value is NULL.
     """
-    values = values.select(*per, F.col(value).alias("_v"))
+    values = values.select(F.col(value).alias("_v"))
     listing = (
         values.filter(F.col("_v").isNotNull())
         .distinct()
-        .select(*per, F.col("_v").alias(column), F.lit(True).alias("_listed"))
+        .select(F.col("_v").alias(column), F.lit(True).alias("_listed"))
     )
-    if per:
-        about = values.groupBy(*per).agg(F.count(F.lit(1)).alias("_n"), F.count("_v").alias("_known"))
-        rows = join_keyed(rows, about, per, "left", row_id)
-        n, known = F.coalesce("_n", F.lit(0)), F.col("_known")
-    else:
-        n = values.agg(F.count(F.lit(1))).scalar()
-        known = values.agg(F.count("_v")).scalar()
+    n = values.agg(F.count(F.lit(1))).scalar()
+    known = values.agg(F.count("_v")).scalar()
     unlisted = (n == known) & F.col(column).isNotNull() & F.col("_listed").isNull()
     return (
-        join_keyed(rows, listing, [*per, column], "left", row_id)
+        join_keyed(rows, listing, [column])
         .withColumn(name, F.coalesce((n == 0) | unlisted, F.lit(False)))
-        .drop("_n", "_known", "_listed")
+        .drop("_listed")
     )
 
 
 def exclude_listed(
-    rows: DataFrame,
-    column: str,
-    values: DataFrame,
-    value: str,
-    per: Sequence[str] = (),
-    row_id: Sequence[str] | None = None,
+    rows: DataFrame, column: str, values: DataFrame, value: str, per: Sequence[str] = ()
 ) -> DataFrame:
-    """The rows for which ``column NOT IN (values)`` is true (see :func:`flag_unlisted`)."""
-    return flag_unlisted(rows, column, values, value, "_unlisted", per, row_id).filter("_unlisted").drop("_unlisted")
+    """The rows for which ``column NOT IN (values)`` is true (see :func:`flag_unlisted`).
+
+    ``per`` keeps one list per key. The lists are then never counted: rows with a value are checked against their
+    own value and against lists that hold a NULL, rows without one against all lists of their key. Where values are
+    never NULL, the last two read next to nothing, because their filters reach the scan.
+    """
+    if not per:
+        return flag_unlisted(rows, column, values, value, "_unlisted").filter("_unlisted").drop("_unlisted")
+    values = values.select(*per, F.col(value).alias(column))
+    with_null = values.filter(F.col(column).isNull()).select(*per).distinct()
+    listing = values.filter(F.col(column).isNotNull()).distinct()
+    valued = join_keyed(rows.filter(F.col(column).isNotNull()), listing, [*per, column], "left_anti")
+    valued = join_keyed(valued, with_null, per, "left_anti")
+    blank = join_keyed(rows.filter(F.col(column).isNull()), values.select(*per).distinct(), per, "left_anti")
+    return valued.unionByName(blank.select(valued.columns))
 
 
 def top_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each key.
-
-    Spark keeps only ``n`` rows per key in each task before the shuffle; above its
-    threshold the same is done in two steps over slices of the key.
-    """
-    if n > RANK_PUSHDOWN:
-        parts = F.pmod(F.xxhash64(*rows.columns), F.lit(1000))
-        inner = Window.partitionBy(*keys, "_part").orderBy(*order)
-        rows = (
-            rows.withColumn("_part", parts)
-            .withColumn("_rank", F.row_number().over(inner))
-            .filter(F.col("_rank") <= n)
-            .drop("_part", "_rank")
-        )
+    """The first ``n`` rows of each key; Spark keeps only ``n`` rows per key in each task before the shuffle."""
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 

@@ -19,7 +19,7 @@ def payment_history(payments: DataFrame, trans_codes: DataFrame, n: int, prefix:
     """The newest ``n`` payments of each account, summed by parent transaction and date."""
     codes = trans_codes.filter(F.col("trans_code").startswith(prefix)).select("trans_code").distinct()
     sums = (
-        join_keyed(settled(payments), codes, ["trans_code"], "left_semi", ["trans_num"])
+        join_keyed(settled(payments), codes, ["trans_code"], "left_semi")
         .groupBy(*ACCOUNT, "parent_tr", "pay_date")
         .agg((-total(F.col("amount"))).cast("decimal(15,2)").alias("payamount"))
     )
@@ -40,7 +40,7 @@ def payment_history_by_batch(payments: DataFrame, n: int) -> DataFrame:
 
 def payments_excluding_codes(payments: DataFrame, codes: DataFrame, column: str) -> DataFrame:
     """Settled payments whose code is not in a list (SQL ``NOT IN``)."""
-    return exclude_listed(settled(payments), "trans_code", codes, column, row_id=["trans_num"])
+    return exclude_listed(settled(payments), "trans_code", codes, column)
 
 
 def _sum_parts(*parts: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def pending_payments(payments: DataFrame, trans_codes: DataFrame, ext_pending: D
         (F.col("amount") < 0) & ~F.col("processed") & ~F.col("is_deleted") & counted
     )
     own = (
-        join_keyed(waiting, cash, ["trans_code"], "left_semi", ["trans_num"])
+        join_keyed(waiting, cash, ["trans_code"], "left_semi")
         .groupBy(*ACCOUNT)
         .agg(total(F.col("amount")).alias("pending"))
     )
@@ -104,11 +104,10 @@ def last_payment(
         cash,
         ["batch_id"],
         "left",
-        ["trans_num"],
     )
     listed = F.col("_cash").isNotNull() & (F.rtrim("ar_code") != "")
     if deposit_codes is not None:
-        paid = flag_unlisted(paid, "trans_code", deposit_codes, "deposit_code", "_no_deposit", row_id=["trans_num"])
+        paid = flag_unlisted(paid, "trans_code", deposit_codes, "deposit_code", "_no_deposit")
         listed = listed & F.col("_no_deposit")
     paid = paid.select(
         *ACCOUNT, "trans_num", "batch_id", "pay_date", "amount", F.coalesce(listed, F.lit(False)).alias("listed")
@@ -132,7 +131,7 @@ def last_payment(
     )
     # the first payment itself always qualifies, so every account with a run has a sum
     return (
-        join_keyed(paid, run, ACCOUNT, "inner", ["trans_num"])
+        join_keyed(paid, run, ACCOUNT, "inner")
         .filter(whole_day | in_run)
         .groupBy(*ACCOUNT)
         .agg(

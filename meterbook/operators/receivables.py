@@ -23,14 +23,14 @@ def before_due_payments(ar_txns: DataFrame, lines: DataFrame, trans_codes: DataF
     # both kinds are narrowed by what their own row tells before any row is moved
     paid = ar_txns.filter((F.col("amount") < 0) & (F.col("bill_number") == 0)).select(fields)
     adjustments = trans_codes.filter(F.col("transaction_type") == "AD")
-    paid = exclude_listed(paid, "trans_code", adjustments, "trans_code", row_id=["trans_num"])
-    paid = join_keyed(paid, state, ACCOUNT, "inner", ["trans_num"]).filter(since).drop("calc_ts")
-    paid = exclude_listed(paid, "trans_num", lines, "trans_num", per=["account"], row_id=["trans_num"])
+    paid = exclude_listed(paid, "trans_code", adjustments, "trans_code")
+    paid = join_keyed(paid, state, ACCOUNT, "inner").filter(since).drop("calc_ts")
+    paid = exclude_listed(paid, "trans_num", lines, "trans_num", per=["account"])
 
     aged = trans_codes.filter("use_original_age").select("trans_code").distinct()
     returned = ar_txns.filter((F.col("amount") > 0) & ~F.col("is_statement")).select(fields)
-    returned = join_keyed(returned, aged, ["trans_code"], "left_semi", ["trans_num"])
-    returned = join_keyed(returned, state, ACCOUNT, "inner", ["trans_num"]).filter(since).drop("calc_ts")
+    returned = join_keyed(returned, aged, ["trans_code"], "left_semi")
+    returned = join_keyed(returned, state, ACCOUNT, "inner").filter(since).drop("calc_ts")
     columns = [*ACCOUNT, "amount"]
     return (
         paid.select(columns)
@@ -104,9 +104,9 @@ def unbilled_amount(
     charges = open_charges(ar_txns, as_of)
     if notice_codes:
         outside = trans_codes.filter(~F.col("include_in_owing")).select("trans_code").distinct()
-        charges = join_keyed(charges, outside, ["trans_code"], "left_semi", ["trans_num"])
+        charges = join_keyed(charges, outside, ["trans_code"], "left_semi")
     charges = join_keyed(
-        charges, exclusions.select(*ACCOUNT, "exclude_codes"), ACCOUNT, "inner", ["trans_num"]
+        charges, exclusions.select(*ACCOUNT, "exclude_codes"), ACCOUNT, "inner"
     ).filter(~listed(F.col("trans_code"), F.col("exclude_codes"), exact_tokens)).drop("exclude_codes")
 
     unlinked = charges.filter((F.col("bill_number") == 0) & (F.col("linked_trans_num") == 0))
@@ -114,16 +114,15 @@ def unbilled_amount(
         (F.col("bill_number") == 0) & F.coalesce(F.col("linked_trans_num") != 0, F.lit(True))
     )
     on_lines = lines.select("trans_num").distinct()
-    unlisted = join_keyed(linked, on_lines, ["trans_num"], "left_anti", ["trans_num"])
+    unlisted = join_keyed(linked, on_lines, ["trans_num"], "left_anti")
 
     # a bill that does not exist counts as due on the day itself, so never as past due
     paid_for = payments.filter(F.col("paid_bill") != 0).select("trans_num", F.col("paid_bill").alias("bill_number"))
     due = bills.filter(F.col("due_date") < day(as_of)).select("bill_number").distinct()
     billed = join_keyed(
         charges.filter(F.col("bill_number") != 0), paid_for.distinct(), ["trans_num", "bill_number"], "left_semi",
-        ["trans_num"],
     )
-    billed = join_keyed(billed, due, ["bill_number"], "left_semi", ["trans_num"])
+    billed = join_keyed(billed, due, ["bill_number"], "left_semi")
     columns = [*ACCOUNT, "amount"]
     return (
         unlinked.select(columns)
@@ -143,9 +142,9 @@ def nsf_amount(ar_txns: DataFrame, trans_codes: DataFrame, last_bills: DataFrame
     rows = ar_txns.filter((F.col("amount") > 0) & F.col("aging_date").isNull()).select(
         *ACCOUNT, "trans_num", "trans_code", "amount", "trans_date"
     )
-    rows = join_keyed(rows, returned, ["trans_code"], "left_semi", ["trans_num"])
+    rows = join_keyed(rows, returned, ["trans_code"], "left_semi")
     return (
-        join_keyed(rows, last_bills.select(*ACCOUNT, "bill_date"), ACCOUNT, "left", ["trans_num"])
+        join_keyed(rows, last_bills.select(*ACCOUNT, "bill_date"), ACCOUNT, "left")
         .filter(F.col("trans_date") > F.coalesce("bill_date", day(as_of)))
         .groupBy(*ACCOUNT)
         .agg(total(F.col("amount")).alias("nsf_amount"))
@@ -173,14 +172,14 @@ def not_due_lines(
     rows = lines.filter((F.col("orig_bill") == 0) & (F.col("trans_num") > 0) & (F.col("sum_flag") != 5)).select(
         "account", "bill_number", "trans_num", "trans_code", "amount", "in_balance", "ar_code"
     )
-    rows = join_keyed(rows, due, ["bill_number"], "left_semi", ["bill_number", "trans_num"])
+    rows = join_keyed(rows, due, ["bill_number"], "left_semi")
     types = trans_codes.groupBy("trans_code").agg(F.max("transaction_type").alias("transaction_type"))
-    rows = join_keyed(rows, types, ["trans_code"], "inner", ["bill_number", "trans_num"]).filter(
+    rows = join_keyed(rows, types, ["trans_code"], "inner").filter(
         ~F.col("in_balance") | ((F.col("transaction_type") != "CA") & (F.col("amount") > 0))
     )
     rows = rows.filter(~listed(F.col("trans_code"), balance_list, exact_tokens))
     deposits = ar_codes.filter(F.col("deposit_paid") | F.col("deposit_interest"))
-    rows = exclude_listed(rows, "ar_code", deposits, "ar_code", row_id=["bill_number", "trans_num"])
+    rows = exclude_listed(rows, "ar_code", deposits, "ar_code")
 
     sums = (
         rows.groupBy("account", "trans_code").agg(total(F.col("amount")).alias("amount"))
@@ -192,17 +191,13 @@ def not_due_lines(
             nsf,
             ["trans_code"],
             "left_semi",
-            ["trans_num"],
         )
         .select(*ACCOUNT, "trans_code")
         .distinct()
     )
     pairs = accounts.select(*ACCOUNT).distinct()
     return (
-        join_keyed(pairs, sums.groupBy("account").agg(F.collect_list(F.struct("trans_code", "amount")).alias("codes")),
-                   ["account"], "inner", ACCOUNT)
-        .select(*ACCOUNT, F.explode("codes").alias("c"))
-        .select(*ACCOUNT, "c.*")
+        pairs.join(sums, "account")
         .join(aged, [*ACCOUNT, "trans_code"], "left_anti")
         .groupBy(*ACCOUNT)
         .agg(total(F.col("amount")).alias("not_due_amount"))
@@ -231,7 +226,6 @@ def plan_adjustments(lines: DataFrame, state: DataFrame, exact_tokens: bool = Fa
             state.select(*ACCOUNT, "plan_bill_number", "exclude_codes"),
             ["account", "plan_bill_number"],
             "inner",
-            ["account", "plan_bill_number", "trans_code"],
         )
         .filter(~listed(F.col("trans_code"), F.col("exclude_codes"), exact_tokens))
         .groupBy(*ACCOUNT)
@@ -245,7 +239,7 @@ def bill_adjustments_v1(lines: DataFrame, trans_codes: DataFrame, last_bills: Da
         F.col("in_balance") & (F.col("sum_flag") == 0) & (F.col("trans_num") > 0) & (F.col("amount") > 0)
     )
     owing = trans_codes.filter("include_in_owing")
-    counted = exclude_listed(counted, "trans_code", owing, "trans_code", row_id=["bill_number", "trans_num"])
+    counted = exclude_listed(counted, "trans_code", owing, "trans_code")
     sums = counted.groupBy("bill_number").agg(total(F.col("amount")).alias("bill_adjustments"))
     return (
         last_bills.select(*ACCOUNT, "bill_number")
@@ -260,14 +254,14 @@ def later_charges_v1(ar_txns: DataFrame, lines: DataFrame, trans_codes: DataFram
     rows = ar_txns.filter((F.col("amount") > 0) & ~F.col("is_statement")).select(
         *ACCOUNT, "trans_num", "bill_number", "trans_code", "amount", "trans_date"
     )
-    rows = exclude_listed(rows, "trans_code", owing, "trans_code", row_id=["trans_num"])
-    rows = join_keyed(rows, last_bills.select(*ACCOUNT, "bill_date"), ACCOUNT, "left", ["trans_num"]).filter(
+    rows = exclude_listed(rows, "trans_code", owing, "trans_code")
+    rows = join_keyed(rows, last_bills.select(*ACCOUNT, "bill_date"), ACCOUNT, "left").filter(
         F.col("trans_date") > or_empty_date(F.col("bill_date"))
     )
     no_bill = rows.filter(F.coalesce("bill_number", F.lit(0)) <= 0)
     on_lines = lines.select("bill_number", "trans_num").distinct()
     unlisted = join_keyed(
-        rows.filter(F.col("bill_number") > 0), on_lines, ["bill_number", "trans_num"], "left_anti", ["trans_num"]
+        rows.filter(F.col("bill_number") > 0), on_lines, ["bill_number", "trans_num"], "left_anti"
     )
     columns = [*ACCOUNT, "amount"]
     return (

@@ -26,7 +26,6 @@ def service_accounts_semi(
         target_accounts(accounts, account_type, division),
         ["account"],
         "left_semi",
-        ["service_id"],
     )
 
 
@@ -87,7 +86,7 @@ def multiplier_profile(
     per_account = numeric_targets(accounts, account_type, company, division)
     own = services.filter(code_number(F.col("service")) == service).select("account", "service", "service_id")
     per_service = (
-        join_keyed(own, per_account, ["account"], "inner", ["service_id"])
+        join_keyed(own, per_account, ["account"], "inner")
         .groupBy("account_type", "service", F.col("service_id").alias("servgrp_id"))
         .agg(F.sum("account_rows").alias("n"))
     )
@@ -116,15 +115,15 @@ def add_multipliers(
     """
     per_account = numeric_targets(accounts, account_type, company, division).select("account")
     own = services.filter(code_number(F.col("service")) == service)
-    ids = join_keyed(own, per_account, ["account"], "left_semi", ["service_id"]).select("service_id").distinct()
-    rows = join_keyed(services, ids, ["service_id"], "left_semi", ["service_id", "account"])
+    ids = join_keyed(own, per_account, ["account"], "left_semi").select("service_id").distinct()
+    rows = join_keyed(services, ids, ["service_id"], "left_semi")
     if only_missing:
         ones = (
             multipliers.filter(F.col("multiplier") == 1)
             .select(F.col("servgrp_id").alias("service_id"))
             .distinct()
         )
-        rows = join_keyed(rows, ones, ["service_id"], "left_anti", ["service_id", "account"])
+        rows = join_keyed(rows, ones, ["service_id"], "left_anti")
     rows = rows.select("service_id", "account", "install_date", "service")
     numbered = assign_ids(
         rows,

@@ -21,9 +21,9 @@ def missing_system_txns(
         "bill_number", "batch_id", "account", "bill_date", "user_id", "orig_bill"
     )
     present = lines.filter(F.col("trans_code") == code).select("bill_number").distinct()
-    lacking = join_keyed(cancelled, present, ["bill_number"], "left_anti", ["bill_number"])
+    lacking = join_keyed(cancelled, present, ["bill_number"], "left_anti")
     originals = bills.select(F.col("bill_number").alias("orig_bill"), "amount_due_before")
-    rows = join_keyed(lacking, originals, ["orig_bill"], "left", ["bill_number"])
+    rows = join_keyed(lacking, originals, ["orig_bill"], "left")
 
     # What a system line carries.
     constants = {

@@ -17,7 +17,7 @@ from meterbook.operators.arrangements import arrangement_status
 from meterbook.operators.bills import disconnect_on, grace_days, with_holidays
 from meterbook.operators.comments import cash_only, comment_restrictions, comment_restrictions_v1
 from meterbook.operators.contacts import phone_by_priority
-from meterbook.operators.joins import join_keyed
+from meterbook.operators.joins import earliest, join_keyed
 from meterbook.operators.payments import last_payment, pending_payments_v1
 from meterbook.operators.receivables import before_due_payments, due_before_due_date
 from meterbook.plans.past_due import past_due_frame, past_due_frame_v1
@@ -26,9 +26,11 @@ ACCOUNT = ["customer", "account"]
 
 
 def _names(customers: DataFrame) -> DataFrame:
-    return customers.groupBy("customer").agg(
-        F.min_by("first_name", F.struct("last_name", "first_name")).alias("first_name"),
-        F.min("last_name").alias("last_name"),
+    """Both names from the same row of a customer, the first by last and first name."""
+    return (
+        customers.groupBy("customer")
+        .agg(earliest(["first_name", "last_name"], ["last_name", "first_name"]).alias("n"))
+        .select("customer", "n.*")
     )
 
 
@@ -59,7 +61,6 @@ def account_summary(
     The bill number is that of the current bill.
     """
     frame = past_due_frame(tables, as_of, notice_codes, exact_tokens)
-    accounts = frame.select(*ACCOUNT)
     billed = frame.filter("calc_ts is not null").select(*ACCOUNT, "calc_ts")
     parts = [
         before_due_payments(tables.ar_txns, tables.bill_lines, tables.trans_codes, billed),
@@ -79,12 +80,12 @@ def account_summary(
     grace = grace_days(tables.grace_days).select(
         F.col("account_type").alias("bill_account_type"), F.col("bill_type").alias("bill_bill_type"), "grace_days"
     )
-    frame = join_keyed(frame, grace, ["bill_account_type", "bill_bill_type"], "left", ACCOUNT)
+    frame = join_keyed(frame, grace, ["bill_account_type", "bill_bill_type"], "left")
     address = service_address(tables.service_addresses, tables.street_prefixes, tables.num_suffixes)
-    frame = join_keyed(frame, address, ["account"], "left", ACCOUNT)
-    frame = join_keyed(frame, _names(tables.customers), ["customer"], "left", ACCOUNT)
+    frame = join_keyed(frame, address, ["account"], "left")
+    frame = join_keyed(frame, _names(tables.customers), ["customer"], "left")
     phones = phone_by_priority(tables.contacts, tables.phone_types, phone_types)
-    frame = join_keyed(frame, phones, ["customer"], "left", ACCOUNT)
+    frame = join_keyed(frame, phones, ["customer"], "left")
     frame = with_holidays(frame, holidays)
 
     bill = F.col("current")
@@ -163,14 +164,14 @@ def account_summary_v1(
     for part in parts:
         frame = frame.join(part, ACCOUNT, "left")
     grace = grace_days(tables.grace_days).withColumnRenamed("account_type", "bill_account_type")
-    frame = join_keyed(frame, grace, ["bill_account_type", "bill_type"], "left", ACCOUNT)
+    frame = join_keyed(frame, grace, ["bill_account_type", "bill_type"], "left")
     address = service_address(tables.service_addresses, tables.street_prefixes, tables.num_suffixes, v1=True)
-    frame = join_keyed(frame, address.withColumn("_addr", F.lit(True)), ["account"], "left", ACCOUNT)
+    frame = join_keyed(frame, address.withColumn("_addr", F.lit(True)), ["account"], "left")
     frame = join_keyed(
-        frame, _names(tables.customers).withColumn("_named", F.lit(True)), ["customer"], "left", ACCOUNT
+        frame, _names(tables.customers).withColumn("_named", F.lit(True)), ["customer"], "left"
     )
     phones = phone_by_priority(tables.contacts, tables.phone_types, phone_types)
-    frame = join_keyed(frame, phones, ["customer"], "left", ACCOUNT)
+    frame = join_keyed(frame, phones, ["customer"], "left")
     frame = with_holidays(frame, holidays)
 
     def kept(flag: str, name: str):

@@ -53,7 +53,7 @@ def query(make: Query) -> Query:
 
 @query
 def code_crosswalk(t):
-    return codes.translate_codes(t.external_codes, t.crosswalk, 25, "external_value", row_id=["event_id"])
+    return codes.translate_codes(t.external_codes, t.crosswalk, 25, "external_value")
 
 
 @query

@@ -28,19 +28,3 @@ def spark():
 
     yield tune(session)
     session.stop()
-
-
-@pytest.fixture
-def hot(spark):
-    """Treat every input as large, broadcast nothing by size, split keys over 1/8 of the rows."""
-    settings = {
-        "meterbook.hot.minBytes": "0",
-        "meterbook.hot.minRows": "2",
-        "meterbook.hot.slices": "8",
-        "meterbook.broadcast.maxBytes": "-1",
-    }
-    for name, value in settings.items():
-        spark.conf.set(name, value)
-    yield spark
-    for name in settings:
-        spark.conf.unset(name)

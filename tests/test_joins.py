@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterbook.operators.ids import assign_ids, highest_id
-from meterbook.operators.joins import exclude_listed, hot_keys, join_keyed, top_per_key
+from meterbook.operators.joins import exclude_listed, join_keyed, top_per_key
 
 
 def rows_of(frame, *columns):
@@ -18,29 +18,38 @@ def skewed(spark):
     return spark.range(1000).select(key.alias("k"), "id").repartition(3)
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_split_join_is_a_plain_join(hot, skewed, how):
-    keyed = hot.createDataFrame([(1, "one"), (805, "other"), (5000, "none"), (None, "null")], "k long, v string")
-    plain = skewed.join(keyed, "k", how)
-    split = join_keyed(skewed, keyed, ["k"], how, ["id"])
-    assert split.columns == plain.columns
-    assert rows_of(split, *plain.columns) == rows_of(plain, *plain.columns)
-
-
-def test_hot_key_is_spread(hot, skewed):
-    found = {r["k"]: r["_slices"] for r in hot_keys(skewed, ["k"]).collect()}
-    assert found == {1: 5, None: 2}
-    keyed = hot.createDataFrame([(1, "one")], "k long, v string")
-    plan = join_keyed(skewed, keyed, ["k"], "left", ["id"])._jdf.queryExecution().toString()
-    assert "_slice" in plan
+@pytest.fixture
+def splitting(spark):
+    """Join by sorting, and split every partition over a few hundred bytes."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
 
 
-def test_even_keys_are_not_split(hot):
-    rows = hot.range(1000).select(F.col("id").alias("k"), "id")
-    assert hot_keys(rows, ["k"]) is None
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_skewed_join_is_split_at_run_time(splitting, how):
+    rows = splitting.range(0, 40000, 1, 8).select(F.when(F.col("id") % 10 < 9, 1).otherwise(F.col("id")).alias("k"), "id")
+    keyed = splitting.createDataFrame([(k, "v") for k in (9, 19, 5000)] + ([] if how == "left_anti" else [(1, "one")]), "k long, v string")
+    joined = join_keyed(rows, keyed, ["k"], how)
+    found = joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    matched = 2 if how == "left_anti" else 36002
+    assert len(found) == {"left": 40000, "left_anti": 40000 - matched}.get(how, matched)
 
 
-def test_slices_would_change_an_outer_join(spark, skewed):
+def test_outer_join_is_refused(spark, skewed):
     with pytest.raises(ValueError):
         join_keyed(skewed, skewed, ["k"], "full")
 
@@ -56,15 +65,13 @@ def test_not_in_null_rules(spark, listed, kept):
     assert sorted(found, key=str) == sorted(kept, key=str)
 
 
-def test_not_in_per_key(spark, request):
+def test_not_in_per_key(spark):
     rows = spark.createDataFrame(
         [(1, "A"), (1, "B"), (2, "A"), (3, "A"), (3, None), (4, None)], "k int, code string"
     )
     values = spark.createDataFrame([(1, "A"), (2, None), (4, "Z")], "k int, v string")
     expected = [(1, "B"), (3, "A"), (3, None)]
     assert rows_of(exclude_listed(rows, "code", values, "v", per=["k"]), "k", "code") == expected
-    request.getfixturevalue("hot")
-    assert rows_of(exclude_listed(rows, "code", values, "v", per=["k"]), "k", "code") == expected
 
 
 def test_top_per_key_limits_before_the_shuffle(spark):
@@ -75,10 +82,11 @@ def test_top_per_key_limits_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_top_per_key_above_the_rank_threshold(spark):
-    rows = spark.range(5000).select(F.lit(1).alias("k"), "id")
+def test_top_per_key_of_many(spark):
+    rows = spark.range(5000).select((F.col("id") % 2).alias("k"), "id")
     picked = top_per_key(rows, ["k"], [F.desc("id")], 1200)
-    assert {r["id"] for r in picked.collect()} == set(range(3800, 5000))
+    assert picked._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+    assert {r["id"] for r in picked.collect()} == set(range(2600, 5000))
 
 
 def test_ids_are_contiguous_and_ordered(spark):

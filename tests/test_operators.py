@@ -67,9 +67,9 @@ def test_last_payment_with_a_null_deposit_code_finds_nothing(spark):
     assert paid(spark, [pay(5, -10, 1, "2001-03-03")], deposits=("DEP1", None)) == {}
 
 
-def test_last_payment_of_a_hot_account(hot):
+def test_last_payment_of_a_hot_account(spark):
     rows = [pay(n, -1, 1, "2001-01-01") for n in range(1, 41)] + [pay(100, -5, 2, "2001-02-01", account=2)]
-    assert paid(hot, rows) == {1: (-40, "2001-01-01"), 2: (-5, "2001-02-01")}
+    assert paid(spark, rows) == {1: (-40, "2001-01-01"), 2: (-5, "2001-02-01")}
 
 
 def test_arrangement_of_a_group_is_its_next_one(spark):
