@@ -77,8 +77,8 @@ def service_address(
     """Street number and street line of each service address.
 
     Number and descriptions default to blank; street, suffix and apartment do not, so a
-    NULL there leaves the line NULL. The older form writes the raw prefix and does not
-    default the number.
+    NULL there leaves the line NULL. The older form writes the raw prefix and the number's
+    own text, and does not default it.
     """
     rows = join_keyed(
         addresses,
@@ -86,9 +86,9 @@ def service_address(
         ["num_suffix"],
         "left",
     )
-    number = F.col("street_num").cast("int").cast("string")
-    prefix = F.col("street_prefix")
+    number, prefix = F.col("street_num_text") if v1 else None, F.col("street_prefix")
     if not v1:
+        number = F.col("street_num").cast("int").cast("string")
         rows = join_keyed(
             rows,
             prefixes.groupBy("street_prefix").agg(F.min("description").alias("prefix_text")),
@@ -107,6 +107,16 @@ def service_address(
     )
 
 
+def _default(data_type) -> Column:
+    """What an answer without data holds: blank text, the empty date or 0."""
+    kind = data_type.typeName()
+    if kind == "string":
+        return F.lit("")
+    if kind == "date":
+        return or_empty_date(F.lit(None).cast("date"))
+    return F.lit(0).cast(data_type)
+
+
 def validated_lookup(
     requests: DataFrame, accounts: DataFrame, result: DataFrame, request_id: str = "request_id"
 ) -> DataFrame:
@@ -123,18 +133,47 @@ def validated_lookup(
     for field in result.schema.fields:
         if field.name in ACCOUNT:
             continue
-        kind = field.dataType.typeName()
-        if kind == "string":
-            default = F.lit("")
-        elif kind == "date":
-            default = or_empty_date(F.lit(None).cast("date"))
-        else:
-            default = F.lit(0).cast(field.dataType)
-        filled.append(F.when(valid, F.col(field.name)).otherwise(default).alias(field.name))
+        filled.append(F.when(valid, F.col(field.name)).otherwise(_default(field.dataType)).alias(field.name))
     return rows.select(request_id, *ACCOUNT, F.when(valid, 1).otherwise(0).alias("responsecode"), *filled)
 
 
+def validated_rows(
+    requests: DataFrame,
+    accounts: DataFrame,
+    result: DataFrame,
+    newest_first: str,
+    request_id: str = "request_id",
+    readable: Column | None = None,
+    within: Column | None = None,
+) -> DataFrame:
+    """All result rows of each valid (customer, account) request, or one row of defaults for an invalid one.
+
+    A request is valid when the pair exists among the accounts and ``readable`` holds; a valid one without result
+    rows (those that pass ``within``) has none. Rows come by request and then newest first.
+    """
+    known = accounts.select(*ACCOUNT).distinct().withColumn("_known", F.lit(True))
+    valid = F.col("_known").isNotNull()
+    if readable is not None:
+        valid = valid & readable
+    judged = join_keyed(requests, known, ACCOUNT).withColumn("_valid", F.coalesce(valid, F.lit(False)))
+    fields = [f for f in result.schema.fields if f.name not in ACCOUNT]
+    found = judged.filter("_valid").join(result, ACCOUNT)
+    found = found if within is None else found.filter(within)
+    refused = judged.filter(~F.col("_valid")).select(request_id, *[_default(f.dataType).alias(f.name) for f in fields])
+    rows = found.select(request_id, *[f.name for f in fields]).unionByName(refused)
+    return rows.orderBy(request_id, F.desc(newest_first))
+
+
 def parsed_date(text: Column) -> Column:
     """A date from caller text; text that is no date gives NULL instead of failing."""
     return F.try_to_date(text, "yyyy-MM-dd")
 
+
+def request_date(text: Column) -> Column:
+    """A request's date text: blank text is the empty date, NULL stays NULL, text that is no date gives NULL."""
+    return F.when(F.trim(text) == "", or_empty_date(F.lit(None).cast("date"))).otherwise(parsed_date(text))
+
+
+def is_readable(text: Column) -> Column:
+    """False for a text that is no date."""
+    return text.isNull() | request_date(text).isNotNull()

@@ -13,6 +13,7 @@ from meterbook.functions.rules import (
     or_zero,
     total,
 )
+from meterbook.operators.accounts import is_readable, request_date, validated_rows
 from meterbook.operators.joins import join_keyed, newest
 
 ACCOUNT = ["customer", "account"]
@@ -163,21 +164,21 @@ def group_not_due(bills: DataFrame, as_of) -> DataFrame:
 def master_not_due(accounts: DataFrame, bill_groups: DataFrame, bills: DataFrame, as_of) -> DataFrame:
     """Master accounts of groups that update their master, with the group's amount not yet due.
 
-    A pair with several master rows takes the one with the lowest account status.
+    ``accounts`` are all account rows. A pair with several such masters takes the one with the greatest account
+    status (then the greatest group): the original keeps the last row of that order.
     """
     updating = bill_groups.filter("updates_master").select("bill_group").distinct()
     masters = (
         join_keyed(accounts.filter("is_master"), updating, ["bill_group"], "left_semi")
         .groupBy(*ACCOUNT)
-        .agg(F.min_by("bill_group", F.struct("account_status", "bill_group")).alias("bill_group"))
+        .agg(F.max_by("bill_group", F.struct("account_status", "bill_group")).alias("bill_group"))
     )
     return join_keyed(masters, group_not_due(bills, as_of), ["bill_group"], "left").select(
         *ACCOUNT, "bill_group", or_zero(F.col("group_not_due")).alias("master_not_due")
     )
 
 
-def billing_history(bills: DataFrame, first: str, last: str) -> DataFrame:
-    """Real bills of a closed date range with the amount owing at each."""
+def _history(bills: DataFrame) -> DataFrame:
     owing = F.when(F.col("plan_type").startswith("L"), F.col("balance_forward")).otherwise(
         F.col("balance_forward")
         + F.col("cancelled_billing")
@@ -186,8 +187,8 @@ def billing_history(bills: DataFrame, first: str, last: str) -> DataFrame:
     )
     return (
         billable_bills(bills)
-        .filter(F.col("bill_date").between(day(first), day(last)))
         .select(
+            *ACCOUNT,
             F.lit(1).alias("responsecode"),
             F.col("customer").alias("customernumber"),
             F.col("account").alias("accountnumber"),
@@ -198,3 +199,24 @@ def billing_history(bills: DataFrame, first: str, last: str) -> DataFrame:
             money(owing).alias("owing"),
         )
     )
+
+
+def billing_history(bills: DataFrame, first: str, last: str) -> DataFrame:
+    """Real bills of a closed date range with the amount owing at each."""
+    return _history(bills).filter(F.col("billdate").between(day(first), day(last))).drop(*ACCOUNT)
+
+
+def billing_history_lookup(requests: DataFrame, accounts: DataFrame, bills: DataFrame) -> DataFrame:
+    """The billing history that each request asks for by customer, account and two date texts.
+
+    A text that is no date, or an unknown pair, is answered with response code 0 and defaults.
+    """
+    first, last = F.col("first_text"), F.col("last_text")
+    return validated_rows(
+        requests,
+        accounts,
+        _history(bills),
+        "billdate",
+        readable=is_readable(first) & is_readable(last),
+        within=F.col("billdate").between(request_date(first), request_date(last)),
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from meterbook.functions.rules import total
+from meterbook.operators.accounts import validated_rows
 from meterbook.operators.joins import exclude_listed, flag_unlisted, join_keyed, top_per_key
 
 ACCOUNT = ["customer", "account"]
@@ -27,6 +28,13 @@ def payment_history(payments: DataFrame, trans_codes: DataFrame, n: int, prefix:
     return picked.select(*ACCOUNT, F.lit(1).alias("responsecode"), "payamount", F.col("pay_date").alias("paydate"))
 
 
+def payment_history_lookup(
+    requests: DataFrame, accounts: DataFrame, payments: DataFrame, trans_codes: DataFrame, n: int
+) -> DataFrame:
+    """The payment history of each requested pair; an unknown pair has response code 0 and defaults."""
+    return validated_rows(requests, accounts, payment_history(payments, trans_codes, n), "paydate")
+
+
 def payment_history_by_batch(payments: DataFrame, n: int) -> DataFrame:
     """The older form: signed sums by batch and date, any transaction code."""
     sums = (

@@ -18,17 +18,31 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Put one folder in the place of another."""
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def snapshot(df: DataFrame, path: str, mode: str = "if_absent") -> DataFrame:
     """Write a copy of a table and return its row count.
 
-    ``if_absent`` leaves a finished copy alone, ``replace`` writes it anew.
+    ``if_absent`` leaves a finished copy alone, ``replace`` writes it anew: aside first, then
+    in place of the old copy, so that ``df`` may read the table it replaces.
     """
     if mode not in ("if_absent", "replace"):
         raise ValueError(mode)
     spark = df.sparkSession
     if mode == "replace" or not table_exists(spark, path):
         # an unfinished copy (no success marker) is written over as well
-        df.write.mode("overwrite").parquet(path)
+        aside = f"{path}-{uuid.uuid4().hex}"
+        df.write.parquet(aside)
+        _move(spark, aside, path)
+        spark.catalog.refreshByPath(path)
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("snapshot_rows"))
 
 

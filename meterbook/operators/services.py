@@ -98,6 +98,66 @@ def multiplier_profile(
     )
 
 
+def _target_rows(accounts: DataFrame, account_type: str, company: int, division: int) -> DataFrame:
+    """Account rows per (customer, account) for a type, company and division compared as numbers."""
+    return (
+        accounts.filter(
+            (F.col("account_type") == account_type)
+            & (code_number(F.col("company")) == company)
+            & (code_number(F.col("division")) == division)
+        )
+        .groupBy("customer", "account", "account_type")
+        .agg(F.count(F.lit(1)).alias("account_rows"))
+    )
+
+
+def multiplier_targets(
+    services: DataFrame, accounts: DataFrame, account_type: str, service: int, company: int, division: int
+) -> DataFrame:
+    """Account × service rows that need a multiplier, counted per customer, account, type and service."""
+    own = services.filter(code_number(F.col("service")) == service)
+    per_service = own.groupBy("account", "service").agg(F.count(F.lit(1)).alias("n"))
+    return _target_rows(accounts, account_type, company, division).join(per_service, "account").select(
+        "customer", "account", "account_type", "service", (F.col("account_rows") * F.col("n")).alias("record_count")
+    )
+
+
+def multiplier_verification(
+    services: DataFrame,
+    accounts: DataFrame,
+    multipliers: DataFrame,
+    account_type: str,
+    service: int,
+    company: int,
+    division: int,
+) -> DataFrame:
+    """The same counts over the rows that multiplier 1 joins back to."""
+    ones = multipliers.filter(F.col("multiplier") == 1).groupBy(F.col("servgrp_id").alias("service_id"))
+    own = services.filter(code_number(F.col("service")) == service).select("account", "service", "service_id")
+    per_service = (
+        join_keyed(own, ones.agg(F.count(F.lit(1)).alias("m")), ["service_id"], "inner")
+        .groupBy("account", "service")
+        .agg(F.sum("m").alias("n"))
+    )
+    return _target_rows(accounts, account_type, company, division).join(per_service, "account").select(
+        "customer",
+        "account",
+        "account_type",
+        "service",
+        F.lit(1).alias("multiplier"),
+        (F.col("account_rows") * F.col("n")).alias("verified_count"),
+    )
+
+
+def target_services(
+    services: DataFrame, accounts: DataFrame, account_type: str, service: int, company: int, division: int
+) -> int:
+    """How many distinct services need a multiplier."""
+    own = services.filter(code_number(F.col("service")) == service)
+    targets = _target_rows(accounts, account_type, company, division).select("account").distinct()
+    return join_keyed(own, targets, ["account"], "left_semi").select("service_id").distinct().count()
+
+
 def add_multipliers(
     services: DataFrame,
     accounts: DataFrame,

@@ -16,7 +16,7 @@ from meterbook.operators.accounts import (
 from meterbook.operators.arrangements import arrangement_status
 from meterbook.operators.bills import disconnect_on, grace_days, with_holidays
 from meterbook.operators.comments import cash_only, comment_restrictions, comment_restrictions_v1
-from meterbook.operators.contacts import phone_by_priority
+from meterbook.operators.contacts import phone_by_priority, phone_by_priority_v1
 from meterbook.operators.joins import earliest, join_keyed
 from meterbook.operators.payments import last_payment, pending_payments_v1
 from meterbook.operators.receivables import before_due_payments, due_before_due_date
@@ -170,7 +170,7 @@ def account_summary_v1(
     frame = join_keyed(
         frame, _names(tables.customers).withColumn("_named", F.lit(True)), ["customer"], "left"
     )
-    phones = phone_by_priority(tables.contacts, tables.phone_types, phone_types)
+    phones = phone_by_priority_v1(tables.contacts, tables.phone_types, phone_types)
     frame = join_keyed(frame, phones, ["customer"], "left")
     frame = with_holidays(frame, holidays)
 

@@ -90,7 +90,10 @@ def past_due_frame(tables, as_of, notice_codes: bool | None = None, exact_tokens
     notice = notice_codes_on(tables.trans_codes) if notice_codes is None else notice_codes
     state = account_state(tables, as_of)
     master = master_not_due(
-        state.select(*ACCOUNT, "is_master", "bill_group", "account_status"), tables.bill_groups, tables.bills, as_of
+        tables.accounts.select(*ACCOUNT, "is_master", "bill_group", "account_status"),
+        tables.bill_groups,
+        tables.bills,
+        as_of,
     ).select(*ACCOUNT, "master_not_due")
 
     plan_rows = state.filter("use_plan_billed and plan_bill_number is not null")

@@ -27,7 +27,7 @@ from meterbook.operators.ids import assign_ids, highest_id
 from meterbook.plans import past_due as due, account_summary as summary
 from meterbook.session import shared_dir, tune
 from meterbook.sources.derived import AS_OF, Tables
-from meterbook.sources.tables import append_rows
+from meterbook.sources.tables import append_rows, empty_like
 
 ACCOUNT = ["customer", "account"]
 NEWEST = 3
@@ -65,7 +65,7 @@ def card_type_seed(t):
 def snapshot_if_absent(t):
     path = f"{shared_dir(t.spark)}/{_scratch()}-bill-lines"
     publish.snapshot(t.bill_lines, path)
-    return publish.snapshot(t.bill_lines.limit(0), path)
+    return publish.snapshot(empty_like(t.bill_lines), path)
 
 
 @query
@@ -256,6 +256,11 @@ def phone_by_priority(t):
     return con.phone_by_priority(t.contacts, t.phone_types, PHONES)
 
 
+@query
+def phone_by_priority_v1(t):
+    return con.phone_by_priority_v1(t.contacts, t.phone_types, PHONES)
+
+
 # ---- sorts, limits, distinct ---------------------------------------------------------------------
 
 
@@ -347,6 +352,11 @@ def web_contacts_insert(t):
     return con.web_contacts_insert(t.web_signups, t.web_contacts, AS_OF)
 
 
+@query
+def web_contacts_table(t):
+    return con.web_contacts_table(t.web_signups, t.web_contacts, AS_OF)
+
+
 @query
 def add_multipliers(t):
     return srv.add_multipliers(t.services, t.accounts, t.multipliers, TYPE, 30, 1, 2)
@@ -367,10 +377,26 @@ def add_multipliers_staged(t):
 def checked_append(t):
     base = f"{shared_dir(t.spark)}/{_scratch()}-multipliers"
     publish.snapshot(t.multipliers, base)
-    staged = srv.stage_target_accounts(t.services, t.accounts, SERVICE, TYPE, DIVISION)
-    new = srv.add_multipliers_staged(staged, t.multipliers, STAGED_START, SERVICE)
-    rows = append_rows(t.multipliers.limit(0), new)
-    return publish.checked_append(base, rows, staged.count(), f"{base}-staging")
+    targets = (TYPE, 30, 1, 2)
+    new = srv.add_multipliers(t.services, t.accounts, t.multipliers, *targets)
+    expected = srv.target_services(t.services, t.accounts, *targets)
+
+    def joins_back(staged):
+        found = srv.multiplier_verification(t.services, t.accounts, staged, *targets)
+        return found.agg(F.coalesce(F.sum("verified_count"), F.lit(0))).first()[0] >= expected
+
+    rows = append_rows(empty_like(t.multipliers), new)
+    return publish.checked_append(base, rows, expected, f"{base}-staging", joins_back)
+
+
+@query
+def multiplier_targets(t):
+    return srv.multiplier_targets(t.services, t.accounts, TYPE, 30, 1, 2)
+
+
+@query
+def multiplier_verification(t):
+    return srv.multiplier_verification(t.services, t.accounts, t.multipliers, TYPE, 30, 1, 2)
 
 
 # ---- account operators -----------------------------------------------------------------------------------
@@ -431,7 +457,7 @@ def plan_past_due(t):
 
 @query
 def master_not_due(t):
-    return bills.master_not_due(acc.current_accounts(t.accounts), t.bill_groups, t.bills, AS_OF)
+    return bills.master_not_due(t.accounts, t.bill_groups, t.bills, AS_OF)
 
 
 @query
@@ -503,6 +529,16 @@ def billing_history(t):
     return bills.billing_history(t.bills, "1999-01-01", "2000-12-31")
 
 
+@query
+def billing_history_lookup(t):
+    return bills.billing_history_lookup(t.lookup_requests, t.accounts, t.bills)
+
+
+@query
+def payment_history_lookup(t):
+    return pay.payment_history_lookup(t.lookup_requests, t.accounts, t.payments, t.trans_codes, NEWEST)
+
+
 @query
 def validated_lookup(t):
     balances = current_balance(t)

@@ -38,7 +38,7 @@ def _values(columns: str, rows) -> str:
 DERIVED: dict[str, str] = {
     # ---- accounts, customers, addresses ------------------------------------------------
     "accounts": """
-        select cast(c_custkey as bigint) as customer, cast(c_custkey as bigint) as account,
+        select cast(c_custkey as bigint) as customer, cast(c_custkey + 700000 as bigint) as account,
                substr(c_mktsegment, 1, 2) as account_type,
                '0' || cast(c_nationkey % 3 as varchar(2)) as division, '1' as company,
                case when c_nationkey % 5 = 0 then 'FI' else 'AC' end as account_status,
@@ -50,18 +50,25 @@ DERIVED: dict[str, str] = {
                date '1994-06-01' + cast(c_custkey % 1000 as int) as effective_date
         from {customer}
         union all
-        select cast(c_custkey as bigint) as customer, cast(c_custkey as bigint) as account,
+        select cast(c_custkey as bigint) as customer, cast(c_custkey + 700000 as bigint) as account,
                substr(c_mktsegment, 1, 2), '0' || cast(c_nationkey % 3 as varchar(2)), '1', 'FI', '',
-               'BG' || cast(c_custkey % 8 as varchar(4)), false,
+               'BG' || cast((c_custkey + 4) % 8 as varchar(4)), c_custkey % 100 = 0,
                'X' || cast(c_custkey % 12 as varchar(4)), '0',
                date '1993-01-01' + cast(c_custkey % 1000 as int)
-        from {customer} where c_custkey % 4 = 1""",
+        from {customer} where c_custkey % 4 = 1 or c_custkey % 100 = 0
+        union all
+        select cast(c_custkey + 1 as bigint), cast(c_custkey + 700000 as bigint),
+               substr(c_mktsegment, 1, 2), '02', '1', 'AC', 'PD', 'BG' || cast(c_custkey % 8 as varchar(4)), false,
+               cast(c_custkey % 12 as varchar(4)), '7', date '1995-01-01' + cast(c_custkey % 1000 as int)
+        from {customer} where c_custkey % 30 = 7""",
     "customers": """
         select cast(c_custkey as bigint) as customer, substr(c_name, 1, 8) as first_name, c_name as last_name
         from {customer}""",
     "service_addresses": """
-        select cast(c_custkey as bigint) as account,
+        select cast(c_custkey + 700000 as bigint) as account,
                case when c_custkey % 23 = 0 then null else cast(c_custkey % 9000 + 1 as int) end as street_num,
+               case when c_custkey % 29 <> 0 then cast(c_custkey % 9000 + 1 as varchar(10))
+                    || case when c_custkey % 5 = 0 then 'A' else '' end end as street_num_text,
                'S' || cast(c_custkey % 4 as varchar(2)) as num_suffix,
                'N' || cast(c_nationkey as varchar(4)) as street_prefix,
                c_mktsegment as street,
@@ -75,7 +82,7 @@ DERIVED: dict[str, str] = {
         from {nation} where n_nationkey < 20""",
     "num_suffixes": _values("code, description", [("S0", "1/2"), ("S1", "A"), ("S2", "REAR")]),
     "addresses": """
-        select user_id as customer, user_id as account,
+        select user_id as customer, user_id + 700000 as account,
                case when event_type = 'click' then 'BF'
                     when event_type = 'purchase' and user_id % 3 <> 0 then 'BM' else '' end as add_type,
                'L' || cast(event_id as varchar(12)) as address1,
@@ -83,9 +90,9 @@ DERIVED: dict[str, str] = {
                event_id % 2 = 0 as send_bill, ts as updated
         from {events}""",
     "contacts": """
-        select event_id as contact_info_id, event_id as contact_pk, user_id as customer, user_id as account,
+        select event_id as contact_info_id, event_id as contact_pk, user_id as customer, user_id + 700000 as account,
                'P' || cast(cast(floor(value) as bigint) % 30 as varchar(4)) as phone_type,
-               case when event_id % 11 = 0 then ''
+               case when event_id % 11 = 0 then '' when event_id % 13 = 0 then null
                     else cast(event_id * 7919 % 10000000 as varchar(12)) end as phone_number,
                case event_type when 'click' then 'BF' when 'purchase' then 'BM' else '' end as add_type,
                ts as updated, event_id % 5 = 0 as custom1,
@@ -108,13 +115,13 @@ DERIVED: dict[str, str] = {
                custom1, notes, preferred, contact_times
         from {contacts}
         union all
-        select event_id + 1000000000 as contact_info_id, event_id + 1000000000 as contact_pk,
-               user_id as customer, user_id as account, 'E3',
+        select event_id + 2000000000 as contact_info_id, event_id + 1000000000 as contact_pk,
+               user_id as customer, user_id + 700000 as account, 'E3',
                'u' || cast(user_id as varchar(12)) || '.0@x.test', '', ts, false, null, false, ''
         from {events} where event_type = 'signup' and event_id % 5 = 0""",
     # ---- services and multipliers ------------------------------------------------------
     "services": """
-        select o_custkey as account, case o_orderkey % 3 when 0 then '30' when 1 then '10' else 'W' end as service,
+        select o_custkey + 700000 as account, case o_orderkey % 3 when 0 then '30' when 1 then '10' else 'W' end as service,
                cast(o_orderkey - o_orderkey % 2 as bigint) as servgrp_id,
                cast(o_orderkey as bigint) as service_id,
                case o_orderkey % 3 when 0 then '30' when 1 then '10' else 'W' end as service_group,
@@ -129,7 +136,7 @@ DERIVED: dict[str, str] = {
         from {orders} where o_orderkey % 5 = 0""",
     # ---- bills and lines ---------------------------------------------------------------
     "bills": """
-        select o_orderkey + 1 as bill_number, o_custkey as customer, o_custkey as account,
+        select o_orderkey + 1 as bill_number, o_custkey as customer, o_custkey + 700000 as account,
                cast(o_orderdate as date) as bill_date, cast(o_orderdate as date) + 21 as due_date,
                case when o_orderkey % 10 = 0 then cast(o_orderdate as date) + 35 end as new_due_date,
                o_orderdate as calc_ts,
@@ -162,7 +169,7 @@ DERIVED: dict[str, str] = {
                cast(sum(cast(l_extendedprice as decimal(15,2))) as decimal(15,2)) as amount, count(*) as n
         from {lineitem} group by l_orderkey, l_linenumber""",
     "bill_lines": """
-        select t.bill_number, o.o_custkey as account, t.trans_num, t.trans_code, t.amount,
+        select t.bill_number, o.o_custkey + 700000 as account, t.trans_num, t.trans_code, t.amount,
                cast(o.o_orderdate as date) as trans_date,
                t.trans_num % 4 <> 1 as in_balance,
                cast(case when t.trans_num % 9 = 0 then 5 when t.trans_num % 2 = 0 then 0 else 1 end as int) as sum_flag,
@@ -171,7 +178,7 @@ DERIVED: dict[str, str] = {
         from {bill_txns} t join {orders} o on t.bill_number = o.o_orderkey + 1
         where t.trans_num % 7 <> 3""",
     "ar_txns": """
-        select t.trans_num, o.o_custkey as customer, o.o_custkey as account,
+        select t.trans_num, o.o_custkey as customer, o.o_custkey + 700000 as account,
                case when t.trans_num % 4 = 0 then 0 else t.bill_number end as bill_number, t.trans_code,
                cast(case when t.trans_num % 3 = 0 then -t.amount else t.amount end as decimal(15,2)) as amount,
                cast(o.o_orderdate as date) + cast(t.trans_num % 60 as int) as trans_date,
@@ -180,17 +187,17 @@ DERIVED: dict[str, str] = {
                case when t.trans_num % 8 = 0 then t.trans_num else 0 end as linked_trans_num
         from {bill_txns} t join {orders} o on t.bill_number = o.o_orderkey + 1""",
     "ar_balances": """
-        select o_custkey as customer, o_custkey as account, 'AR' || cast(o_orderkey % 4 as varchar(2)) as ar_code,
+        select o_custkey as customer, o_custkey + 700000 as account, 'AR' || cast(o_orderkey % 4 as varchar(2)) as ar_code,
                cast(sum(case when o_orderkey % 5 = 0 then -cast(o_totalprice as decimal(15,2))
                              else cast(o_totalprice as decimal(15,2)) end) as decimal(15,2)) as current_balance
         from {orders} group by o_custkey, 'AR' || cast(o_orderkey % 4 as varchar(2))""",
     "service_orders": """
-        select o_custkey as customer, o_custkey as account, o_orderkey % 2 = 0 as is_cancelled,
+        select o_custkey as customer, o_custkey + 700000 as account, o_orderkey % 2 = 0 as is_cancelled,
                o_orderstatus = 'F' as is_completed
         from {orders} where o_orderkey % 9 = 0""",
     # ---- payments ----------------------------------------------------------------------
     "payments": """
-        select o_orderkey + 1 as trans_num, o_custkey as customer, o_custkey as account,
+        select o_orderkey + 1 as trans_num, o_custkey as customer, o_custkey + 700000 as account,
                cast(-o_totalprice as decimal(15,2)) as amount,
                case when o_orderkey % 40 = 0 then -1
                     else cast(o_custkey % 3 as int) + cast(year(o_orderdate) as int) end as batch_id,
@@ -207,19 +214,19 @@ DERIVED: dict[str, str] = {
         select distinct batch_id, case when batch_id % 5 = 0 then 'AD' else 'CA' end as transaction_type
         from {payments}""",
     "ext_pending": """
-        select event_id as ext_id, user_id as customer, user_id as account,
+        select event_id as ext_id, user_id as customer, user_id + 700000 as account,
                cast(-cast(value as decimal(15,2)) as decimal(15,2)) as amount, event_id % 2 = 0 as processed
         from {events} where event_type = 'purchase'""",
     # ---- plans, arrangements, comments -------------------------------------------------
     "plan_enrolments": """
-        select cast(c_custkey as bigint) as customer, cast(c_custkey as bigint) as account,
+        select cast(c_custkey as bigint) as customer, cast(c_custkey + 700000 as bigint) as account,
                case c_custkey % 7 when 0 then 'EN' when 1 then 'E2' when 2 then 'LN' when 3 then 'L2'
                     when 4 then 'VA' when 5 then 'V2' else 'ZZ' end as plan_type,
                date '1999-01-01' + cast(c_custkey % 900 as int) as start_date,
                case when c_custkey % 5 = 0 then date '2000-06-30' + cast(c_custkey % 700 as int) end as stop_date
         from {customer} where c_custkey % 10 < 5
         union all
-        select cast(c_custkey as bigint) as customer, cast(c_custkey as bigint) as account,
+        select cast(c_custkey as bigint) as customer, cast(c_custkey + 700000 as bigint) as account,
                case c_custkey % 3 when 0 then 'LN' when 1 then 'EN' else 'VA' end,
                date '1999-06-01' + cast(c_custkey % 500 as int), cast(null as date)
         from {customer} where c_custkey % 20 < 3""",
@@ -236,18 +243,18 @@ DERIVED: dict[str, str] = {
         ],
     ),
     "plan_balances": """
-        select cast(c_custkey as bigint) as customer, cast(c_custkey as bigint) as account,
+        select cast(c_custkey as bigint) as customer, cast(c_custkey + 700000 as bigint) as account,
                cast(cast(c_acctbal as decimal(15,2)) + 500.00 as decimal(15,2)) as plan_billed,
                cast(-50.00 as decimal(15,2)) as credits
         from {customer} where c_custkey % 9 <> 0""",
     "arrangements": """
-        select o_custkey as customer, o_custkey as account, cast(o_totalprice as decimal(15,2)) as amount,
+        select o_custkey as customer, o_custkey + 700000 as account, cast(o_totalprice as decimal(15,2)) as amount,
                cast(o_orderdate as date) + 30 as arrange_date,
                substr('NBKPX', cast(o_orderkey % 5 as int) + 1, 1) as status,
                case when o_orderkey % 2 = 0 then cast(o_custkey % 4 as int) else 0 end as group_id
         from {orders} where o_orderkey % 6 = 0""",
     "comments": """
-        select event_id as comment_id, user_id as customer, user_id as account,
+        select event_id as comment_id, user_id as customer, user_id + 700000 as account,
                'C' || cast(event_id % 7 as varchar(4)) as comment_code,
                case when event_id % 3 = 0 then date '2001-07-01'
                     when event_id % 3 = 1 and user_id % 2 = 0 then cast(null as date)
@@ -335,7 +342,10 @@ DERIVED: dict[str, str] = {
         from {events} e join {card_seed} s on s.seed_no = e.event_id % 128""",
     "lookup_requests": """
         select event_id as request_id, user_id * (1 + event_id % 3) as customer,
-               case when event_id % 5 = 0 then user_id + 1 else user_id * (1 + event_id % 3) end as account
+               case when event_id % 5 = 0 then user_id + 1 else user_id * (1 + event_id % 3) end + 700000 as account,
+               case when event_id % 11 = 0 then '2000-13-45' when event_id % 17 = 0 then '' else '1999-01-01' end
+                   as first_text,
+               case event_id % 13 when 0 then 'soon' when 1 then null else '2000-12-31' end as last_text
         from {events}""",
 }
 

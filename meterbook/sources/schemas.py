@@ -19,6 +19,7 @@ SOURCE_TABLES = {
     "BIF002": {
         "C_ACCOUNT": "account",
         "N_STREETNUM": "street_num",
+        "C_STREETNUM": "street_num_text",
         "C_STRNUMSUFFIX": "num_suffix",
         "C_STREETPREFIX": "street_prefix",
         "C_STREET": "street",
@@ -52,6 +53,9 @@ SOURCE_TABLES = {
         "C_CUSTOMER": "customer",
         "C_ACCOUNT": "account",
         "C_ADDTYPE": "add_type",
+        "C_ADDRESS1": "address1",
+        "C_EMAIL": "email",
+        "L_SENDBILL": "send_bill",
         "T_DATETIME": "updated",
     },
     "BIF007": {

@@ -141,7 +141,7 @@ _SUMMARY_TAIL = """
         left join {q_comment_restrictions%(v)s} cr using (customer, account)
         left join {q_formatted_service_address%(v)s} sa using (account)
         left join {customers} cu using (customer)
-        left join {q_phone_by_priority} ph using (customer)"""
+        left join {q_phone_by_priority%(v)s} ph using (customer)"""
 
 ORACLES: dict[str, str] = {
     "code_crosswalk": """
@@ -333,6 +333,18 @@ ORACLES: dict[str, str] = {
         join (values ('P3', 1), ('P11', 2), ('P5', 3), ('P7', 4)) w(phone_type, pos) on w.phone_type = c.phone_type
         where c.add_type = '' and c.phone_number <> '')
     where rn = 1""",
+    "phone_by_priority_v1": """
+    select customer, phone_number, phone_type, phone_desc from (
+        select *, row_number() over (partition by customer order by pos) as place from (
+            select c.customer, c.phone_type, w.pos, trim(right(c.phone_number, 20)) as phone_number,
+                   trim(left(t.description, 15)) as phone_desc,
+                   row_number() over (partition by c.customer, c.phone_type order by c.contact_info_id) as nth
+            from {contacts} c join {phone_types} t on t.phone_type = c.phone_type
+            join (values ('P3', 1), ('P11', 2), ('P5', 3), ('P7', 4)) w(phone_type, pos)
+                on w.phone_type = c.phone_type
+            where c.add_type = '')
+        where nth = 1 and phone_number is not null and phone_desc is not null)
+    where place = 1""",
     "sample_top_rows": """
     select bill_number, account, trans_date, amount from {q_missing_system_txns}
     order by trans_date desc, bill_number desc limit 5""",
@@ -358,7 +370,7 @@ ORACLES: dict[str, str] = {
            town as city_town, prov as state_prov, post_code as zip_postal
     from {service_addresses} a""",
     "formatted_service_address_v1": """
-    select account, cast(street_num as varchar) || ' '
+    select account, street_num_text || ' '
              || coalesce((select description from {num_suffixes} where code = num_suffix), '') as street_number,
            street_prefix || ' ' || street || ' ' || street_suffix || ' ' || apt as street_name,
            town as city_town, prov as state_prov, post_code as zip_postal
@@ -411,6 +423,23 @@ ORACLES: dict[str, str] = {
           from {q_latest_web_contact} w where not exists (
               select 1 from {web_contacts} b where b.customer = w.customer and b.phone_type = 'E3'
               and b.phone_number = w.email))""",
+    "web_contacts_table": """
+    select case when phone_type = 'E3' then contact_pk else contact_info_id end as contact_info_id, contact_pk,
+           customer, account, phone_type, phone_number, add_type, updated, custom1, notes, preferred, contact_times
+    from {web_contacts}
+    union all
+    select contact_info_id, contact_pk, customer, null, phone_type, phone_number, null, updated, null, null, null, null
+    from {q_web_contacts_insert}""",
+    "multiplier_targets": f"""
+    select a.customer, a.account, a.account_type, b.service, count(*) as record_count
+    from {{accounts}} a join {{services}} b on a.account = b.account
+    where {_NUM_TARGET} group by a.customer, a.account, a.account_type, b.service""",
+    "multiplier_verification": f"""
+    select a.customer, a.account, a.account_type, b.service, c.multiplier, count(*) as verified_count
+    from {{accounts}} a join {{services}} b on a.account = b.account
+    left join {{multipliers}} c on b.service_id = c.servgrp_id
+    where {_NUM_TARGET} and c.multiplier = 1
+    group by a.customer, a.account, a.account_type, b.service, c.multiplier""",
     "add_multipliers": f"""
     select b.service_id as servgrp_id, 1 as multiplier, cast(4 as decimal(15,2)) as basic_multiple, '' as notes,
            (select coalesce(max(multiplier_pk), 0) from {{multipliers}})
@@ -429,9 +458,17 @@ ORACLES: dict[str, str] = {
              + row_number() over (order by servgrp_id, account, service) as multiplier_pk,
            date '2023-01-01' as start_date, '30' as service_group
     from {q_stage_target_accounts}""",
-    "checked_append": """
-    select b as rows_before, n as rows_added, b + n as rows_after, true as ok
-    from (select count(*) as b from {multipliers}), (select count(*) as n from {q_stage_target_accounts})""",
+    "checked_append": f"""
+    select b as rows_before, n as rows_added, after as rows_after,
+           n = wanted and verified >= n and after = b + n as ok
+    from (select count(*) as b from {{multipliers}}), (select count(*) as n from {{q_add_multipliers}}),
+         (select count(*) as after from (select multiplier_pk from {{multipliers}}
+              union all select multiplier_pk from {{q_add_multipliers}})),
+         (select count(distinct b.service_id) as wanted from {{accounts}} a
+              join {{services}} b on a.account = b.account where {_NUM_TARGET}),
+         (select count(*) as verified from {{accounts}} a join {{services}} b on a.account = b.account
+              join {{q_add_multipliers}} c on c.servgrp_id = b.service_id
+              where {_NUM_TARGET} and c.multiplier = 1)""",
     "plan_status": """
     select customer, account, plan_type, plan_class, draw, use_plan_balance,
            case when plan_class <> 'E' and plan_class <> 'L' then false else use_plan_billed end as use_plan_billed,
@@ -531,12 +568,16 @@ ORACLES: dict[str, str] = {
     select * exclude (rn) from (select *, row_number() over (partition by customer, account
         order by effective_date desc, account_status desc, cycle desc) as rn from {accounts}) where rn = 1""",
     "master_not_due": """
+    with masters as (
+        select a.*, row_number() over (partition by a.customer, a.account
+            order by a.account_status desc, a.bill_group desc) as rn
+        from {accounts} a join {bill_groups} g on g.bill_group = a.bill_group
+        where a.is_master and g.updates_master)
     select a.customer, a.account, a.bill_group,
            cast(coalesce((select sum(current_amount) from {bills} b where b.bill_group = a.bill_group
                 and not b.is_master and b.processed and b.bill_type <> 'CB' and b.due_date >= @asof), 0)
              as decimal(15,2)) as master_not_due
-    from {q_current_accounts} a join {bill_groups} g on g.bill_group = a.bill_group
-    where a.is_master and g.updates_master""",
+    from masters a where rn = 1""",
     "unbilled_amount": _unbilled(True),
     "unbilled_amount_plain": _unbilled(False),
     "nsf_amount": """
@@ -680,6 +721,32 @@ ORACLES: dict[str, str] = {
                 else balance_forward + cancelled_billing + since_last_bill + previous_billing end
              as decimal(15,2)) as owing
     from {bills} where @real and bill_date between date '1999-01-01' and date '2000-12-31'""",
+    "billing_history_lookup": """
+    with read as (
+        select r.*, case when first_text = '' then date '1900-01-01' else try_cast(first_text as date) end as d1,
+               case when last_text = '' then date '1900-01-01' else try_cast(last_text as date) end as d2,
+               exists (select 1 from {accounts} a where a.customer = r.customer and a.account = r.account) as known
+        from {lookup_requests} r
+    ), judged as (
+        select *, known and (first_text is null or d1 is not null) and (last_text is null or d2 is not null) as valid
+        from read)
+    select j.request_id, 1 as responsecode, b.customer as customernumber, b.account as accountnumber,
+           b.bill_number as billnumber, b.due_date as duedate, b.bill_date as billdate,
+           b.current_amount as billamount,
+           cast(case when b.plan_type like 'L%' then b.balance_forward
+                else b.balance_forward + b.cancelled_billing + b.since_last_bill + b.previous_billing end
+             as decimal(15,2)) as owing
+    from judged j join (select * from {bills} where @real) b on b.customer = j.customer and b.account = j.account
+    where j.valid and b.bill_date between j.d1 and j.d2
+    union all
+    select request_id, 0, 0, 0, 0, date '1900-01-01', date '1900-01-01', 0, 0 from judged where not valid""",
+    "payment_history_lookup": """
+    with judged as (
+        select r.*, exists (select 1 from {accounts} a where a.customer = r.customer and a.account = r.account) as valid
+        from {lookup_requests} r)
+    select j.request_id, h.responsecode, h.payamount, h.paydate
+    from judged j join {q_payment_history} h on h.customer = j.customer and h.account = j.account where j.valid
+    union all select request_id, 0, 0, date '1900-01-01' from judged where not valid""",
     "validated_lookup": """
     select r.request_id, r.customer, r.account, case when k.account is null then 0 else 1 end as responsecode,
            case when k.account is null then 0 else c.current_balance end as current_balance,

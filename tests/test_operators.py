@@ -192,6 +192,34 @@ def test_phone_priority_skips_blank_numbers(spark):
     assert [tuple(r) for r in found] == [(1, "w", "W", "Work")]
 
 
+def test_older_phone_pick_stops_at_a_blank_number(spark):
+    table = contact(spark, [(1, 1, "H", " ", "", 1), (2, 1, "W", "555", "", 1), (3, 2, "H", None, "", 1),
+                            (4, 2, "W", " 777 ", "", 1), (5, 3, "X", "9", "", 1), (6, 4, "W", "1" * 25, "BF", 1)])
+    kinds = spark.createDataFrame([("H", "Home"), ("W", "Work")], "phone_type string, description string")
+    found = contacts.phone_by_priority_v1(table, kinds, ["X", "H", "W"]).collect()
+    assert sorted(tuple(r) for r in found) == [(1, "", "H", "Home"), (2, "777", "W", "Work")]
+
+
+def test_address_copies_leave_keys_alone(spark):
+    table = spark.createDataFrame(
+        [(1, 1, "BF", "new", dt.datetime(2001, 1, 2), 100), (1, 1, "BM", "old", dt.datetime(2001, 1, 1), 200),
+         (2, 2, "BF", "two", dt.datetime(2001, 1, 1), 300)],
+        "customer long, account long, add_type string, address1 string, updated timestamp_ntz, own_key long",
+    )
+    synced = contacts.sync_newer_addresses(table).filter("add_type = 'BM'").collect()
+    assert [(r["address1"], r["own_key"]) for r in synced] == [("new", 200)]
+    promoted = contacts.promote_addresses(table)[0].collect()
+    assert sorted((r["account"], r["address1"], r["own_key"]) for r in promoted) == [(1, "old", 200), (2, "two", None)]
+
+
+def test_every_web_contact_takes_its_key(spark):
+    table = contact(spark, [(555, 1, "E3", "one@x", "", 1), (3, 1, "H", "1", "", 1)])
+    table = table.withColumn("contact_pk", table["contact_info_id"] % 10)
+    signups = spark.createDataFrame([(1, 2, "two@x")], "web_pk long, customer long, email string")
+    found = contacts.web_contacts_table(signups, table, AS_OF).collect()
+    assert sorted((r["phone_number"], r["contact_info_id"]) for r in found) == [("1", 3), ("one@x", 5), ("two@x", 6)]
+
+
 def test_web_contacts(spark):
     table = contact(spark, [(5, 1, "E3", "one@x", "", 1)])
     signups = spark.createDataFrame(
@@ -233,10 +261,10 @@ def test_master_counts_the_group_but_not_itself(spark):
          bill(3, 3, "2001-07-01", "2001-08-01", kind="CB"), bill(4, 4, "2001-07-01", "2001-08-01", group="H")], BILL
     )
     accounts = spark.createDataFrame(
-        [(9, 9, True, "G", "AC"), (8, 8, True, "H", "AC"), (7, 7, False, "G", "AC")],
+        [(9, 9, True, "K", "AC"), (9, 9, True, "G", "FI"), (8, 8, True, "H", "AC"), (7, 7, False, "G", "AC")],
         "customer long, account long, is_master boolean, bill_group string, account_status string",
     )
-    groups = spark.createDataFrame([("G", True), ("H", False)], "bill_group string, updates_master boolean")
+    groups = spark.createDataFrame([("G", True), ("K", True), ("H", False)], "bill_group string, updates_master boolean")
     found = master_not_due(accounts, groups, table, AS_OF).collect()
     assert [(r["account"], r["master_not_due"]) for r in found] == [(9, 100)]
 
@@ -341,5 +369,30 @@ def test_checked_append(spark, tmp_path):
     assert spark.read.parquet(base).count() == 8
 
 
+def test_duplicated_service_id_is_refused(spark, tmp_path):
+    accounts = spark.createDataFrame(
+        [(1, 1, "RE", "02", "1")], "customer long, account long, account_type string, division string, company string"
+    )
+    table = spark.createDataFrame(
+        [(1, "30", 10, day("2000-01-01")), (1, "30", 10, day("2000-01-02"))],
+        "account long, service string, service_id long, install_date date",
+    )
+    present = spark.createDataFrame([(7, 3, 1)], "multiplier_pk long, servgrp_id long, multiplier int")
+    base, targets = str(tmp_path / "multipliers"), ("RE", 30, 1, 2)
+    present.write.parquet(base)
+    new = services.add_multipliers(table, accounts, present, *targets).select(present.columns)
+    with pytest.raises(publish.CheckFailed):
+        publish.checked_append(base, new, services.target_services(table, accounts, *targets), str(tmp_path / "staged"))
+    assert spark.read.parquet(base).count() == 1
+    counts = services.multiplier_targets(table, accounts, *targets).collect()
+    assert [(r["account"], r["record_count"]) for r in counts] == [(1, 2)]
+
+
+def test_replaced_snapshot_may_read_itself(spark, tmp_path):
+    path = str(tmp_path / "copy")
+    publish.snapshot(spark.range(5), path)
+    assert publish.snapshot(spark.read.parquet(path).filter("id > 1"), path, "replace").first()[0] == 3
+
+
 def test_shared_dir_is_the_configured_one(spark):
     assert shared_dir(spark)
