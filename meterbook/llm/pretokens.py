@@ -2,7 +2,8 @@
 
 The file's pattern never matches white space and no piece reaches over it, so the ids of a text are the ids
 of its words, in order. Each worker keeps the ids of the words it has met; a batch is then one
-look-up in sorted arrays. A new word of Latin letters and common signs is cut by the file's pattern here and each
+look-up in sorted arrays. The file lower-cases all but its special strings, so words differ by case only where one
+may be. A new word of Latin letters and common signs is cut by the file's pattern here and each
 cut piece is merged by the library's model; any other word, and one that holds a special string, goes
 through the library as a whole.
 """
@@ -18,6 +19,8 @@ from meterbook.llm.textnum import gathered, words_at
 #: Fixed value: the pattern of the vocabulary file, for words of code points below U+0180.
 _PATTERN = re.compile(r"[^\W\d_²³¹¼½¾]+|'(?:s|t|re|ve|m|ll|d)|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
 _LATER = re.compile(r"[^\x21-\x7e¡-ſ]|<\|")
+#: Fixed value: how the file's special strings begin.
+SPECIAL = b"<|"
 #: Words whose ids a worker keeps; the list starts anew when it is full.
 CACHE = 1 << 19
 #: Pieces of words kept as Python lists, for new words only.
@@ -68,7 +71,7 @@ class Pieces:
 
     def batch(self, column) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a text column in order, and where each row's begin; one more entry closes the last row."""
-        number, rows, data, starts, ends = words_at(column)
+        number, rows, data, starts, ends = words_at(column, SPECIAL)
         distinct, first, place = np.unique(number, return_index=True, return_inverse=True)
         if len(self.keys) + len(distinct) > CACHE:
             self.forget()

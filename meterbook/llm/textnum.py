@@ -55,10 +55,15 @@ def words(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return words_at(column)[:2]
 
 
-def words_at(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``words``, the lower-cased bytes, and where in them each word starts and ends."""
-    data, offsets = text_bytes(column)
-    data = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
+def words_at(
+    column: pa.Array | pa.ChunkedArray, cased: bytes | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``words``, the lower-cased bytes, and where in them each word starts and ends.
+
+    Words that hold the two bytes ``cased`` keep their upper case.
+    """
+    raw, offsets = text_bytes(column)
+    data = raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
     inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
@@ -71,6 +76,12 @@ def words_at(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     after[:-1] = inside[1:]
     ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
     rows = np.searchsorted(starts, offsets)
+    if cased and len(hits := np.flatnonzero((raw[:-1] == cased[0]) & (raw[1:] == cased[1]))):
+        held = np.unique(np.searchsorted(starts, hits, "right") - 1)
+        step = np.zeros(len(raw) + 1, np.int8)
+        step[starts[held]] += 1
+        step[ends[held]] -= 1
+        data = np.where(np.cumsum(step[:-1], dtype=np.int8) > 0, raw, data)
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):

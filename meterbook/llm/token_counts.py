@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from meterbook.llm import blocks as B
-from meterbook.llm.pretokens import pieces_of
+from meterbook.llm.pretokens import SPECIAL, pieces_of
 from meterbook.llm.runtime import TOKENIZER, parts, small_batches, tokenizer_path
 from meterbook.llm.textnum import sums, text_bytes, words_at
 from meterbook.session import materialize
@@ -25,7 +25,7 @@ LIMIT = 2048
 
 def _block(shards: int):
     def make(block: int, docs: pa.Table) -> list[tuple]:
-        number, rows, data, starts, ends = words_at(docs["text"])
+        number, rows, data, starts, ends = words_at(docs["text"], SPECIAL)
         distinct, first, place = np.unique(number, return_index=True, return_inverse=True)
         size = np.diff(rows)
         pair = np.sort((np.repeat(np.arange(len(size)), size).astype(np.uint64) << np.uint64(32)) | place.astype(np.uint64))

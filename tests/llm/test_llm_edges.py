@@ -29,6 +29,7 @@ def near(seed, n=60):
 TEXTS = [
     None, "", "   ", "one two", "One  TWO", LONG, LONG + " tail", near(1), near(1) + " more", near(2), near(1),
     f"a\n{LINE}\nb", f" {LINE.upper()} \nc", LINE, f"d\n{LINE}", LINE, "1234 !!", "中文 é <|endoftext|> ok",
+    "A<|ENDOFTEXT|>b <|EndOfText|> a<|endoftext|>B <|StartOfText|>", "<|ENDOFTEXT|> x< | Ab<|startoftext|>", "Y<", "|Z İ ı'LL",
 ]
 
 
