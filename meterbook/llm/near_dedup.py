@@ -85,9 +85,9 @@ def _sign(batches):
             tokens[full] = by_slices(tokens_of, own, np.append(rows[:-1][full], rows[-1])).view(np.int64)
         node = [_node(own[s:e]) if e > s else 0 for s, e in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
+            [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
              pa.FixedSizeListArray.from_arrays(pa.array(tokens.ravel()), LISTS).cast(pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "node", "tokens"],
+            names=["doc_id", "print", "n_shingles", "node", "tokens"],
         )
 
 
@@ -250,12 +250,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = rows.withColumn("print", F.xxhash64("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     signed = materialize(
-        rows.mapInArrow(_sign, f"doc_id {id_type}, n_shingles bigint, node bigint, tokens array<bigint>")
+        rows.mapInArrow(_sign, f"doc_id {id_type}, print bigint, n_shingles bigint, node bigint, tokens array<bigint>")
     )
     members = signed.where("n_shingles > 0")
-    heads = members.groupBy("node").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("n"))
+    # one row of a class gives its text, found again by its id, null too, and its text's fingerprint
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")
+    heads = members.groupBy("node").agg(F.min(row).alias("rep"), F.min("n_shingles").alias("n"))
     tokens = members.select("node", "tokens").dropDuplicates(["node"]).select("node", F.posexplode("tokens").alias("c", "token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     # a list with one member is not here, and takes a place in the prefix all the same
@@ -266,8 +269,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         .select("node", F.slice("posts", F.lit(1), F.size("posts") - F.lit(MEET - 1)).alias("prefix"))
     )
     posted = materialize(shared.join(heads, "node"))
+    own = F.col("rep.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("rep.print") == F.col("print"))
     texts = materialize(
-        posted.select("node", F.col("rep").alias("doc_id")).join(rows, "doc_id").select("node", "text")
+        posted.select("node", "rep").join(rows, own).select("node", "text")
         .mapInArrow(_texts, "node bigint, text string, sketch binary").dropDuplicates(["node"])
     )
     classes = posted.join(texts.select("node", "sketch"), "node")

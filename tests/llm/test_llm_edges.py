@@ -91,6 +91,13 @@ def test_near(docs):
         assert r.kept == (r.doc_id == r.component_id)
 
 
+def test_near_links_rows_without_id(spark):
+    made = [(None, near(5)), (None, near(5) + " more"), (7, near(6)), (None, near(6) + " extra"), (None, near(8)), (9, near(8))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(made, "doc_id bigint, text string"))
+    want = [(None, 56, None), (None, 57, None), (7, 56, 7), (None, 57, 7), (None, 56, 9), (9, 56, 9)]
+    assert rows(got.select("doc_id", "n_shingles", "component_id")) == sorted(want, key=repr)
+
+
 def test_lines(docs):
     index = line_dedup.build_index(docs.withColumn("a", F.lit(1)))
     held, total = {}, listed(docs)
