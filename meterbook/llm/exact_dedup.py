@@ -88,12 +88,15 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "te
 def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, all columns; a repeated row of a kept id stays once."""
     found = exact_duplicates(docs, id_column, text)
-    # what goes is the smaller list, and ids alone: the documents move once
-    keep = found.where("kept").select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"))
+    # what goes, and what repeats, is the smaller list, and ids alone: the documents move once at most
+    each = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(
+        F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_rows")
+    )
+    marked = materialize(each.where("not _stays or _rows > 1"))
     shown = docs.withColumn("_text_sha", F.sha2(normalised(F.col(text)), 256))
-    same = F.col(id_column).eqNullSafe(F.col("_keep")) & (F.col("_text_sha") == F.col("_sha"))
+    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha"))
     first = Window.partitionBy(id_column, "_text_sha").orderBy("_text_sha")
-    return (
-        shown.join(keep, same).withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-        .select(*docs.columns)
-    )
+    repeated = shown.join(marked.where("_stays"), same, "left_semi")
+    once = repeated.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    alone = shown.join(marked, same, "left_anti")
+    return alone.select(*docs.columns).unionByName(once.select(*docs.columns))
