@@ -32,10 +32,23 @@ def remove_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the smallest id."""
-    found = near_dedup.near_duplicates(docs).where(F.col("doc_id").isNotNull())
-    dropped = found.groupBy("doc_id").agg(F.max("kept").alias("stays")).where(~F.col("stays"))
-    return docs.join(dropped.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each component stays: rows with an id first, then the smallest id, then the smallest hash of the row.
+
+    Ids may be null or repeat, so rows go by a key of their own. Equal rows share one; the first of them stays. Rows
+    without words are linked with nothing and all stay.
+    """
+    columns = [F.col(c) for c in docs.columns]
+    # a hash passes over nulls, so where they are goes in too
+    digest = F.xxhash64(*columns, *[c.isNull() for c in columns])
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), digest.alias("hash"))
+    keyed = docs.withColumn("_key", key)
+    found = near_dedup.near_duplicates(keyed, id_column="_key").where("n_shingles > 0")
+    by_key = found.groupBy(F.col("doc_id").alias("_key")).agg(F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_rows"))
+    # rows that go, and rows of which one stays
+    listed = materialize(by_key.where("not _stays or _rows > 1"))
+    single = keyed.join(listed, "_key", "left_anti")
+    equal = keyed.join(listed.where("_stays").select("_key"), "_key", "left_semi").dropDuplicates(["_key"])
+    return single.unionByName(equal).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -246,3 +246,21 @@ def test_stages_keep_the_columns(spark, docs):
         left = stage(spark, docs, "/root/testdata/sf0.001")
         assert left.columns == docs.columns, name
         assert left.join(docs, ["doc_id", "text"], "left_semi").count() == left.where("doc_id is not null and text is not null").count()
+
+
+def test_near_stage_keeps_one_row_of_a_component(spark):
+    made = [
+        (5, near(20), "kept"), (None, near(20) + " more", None), (7, near(20) + " extra", None), (7, near(21), "kept"),
+        (8, near(22), "either"), (8, near(22) + " more", "either"), (None, near(23), "either"), (None, near(23) + " more", "either"),
+        (9, near(24), "kept"), (9, near(24), "kept"), (10, "", "kept"), (10, "", "kept"), (None, None, "kept"),
+        (30, near(25), None), (4, near(25) + " more", "kept"), (None, near(26), "kept"),
+    ]
+    frame = spark.createDataFrame([(i, t, "en", "a", None) for i, t, _ in made], SCHEMA).repartition(3)
+    left = [(r.doc_id, r.text) for r in corpus_pipeline.remove_near_copies(spark, frame, "").collect()]
+    once = {(9, near(24))}
+    sure = [(i, t) for i, t, x in made if x == "kept"]
+    sure.remove(*once)
+    either = [(8, near(22)), (None, near(23))]
+    assert sorted((x for x in left if x in sure), key=repr) == sorted(sure, key=repr)
+    rest = [x for x in left if x not in sure]
+    assert len(rest) == 2 and {(i, t.removesuffix(" more")) for i, t in rest} == set(either)
