@@ -2,10 +2,12 @@
 
 Texts are lower-cased, everything but letters becomes a space, and the n-grams of 1 to 3 characters fall into 2^15 buckets.
 The classifier is fitted on at most ``SAMPLE_DOCS`` whole labelled documents per language, those with the smallest
-hash of their id, and on the ``MAX_LANGS`` most frequent labels. Tasks count buckets per language, the counts are summed,
-and the matrix of log probabilities (2^15 rows, a column per language, so of bounded size) is broadcast.
-Every whole text is scored in slices: each n-gram's row is looked up and the rows of a document are summed. The score is the
-posterior probability of the best language at equal priors.
+hash of their id, and on every label there is. Tasks count buckets per language and the counts are summed.
+The matrix of log probabilities (2^15 rows, a column per language) is broadcast in blocks of ``BLOCK`` languages; driver
+and workers hold one block at a time, so memory does not grow with the labels, but the work does.
+Every whole text is scored in slices: each n-gram's row is looked up and the rows of a document are summed, block after
+block; of each document the best label and the sum of all likelihoods relative to it go on. The score is the
+posterior probability of the best language at equal priors, over all languages.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and so is every text if nothing was
 learned; rows with a null label or id are not learned from; repeated rows are predicted each; other columns stay
@@ -18,11 +20,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from meterbook.llm.runtime import small_batches
+from meterbook.session import materialize, release
 
-BITS, ORDERS, SAMPLE_DOCS, MAX_LANGS, SMOOTH = 15, (1, 2, 3), 2000, 64, 0.5
+BITS, ORDERS, SAMPLE_DOCS, BLOCK, SMOOTH = 15, (1, 2, 3), 2000, 64, 0.5
 #: Entries of look-up results held at a time.
 SLICE = 1 << 21
 _LETTERS: list[np.ndarray] = []
@@ -70,81 +74,124 @@ def grams(points: np.ndarray, edges: np.ndarray, width: int) -> Iterator[tuple[n
             yield (mixed >> np.uint32(32 - BITS))[inside], doc[:size][inside]
 
 
-def _count(langs: list[str]):
+def _count(langs: list[str], block: int):
+    place = {x: i for i, x in enumerate(langs)}
+
     def count(batches):
-        total = np.zeros((len(langs), 1 << BITS), np.int64)
-        place = {x: i for i, x in enumerate(langs)}
+        # counts of at most a block of languages are held; they go out when others come, and are summed later
+        held, total = np.zeros(0, np.int64), np.zeros((0, 1 << BITS), np.int64)
         for batch in batches:
             own = np.array([place[x] for x in batch.column(0).to_pylist()], np.int64)
-            points, edges, _ = code_points(batch.column(1).to_pylist())
-            for bucket, doc in grams(points, edges, 1):
-                total += np.bincount((own[doc] << BITS) + bucket, minlength=total.size).reshape(total.shape)
-        lang, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[lang, bucket])],
-            names=["lang", "bucket", "n"],
-        )
+            texts, met = batch.column(1).to_pylist(), np.unique(own)
+            for k in range(0, len(met), block):
+                wanted = met[k : k + block]
+                union = np.union1d(held, wanted)
+                if len(union) > block:
+                    yield _counted(held, total)
+                    held, total = wanted, np.zeros((len(wanted), 1 << BITS), np.int64)
+                elif len(union) > len(held):
+                    grown = np.zeros((len(union), 1 << BITS), np.int64)
+                    grown[np.searchsorted(union, held)] = total
+                    held, total = union, grown
+                rows = np.flatnonzero((own >= wanted[0]) & (own <= wanted[-1]))
+                at = np.searchsorted(held, own[rows])
+                points, edges, _ = code_points([texts[r] for r in rows.tolist()])
+                for bucket, doc in grams(points, edges, 1):
+                    total += np.bincount((at[doc] << BITS) + bucket, minlength=total.size).reshape(total.shape)
+        yield _counted(held, total)
 
     return count
 
 
+def _counted(held: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+    lang, bucket = np.nonzero(total)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(held[lang].astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(total[lang, bucket])],
+        names=["lang", "bucket", "n"],
+    )
+
+
 def sample(docs: DataFrame, most: int = SAMPLE_DOCS) -> DataFrame:
     """At most ``most`` labelled documents of each language, by the smallest hash of their id."""
     drawn = (F.xxhash64("doc_id").cast("double") / F.lit(2.0**64)) + 0.5
     counts = docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # a threshold leaves few rows more than wanted, so that the ranking below is over a bounded number
     share = F.least(F.lit(1.0), (F.lit(float(most)) + 8 * F.sqrt(F.lit(float(most)))) / F.col("n"))
-    near = docs.withColumn("drawn", drawn).join(F.broadcast(counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGS)), "lang")
+    near = docs.withColumn("drawn", drawn).join(F.broadcast(counts), "lang")
     near = near.where(F.col("drawn") <= share)
     order = Window.partitionBy("lang").orderBy("drawn", "doc_id", F.xxhash64("text"))
     return near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).select("lang", "text")
 
 
-def train(docs: DataFrame, most: int = SAMPLE_DOCS) -> tuple[list[str], np.ndarray]:
-    """Labels in order and the matrix of log probabilities, from rows with ``doc_id``, ``text`` and ``lang``."""
-    small_batches(docs.sparkSession)
-    labelled = docs.where("lang is not null and doc_id is not null and text is not null").select("doc_id", "lang", "text")
-    langs = sorted(
-        r.lang for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    )
-    total = np.zeros((len(langs), 1 << BITS))
-    if langs:
-        counted = sample(labelled, most).mapInArrow(_count(langs), "lang int, bucket int, n bigint")
-        # at most a row for each language and bucket
-        found = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-        total[found["lang"].to_numpy(), found["bucket"].to_numpy()] = found["n"].to_numpy()
-    chance = (total + SMOOTH) / (total.sum(axis=1, keepdims=True) + SMOOTH * total.shape[1])
-    return langs, np.log(chance).T.astype(np.float32).copy()
+def train(docs: DataFrame, most: int = SAMPLE_DOCS, block: int = BLOCK) -> tuple[list[str], list[Broadcast]]:
+    """Labels in order and the matrix of log probabilities, from rows with ``doc_id``, ``text`` and ``lang``.
 
+    Of the matrix, each ``block`` labels in turn are a broadcast.
+    """
+    spark = small_batches(docs.sparkSession)
+    labelled = docs.where("lang is not null and doc_id is not null and text is not null").select("doc_id", "lang", "text")
+    langs = sorted(r.lang for r in labelled.select("lang").distinct().collect())
+    if not langs:
+        return [], []
+    counted = sample(labelled, most).mapInArrow(_count(langs, block), "lang int, bucket int, n bigint")
+    summed = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    several = len(langs) > block
+    if several:
+        summed = materialize(summed.withColumn("block", F.floor(F.col("lang") / F.lit(block))), by="block")
+    shared = []
+    for k in range(0, len(langs), block):
+        total = np.zeros((len(langs[k : k + block]), 1 << BITS))
+        # at most a row for each language of the block and bucket
+        found = (summed.where(F.col("block") == k // block) if several else summed).select("lang", "bucket", "n").toArrow()
+        total[found["lang"].to_numpy() - k, found["bucket"].to_numpy()] = found["n"].to_numpy()
+        chance = (total + SMOOTH) / (total.sum(axis=1, keepdims=True) + SMOOTH * total.shape[1])
+        shared.append(spark.sparkContext.broadcast(np.log(chance).T.astype(np.float32).copy()))
+    if several:
+        release(summed)
+    return langs, shared
+
+
+def predictor(langs: list[str], blocks: Callable[[], Iterator[np.ndarray]]) -> Callable[[list[str | None]], tuple[list[str], np.ndarray]]:
+    """Predicts from the blocks of the matrix, which ``blocks`` gives in the order of the labels."""
 
-def predictor(langs: list[str], matrix: np.ndarray) -> Callable[[list[str | None]], tuple[list[str], np.ndarray]]:
     def predict(texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        if not langs:
+            return ["und"] * len(texts), np.zeros(len(texts))
         points, edges, has = code_points(texts)
-        scores = np.zeros((len(texts), len(langs)))
-        if langs:
-            for bucket, doc in grams(points, edges, len(langs)):
+        most, share, best, at = np.full(len(texts), -np.inf), np.zeros(len(texts)), np.zeros(len(texts), np.int64), 0
+        for matrix in blocks():
+            scores = np.zeros((len(texts), matrix.shape[1]))
+            for bucket, doc in grams(points, edges, matrix.shape[1]):
                 if len(doc):
                     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
                     scores[doc[first]] += np.add.reduceat(matrix[bucket], first, axis=0)
-        known = (has > 0) & bool(langs)
-        if not langs:
-            return ["und"] * len(texts), np.zeros(len(texts))
-        share = np.exp(scores - scores.max(axis=1, keepdims=True))
-        best = share.argmax(axis=1)
-        score = np.where(known, 1.0 / share.sum(axis=1), 0.0)
-        return [langs[b] if k else "und" for b, k in zip(best.tolist(), known.tolist(), strict=True)], score
+            # equal scores stay with the earlier label
+            top = scores.max(axis=1)
+            best = np.where(top > most, at + scores.argmax(axis=1), best)
+            higher = np.maximum(most, top)
+            share = share * np.exp(most - higher) + np.exp(scores - higher[:, None]).sum(axis=1)
+            most, at = higher, at + matrix.shape[1]
+        score = np.where(has > 0, 1.0 / share, 0.0) if len(texts) else share
+        return [langs[b] if k else "und" for b, k in zip(best.tolist(), (has > 0).tolist(), strict=True)], score
 
     return predict
 
 
-def predict_language(docs: DataFrame, model: tuple[list[str], np.ndarray], keep: list[Column | str], text: str = "text") -> DataFrame:
+def _read(shared: list[Broadcast]) -> Iterator[np.ndarray]:
+    for one in shared:
+        yield one.value
+        if len(shared) > 1 and hasattr(one, "_path"):
+            # read again for the next batch: a worker holds one block
+            del one._value
+
+
+def predict_language(docs: DataFrame, model: tuple[list[str], list[Broadcast]], keep: list[Column | str], text: str = "text") -> DataFrame:
     """The columns ``keep`` with ``lang_pred`` and ``score`` for every row of ``docs``; the text itself is read only."""
-    spark = small_batches(docs.sparkSession)
-    langs, matrix = model
-    shared = spark.sparkContext.broadcast(matrix)
+    small_batches(docs.sparkSession)
+    langs, shared = model
 
     def score(batches):
-        predict = predictor(langs, shared.value)
+        predict = predictor(langs, lambda: _read(shared))
         for batch in batches:
             names, values = predict(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(

@@ -264,3 +264,46 @@ def test_near_stage_keeps_one_row_of_a_component(spark):
     assert sorted((x for x in left if x in sure), key=repr) == sorted(sure, key=repr)
     rest = [x for x in left if x not in sure]
     assert len(rest) == 2 and {(i, t.removesuffix(" more")) for i, t in rest} == set(either)
+
+
+def plain_language(rows, text):
+    """Brute force over dictionaries: label and score of a text by rows of (label, text)."""
+    def grams(t):
+        t = "".join(c if c.isalpha() else " " for c in t.lower())
+        return [t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1) if t[i] != " " or t[i + n - 1] != " "]
+
+    def bucket(g):
+        value = 0
+        for c in g:
+            value = (value * 0x9E3779B1 + ord(c)) & 0xFFFFFFFF
+        value ^= len(g) * 0x85EBCA6B & 0xFFFFFFFF
+        return ((value ^ (value >> 15)) * 0x2C1B3C6D & 0xFFFFFFFF) >> 17
+
+    total = {}
+    for lang, t in rows:
+        held = total.setdefault(lang, {})
+        for g in grams(t):
+            held[bucket(g)] = held.get(bucket(g), 0) + 1
+    if not any(map(str.isalpha, text)):
+        return "und", 0.0
+    log = {x: sum(np.log((h.get(bucket(g), 0) + 0.5) / (sum(h.values()) + 0.5 * 2**15)) for g in grams(text)) for x, h in total.items()}
+    best = max(sorted(log), key=log.get)
+    return best, 1 / sum(np.exp(v - log[best]) for v in log.values())
+
+
+def test_language_learns_every_label(spark):
+    word = lambda k: "".join(chr(97 + c) for c in np.random.default_rng(k).integers(0, 26, 7).tolist())
+    # the labels past the 64th in frequency have one document
+    made = [(100 * k + j, f"{word(k)} {word(k)} {word(k + 200)}", f"l{k:03}") for k in range(130) for j in range(1 + (k < 64))]
+    frame = spark.createDataFrame(made, "doc_id bigint, text string, lang string").repartition(3)
+    asked = [*(f"{word(k)} {word(k + 200)}" for k in range(130)), "", "12", word(3) * 2]
+    wanted = [plain_language([(x, t) for _, t, x in made], t) for t in asked]
+    texts = spark.createDataFrame(list(enumerate(asked)), "doc_id bigint, text string")
+    for block in (64, 7, 1000):
+        model = language_id.train(frame, block=block)
+        assert len(model[0]) == 130 and len(model[1]) == -(-130 // block)
+        got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict_language(texts, model, ["doc_id"]).collect()}
+        for i, (lang, score) in enumerate(wanted):
+            assert got[i][1] == pytest.approx(score, abs=1e-4)
+            assert got[i][0] == lang or score < 0.51
+    assert len({x for x, _ in wanted}) > 100
