@@ -2,14 +2,16 @@
 
 Documents become pieces of at most ``room`` tokens. However many there are, the histogram has at most ``room`` lengths, so
 the driver plans on counts: a configuration is a multiset of lengths that fits a sequence. Multiplicative weights
-solve the covering program over configurations: lengths covered less weigh more, a knapsack dynamic program
-finds the configuration worth most at these prices, and it is used for a part of the scarcest of its lengths. The
-fractional uses are rounded down to what is left of each length, best filled first, and the rest is
-placed best fit in decreasing length, by counts. That plan is used unless best fit alone needs fewer sequences.
+solve the covering program over configurations: lengths covered less weigh more, and a knapsack dynamic program over the
+lengths that are not yet covered finds for each length the configuration worth most at these prices that has it. The
+dearest ``EACH`` of them are used, each for a part of the scarcest of its lengths: half of what is left in the first
+``STEPS`` pricings, then all of it, so the program ends when every length is covered, after ``STEPS`` pricings and
+one for each length at most. The fractional uses are rounded up, best filled first, as far as pieces are left, and
+the rest, of which no whole sequence of the program can be filled, is placed best fit in decreasing length, by counts.
 
 Pieces of a length are numbered in parallel, over salted parts with offsets, and the plan's ranges of numbers
 give each its sequence and offset. The plan has a row per configuration and length, so it depends on the
-number of lengths and steps, never on the number of pieces.
+number of lengths and configurations, never on the number of pieces.
 
 Defined cases: a null or empty text is one piece with only the end id; repeated rows are packed each; an empty table gives
 an empty result; equal pieces may change places; other columns are not read.
@@ -27,7 +29,11 @@ from meterbook.llm.pretokens import pieces_of
 from meterbook.llm.runtime import TOKENIZER, small_batches, tokenizer_path
 from meterbook.session import materialize
 
-ROOM, END, STEPS, PART_ROWS = 2048, 0, 200, 50_000
+ROOM, END, STEPS, EACH, PART_ROWS = 2048, 0, 400, 256, 50_000
+#: The worth of a length grows with this power of it, so that short pieces stay to fill gaps, and falls with what is covered.
+POWER, RATE = 1.3, 1.0
+#: A length counts as covered when no more than this share of it is left.
+TOLERANCE = 1e-9
 
 Plan = list[tuple[int, tuple[tuple[int, int], ...]]]
 
@@ -70,52 +76,57 @@ def token_pieces(
     )
 
 
-def dearest(prices: np.ndarray, lengths: np.ndarray, room: int) -> dict[int, int]:
-    """The configuration of most worth: a knapsack over the room, any length any number of times."""
+def priced(prices: np.ndarray, lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most worth of each room and a length that it ends with, 0 for none: a knapsack, any length any number of times."""
     worth, last = np.zeros(room + 1), np.zeros(room + 1, np.int64)
-    fit = np.searchsorted(lengths, np.arange(room + 1), "right")
+    fit = np.searchsorted(lengths, np.arange(room + 1), "right").tolist()
     for w in range(1, room + 1):
-        k = fit[w]
-        if not k:
-            continue
-        with_each = worth[w - lengths[:k]] + prices[:k]
-        best = int(np.argmax(with_each))
-        if with_each[best] > worth[w - 1]:
-            worth[w], last[w] = with_each[best], lengths[best]
-        else:
-            worth[w] = worth[w - 1]
-    found: dict[int, int] = {}
-    w = room
+        worth[w] = worth[w - 1]
+        if k := fit[w]:
+            with_each = worth[w - lengths[:k]] + prices[:k]
+            best = int(with_each.argmax())
+            if with_each[best] > worth[w]:
+                worth[w], last[w] = with_each[best], lengths[best]
+    return worth, last
+
+
+def configuration(last: np.ndarray, length: int, room: int) -> dict[int, int]:
+    """What is worth most together with a piece of ``length``."""
+    found = {length: 1}
+    w = room - length
     while w > 0:
-        if last[w]:
-            found[int(last[w])] = found.get(int(last[w]), 0) + 1
-            w -= int(last[w])
+        if x := int(last[w]):
+            found[x] = found.get(x, 0) + 1
+            w -= x
         else:
             w -= 1
     return found
 
 
 def fractional_uses(counts: dict[int, int], room: int, steps: int = STEPS) -> dict[tuple, float]:
-    """Uses of configurations that about cover the histogram, by multiplicative weights."""
+    """Uses of configurations that cover the whole histogram, by multiplicative weights."""
     lengths = np.array(sorted(counts), np.int64)
     demand = np.array([counts[x] for x in lengths.tolist()], float)
-    place = {int(x): i for i, x in enumerate(lengths)}
-    covered, uses = np.zeros(len(lengths)), {}
-    rate = np.log(len(lengths) + 1) * 2
-    # worth by size at the start; what is covered loses its price
-    base = lengths / room
-    for _ in range(steps):
-        if covered.min() >= 1:
-            break
-        weight = base * np.exp(-rate * covered)
-        weight[covered >= 1] = 0
-        found = dearest(weight + base * 1e-9, lengths, room)
-        index = [place[x] for x in found]
-        amount = np.array(list(found.values()), float)
-        step = float(np.min(np.maximum(demand[index] * (1 - covered[index]), 1) / amount)) / 2 + 0.5
-        covered[index] += step * amount / demand[index]
-        key = tuple(sorted(found.items(), reverse=True))
-        uses[key] = uses.get(key, 0.0) + step
+    place = {x: i for i, x in enumerate(lengths.tolist())}
+    left, uses, priced_times = demand.copy(), {}, 0
+    base = (lengths / room) ** POWER
+    while len(open_ := np.flatnonzero(left > 0)):
+        own, price = lengths[open_], (base * np.exp(-RATE * (1 - left / demand)))[open_]
+        worth, last = priced(price, own, room)
+        dearest = np.argsort(-(price + worth[room - own]), kind="stable")[:EACH]
+        for length in own[dearest].tolist():
+            found = configuration(last, length, room)
+            index = [place[x] for x in found]
+            if not left[index].all():  # another configuration has just used up one of its lengths
+                continue
+            amount = np.array(list(found.values()), float)
+            most = float(np.min(left[index] / amount))
+            step = min(most, most / 2 + 0.5) if priced_times < steps else most
+            rest = left[index] - step * amount
+            left[index] = np.where(rest > TOLERANCE * demand[index], rest, 0.0)
+            key = tuple(sorted(found.items(), reverse=True))
+            uses[key] = uses.get(key, 0.0) + step
+        priced_times += 1
     return uses
 
 
@@ -152,18 +163,17 @@ def best_fit(left: dict[int, int], room: int) -> Plan:
 
 def plan_sequences(counts: dict[int, int], room: int = ROOM, steps: int = STEPS) -> Plan:
     """(number of sequences, their lengths and how many of each) for a length histogram."""
-    alone = best_fit(counts, room) if counts else []
     if not counts:
         return []
     left, plan = dict(counts), []
     for key, use in sorted(fractional_uses(counts, room, steps).items(), key=lambda x: -sum(n * a for n, a in x[0])):
-        whole = min([int(use), *(left[n] // a for n, a in key)])
+        whole = min([int(np.ceil(use - 1e-6)), *(left[n] // a for n, a in key)])
         if whole > 0:
             plan.append((whole, key))
             for n, a in key:
                 left[n] -= whole * a
-    plan += best_fit({n: c for n, c in left.items() if c}, room) if any(left.values()) else []
-    return min(plan, alone, key=lambda p: sum(c for c, _ in p))
+    rest = {n: c for n, c in left.items() if c}
+    return plan + (best_fit(rest, room) if rest else [])
 
 
 def plan_ranges(plan: Plan) -> list[tuple[int, int, int, int, int, int]]:

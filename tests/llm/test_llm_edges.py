@@ -307,3 +307,19 @@ def test_language_learns_every_label(spark):
             assert got[i][1] == pytest.approx(score, abs=1e-4)
             assert got[i][0] == lang or score < 0.51
     assert len({x for x, _ in wanted}) > 100
+
+
+@pytest.mark.parametrize("times", [1, 1000])
+def test_program_covers_the_histogram(monkeypatch, times):
+    counts = {n: times * (20 + n % 5) for n in range(1, 2049, 2)}
+    held = dict.fromkeys(counts, 0.0)
+    for key, use in packing.fractional_uses(counts, 2048).items():
+        assert sum(n * a for n, a in key) <= 2048
+        for n, a in key:
+            held[n] += use * a
+    assert all(held[n] == pytest.approx(counts[n]) for n in counts)
+    given, fit = [], packing.best_fit
+    monkeypatch.setattr(packing, "best_fit", lambda left, room: given.append(sum(left.values())) or fit(left, room))
+    plan = packing.plan_sequences(counts)
+    assert sum(given) <= 0.02 * sum(counts.values())
+    assert sum(c for c, _ in plan) <= 1.005 * sum(n * c for n, c in counts.items()) / 2048 + 1
