@@ -1,8 +1,8 @@
 """Ids of a word-level vocabulary file for whole Arrow batches, exactly as its library gives them.
 
 The file's pattern never matches white space and no piece reaches over it, so the ids of a text are the ids
-of its words, in order. Each worker keeps the ids of the words it has met; a batch is then one
-look-up in sorted arrays. The file lower-cases all but its special strings, so words differ by case only where one
+of its words, in order. Each worker keeps the ids of the words it has met, by their bytes; a batch looks
+up each distinct word once. The file lower-cases all but its special strings, so words differ by case only where one
 may be. A new word of Latin letters and common signs is cut by the file's pattern here and each
 cut piece is merged by the library's model; any other word, and one that holds a special string, goes
 through the library as a whole.
@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-from meterbook.llm.textnum import gathered, words_at
+from meterbook.llm.textnum import gathered, words_of
 
 #: Fixed value: the pattern of the vocabulary file, for words of code points below U+0180.
 _PATTERN = re.compile(r"[^\W\d_²³¹¼½¾]+|'(?:s|t|re|ve|m|ll|d)|[\d²³¹¼½¾]|(?:[^\w\s]|_)+")
@@ -22,7 +22,7 @@ _LATER = re.compile(r"[^\x21-\x7e¡-ſ]|<\|")
 #: Fixed value: how the file's special strings begin.
 SPECIAL = b"<|"
 #: Words whose ids a worker keeps; the list starts anew when it is full.
-CACHE = 1 << 19
+CACHE = 1 << 17
 #: Pieces of words kept as Python lists, for new words only.
 PARTS = 1 << 16
 _OPEN: dict[str, "Pieces"] = {}
@@ -49,7 +49,8 @@ class Pieces:
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.begin, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.place: dict[bytes, int] = {}
+        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.parts = np.zeros(0, np.uint32), {}
 
     def part(self, part: str) -> list[int]:
@@ -71,29 +72,22 @@ class Pieces:
 
     def batch(self, column) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a text column in order, and where each row's begin; one more entry closes the last row."""
-        number, rows, data, starts, ends = words_at(column, SPECIAL)
-        distinct, first, place = np.unique(number, return_index=True, return_inverse=True)
-        if len(self.keys) + len(distinct) > CACHE:
+        found = words_of(column, SPECIAL)
+        if len(self.place) + len(found.distinct) > CACHE:
             self.forget()
-        at = np.searchsorted(self.keys, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(self.keys)
-        known[inside] = self.keys[at[inside]] == distinct[inside]
-        if not known.all():
-            fresh = np.flatnonzero(~known)
-            blob = data.tobytes()
-            new = [self.word(blob[s:e]) for s, e in zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist(), strict=True)]
+        fresh = [w for w in found.distinct if w not in self.place]
+        if fresh:
+            new = [self.word(w) for w in fresh]
             count = np.fromiter(map(len, new), np.int64, len(new))
             begin = len(self.pool) + np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64)
             self.pool = np.concatenate([self.pool, np.fromiter((x for ids in new for x in ids), np.uint32, int(count.sum()))])
-            where = at[fresh]
-            self.keys = np.insert(self.keys, where, distinct[fresh])
-            self.begin, self.count = np.insert(self.begin, where, begin), np.insert(self.count, where, count)
-            at = np.searchsorted(self.keys, distinct)
-        each = at[place]
+            self.place.update(zip(fresh, range(len(self.begin), len(self.begin) + len(fresh)), strict=True))
+            self.begin, self.count = np.concatenate([self.begin, begin]), np.concatenate([self.count, count])
+        at = np.fromiter(map(self.place.__getitem__, found.distinct), np.int64, len(found.distinct))
+        each = at[found.code]
         ids = gathered(self.pool, self.begin[each], self.count[each])
         upto = np.concatenate([[0], np.cumsum(self.count[each])])
-        return ids, upto[rows]
+        return ids, upto[found.rows]
 
 
 def pieces_of(path: str) -> Pieces:

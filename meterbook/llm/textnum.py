@@ -1,20 +1,20 @@
-"""Words of whole Arrow batches as 64-bit numbers, without a Python object per word.
+"""Words of whole Arrow batches as numbers, with no Python object per occurrence.
 
-A word is a run of bytes outside ``[\\x20\\x09-\\x0D]``, A-Z lower-cased. Its number is a polynomial over its bytes
-modulo 2^64 with an odd base, mixed by a finaliser, so equal words have equal numbers in every task.
-Two different words share one with a chance of about 2^-64.
+A word is a run of bytes outside ``[\\x20\\x09-\\x0D]``, A-Z lower-cased. Inside a batch words are told apart by their
+bytes: Arrow gives each distinct one a code. Across tasks a word's number is a keyed 64-bit BLAKE2b of its bytes, so no
+arrangement of letters makes two words clash by rule; two given words share a number with a chance of 2^-64.
 """
 
 from __future__ import annotations
 
+import hashlib
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes hashed at a time; longer only where one word is longer.
-WINDOW = 1 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_POWERS: dict[str, np.ndarray] = {}
+_KEY = b"meterbook words"
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -26,17 +26,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS.get("up", ())) < n:
-        up = np.full(n, _BASE, np.uint64)
-        up[0] = 1
-        inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-        down = np.full(n, inverse, np.uint64)
-        down[0] = 1
-        _POWERS["up"], _POWERS["down"] = np.cumprod(up), np.cumprod(down)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -50,51 +39,67 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarr
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all words in order, and where each row's words begin; one more entry closes the last row."""
-    return words_at(column)[:2]
-
-
-def words_at(
-    column: pa.Array | pa.ChunkedArray, cased: bytes | None = None
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """``words``, the lower-cased bytes, and where in them each word starts and ends.
-
-    Words that hold the two bytes ``cased`` keep their upper case.
-    """
-    raw, offsets = text_bytes(column)
-    data = raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
-    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
-    edge = np.zeros(len(data) + 1, bool)
+def bounds(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of marked bytes, none across rows, and where each row's runs begin, with a last entry."""
+    edge = np.zeros(len(inside) + 1, bool)
     edge[offsets] = True
-    before = np.empty(len(data), bool)
+    before = np.empty(len(inside), bool)
     before[:1] = False
     before[1:] = inside[:-1]
     starts = np.flatnonzero(inside & (~before | edge[:-1]))
-    after = np.empty(len(data), bool)
+    after = np.empty(len(inside), bool)
     after[-1:] = False
     after[:-1] = inside[1:]
     ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
-    rows = np.searchsorted(starts, offsets)
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def coded(data: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """A code for each run of marked bytes, and the runs' bytes by code."""
+    edges = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    buffers = [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data[inside]))]
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
+    return found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary.to_pylist()
+
+
+def numbers(distinct: list[bytes]) -> np.ndarray:
+    """The numbers of words."""
+    made = b"".join([hashlib.blake2b(w, digest_size=8, key=_KEY).digest() for w in distinct])
+    return np.frombuffer(made, "<u8").astype(np.uint64)
+
+
+@dataclass
+class Words:
+    """All words of a text column in order, by code; ``rows`` says where each row's begin, with a last entry."""
+
+    code: np.ndarray
+    distinct: list[bytes]
+    rows: np.ndarray
+
+
+def lower(raw: np.ndarray) -> np.ndarray:
+    return raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)
+
+
+def words_of(column: pa.Array | pa.ChunkedArray, cased: bytes | None = None) -> Words:
+    """The words of a column. Those that hold the two bytes ``cased`` keep their upper case."""
+    raw, offsets = text_bytes(column)
+    data = lower(raw)
+    inside = ~((data == 32) | ((data >= 9) & (data <= 13)))
+    starts, ends, rows = bounds(inside, offsets)
     if cased and len(hits := np.flatnonzero((raw[:-1] == cased[0]) & (raw[1:] == cased[1]))):
         held = np.unique(np.searchsorted(starts, hits, "right") - 1)
         step = np.zeros(len(raw) + 1, np.int8)
-        step[starts[held]] += 1
-        step[ends[held]] -= 1
+        np.add.at(step, starts[held], 1)
+        np.add.at(step, ends[held], -1)
         data = np.where(np.cumsum(step[:-1], dtype=np.int8) > 0, raw, data)
-    out = np.empty(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        base = starts[at]
-        upto = max(at + 1, int(np.searchsorted(ends, base + WINDOW, "right")))
-        size = int(ends[upto - 1] - base)
-        up, down = _powers(max(WINDOW, size))
-        total = np.zeros(size + 1, np.uint64)
-        np.cumsum((data[base : base + size].astype(np.uint64) + np.uint64(1)) * up[:size], out=total[1:])
-        s, e = starts[at:upto] - base, ends[at:upto] - base
-        out[at:upto] = mixed((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        at = upto
-    return out, rows, data, starts, ends
+    return Words(*coded(data, inside, starts, ends), rows)
+
+
+def words(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all words in order, and where each row's words begin; one more entry closes the last row."""
+    found = words_of(column)
+    return numbers(found.distinct)[found.code], found.rows
 
 
 def shingles(word: np.ndarray, rows: np.ndarray, k: int = 5) -> tuple[np.ndarray, np.ndarray]:

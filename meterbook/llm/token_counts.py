@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from meterbook.llm import blocks as B
 from meterbook.llm.pretokens import SPECIAL, pieces_of
 from meterbook.llm.runtime import TOKENIZER, parts, small_batches, tokenizer_path
-from meterbook.llm.textnum import sums, text_bytes, words_at
+from meterbook.llm.textnum import numbers, sums, text_bytes, words_of
 from meterbook.session import materialize
 
 LIMIT = 2048
@@ -25,21 +25,24 @@ LIMIT = 2048
 
 def _block(shards: int):
     def make(block: int, docs: pa.Table) -> list[tuple]:
-        number, rows, data, starts, ends = words_at(docs["text"], SPECIAL)
-        distinct, first, place = np.unique(number, return_index=True, return_inverse=True)
-        size = np.diff(rows)
+        found = words_of(docs["text"], SPECIAL)
+        # words are told apart by their bytes; their numbers only deal them to shards
+        number = numbers(found.distinct)
+        order = np.argsort(number, kind="stable")
+        place_of = np.empty(len(order), np.int64)
+        place_of[order] = np.arange(len(order))
+        place, size = place_of[found.code], np.diff(found.rows)
         pair = np.sort((np.repeat(np.arange(len(size)), size).astype(np.uint64) << np.uint64(32)) | place.astype(np.uint64))
         pair, times = np.unique(pair, return_counts=True)
         per_doc = np.bincount((pair >> np.uint64(32)).astype(np.int64), minlength=len(size))
         own = docs.drop_columns(["text"]).append_column("n_bytes", pa.array(np.diff(text_bytes(docs["text"])[1])))
         body = B.joined([B.framed(own), B.packed(per_doc), B.packed(pair & np.uint64(0xFFFFFFFF)), B.packed(times)])
-        blob, s, e = data.tobytes(), starts[first].tolist(), ends[first].tolist()
+        asked = [found.distinct[i] for i in order.tolist()]
         out = [(0, block, block, -1, body)]
-        edges = B.shard_edges(distinct, shards).tolist()
+        edges = B.shard_edges(number[order], shards).tolist()
         for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             if b > a:
-                ask = b" ".join([blob[i:j] for i, j in zip(s[a:b], e[a:b], strict=True)])
-                out.append((1, shard, block, shard, B.squeeze(ask)))
+                out.append((1, shard, block, shard, B.squeeze(b" ".join(asked[a:b]))))
         return out
 
     return B.each_block(make)
