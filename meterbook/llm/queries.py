@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterbook.llm import (
-    exact_dedup, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, token_counts, topk, url_filter,
+    conversations, exact_dedup, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, phrases, token_counts,
+    topk, url_filter,
 )
 from meterbook.llm.runtime import fold, table
 from meterbook.session import tune
@@ -77,10 +78,20 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.lm_scores(docs, ~held_out, held_out)
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(tune(spark), sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(tune(spark), sf_dir, "conversations")
+    return conversations.repair_digest(rows, conversations.damage(rows))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_language_id, op2_exact_dedup, op3_line_dedup, op4_mixing, op5_minhash_near_dedup,
-        op6_best_fit_packing, op7_token_counts, op8_exact_topk, op9_url_filter, op10_lm_scoring,
+        op6_best_fit_packing, op7_token_counts, op8_exact_topk, op9_url_filter, op10_lm_scoring, op11_phrase_mining,
+        op13_conversation_repair,
     )
 }
