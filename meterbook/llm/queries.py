@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterbook.llm import (
-    conversations, exact_dedup, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, phrases, token_counts,
-    topk, url_filter,
+    conversations, exact_dedup, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, phrases, privacy,
+    token_counts, topk, url_filter,
 )
 from meterbook.llm.runtime import fold, table
-from meterbook.session import tune
+from meterbook.session import materialize, tune
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,12 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(tune(spark), sf_dir, "documents"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(tune(spark), sf_dir, "documents")
+    terms = materialize(privacy.disclosing_terms(docs))
+    return privacy.span_digest(privacy.find_spans(docs, terms))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(tune(spark), sf_dir, "conversations")
     return conversations.repair_digest(rows, conversations.damage(rows))
@@ -92,6 +98,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_language_id, op2_exact_dedup, op3_line_dedup, op4_mixing, op5_minhash_near_dedup,
         op6_best_fit_packing, op7_token_counts, op8_exact_topk, op9_url_filter, op10_lm_scoring, op11_phrase_mining,
-        op13_conversation_repair,
+        op12_pii, op13_conversation_repair,
     )
 }
