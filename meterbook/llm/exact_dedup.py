@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from meterbook.llm.runtime import SPACE
+from meterbook.llm.runtime import SPACE, keep_listed
 from meterbook.session import materialize
 
 #: Characters of a chunk. A cut mark is a space behind one of eight letters and in front of one of eight.
@@ -85,18 +85,14 @@ def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     )
 
 
+def _row_key(id_column: Column, text_sha: Column) -> Column:
+    """One text for an id, null too, and a text."""
+    return F.concat_ws(":", text_sha, F.coalesce(id_column.cast("string"), F.lit("")), id_column.isNull().cast("string"))
+
+
 def drop_exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, all columns; a repeated row of a kept id stays once."""
     found = exact_duplicates(docs, id_column, text)
-    # what goes, and what repeats, is the smaller list, and ids alone: the documents move once at most
-    each = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).agg(
-        F.max("kept").alias("_stays"), F.count(F.lit(1)).alias("_rows")
-    )
-    marked = materialize(each.where("not _stays or _rows > 1"))
-    shown = docs.withColumn("_text_sha", F.sha2(normalised(F.col(text)), 256))
-    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha"))
-    first = Window.partitionBy(id_column, "_text_sha").orderBy("_text_sha")
-    repeated = shown.join(marked.where("_stays"), same, "left_semi")
-    once = repeated.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
-    alone = shown.join(marked, same, "left_anti")
-    return alone.select(*docs.columns).unionByName(once.select(*docs.columns))
+    each = found.groupBy(_row_key(F.col("doc_id"), F.col("text_sha256")).alias("key")).agg(F.max("kept").alias("stays"))
+    marks = materialize(each.where("not stays"))
+    return keep_listed(docs, _row_key(F.col(id_column), F.sha2(normalised(F.col(text)), 256)), marks)

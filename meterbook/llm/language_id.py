@@ -186,7 +186,10 @@ def _read(shared: list[Broadcast]) -> Iterator[np.ndarray]:
 
 
 def predict_language(docs: DataFrame, model: tuple[list[str], list[Broadcast]], keep: list[Column | str], text: str = "text") -> DataFrame:
-    """The columns ``keep`` with ``lang_pred`` and ``score`` for every row of ``docs``; the text itself is read only."""
+    """The columns ``keep`` with ``lang_pred`` and ``score`` for every row of ``docs``; the text itself is read only.
+
+    Kept columns that are named ``lang_pred`` or ``score`` give way to the result's.
+    """
     small_batches(docs.sparkSession)
     langs, shared = model
 
@@ -199,6 +202,6 @@ def predict_language(docs: DataFrame, model: tuple[list[str], list[Broadcast]],
                 names=[*batch.schema.names[1:], "lang_pred", "score"],
             )
 
-    rows = docs.select(F.col(text).cast("string").alias("_text"), *keep)
-    schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
+    rows = docs.select(F.col(text).cast("string").alias("_text_"), *keep).drop("lang_pred", "score")
+    schema = rows.drop("_text_").schema.add("lang_pred", "string").add("score", "double")
     return rows.mapInArrow(score, schema)

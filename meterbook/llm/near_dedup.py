@@ -20,8 +20,8 @@ Pairs inside a component are skipped. Verification compares the full shingle set
 
 Defined cases: a null text, or one without words, has no shingles and is linked with nothing; 1 to 4 words are one
 shingle; rows that repeat an id are documents of their own; a null id is no component's smallest unless all its ids
-are null; an empty table gives an empty result; columns beside id and text are not read. Shingles and sets are told
-apart by 64 bits.
+are null; an empty table gives an empty result; columns beside id and text are not read. Sets are told apart by 128 bits
+and get a number of their own; words and shingles have 64 bits. The list that takes up a pair is found by 32 bits of each list's number.
 """
 
 from __future__ import annotations
@@ -68,8 +68,8 @@ def by_slices(make, own: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def _node(own: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _set_id(own: np.ndarray) -> bytes:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
 def _sign(batches):
@@ -83,18 +83,18 @@ def _sign(batches):
         tokens = np.zeros((batch.num_rows, LISTS), np.int64)
         if len(full):
             tokens[full] = by_slices(tokens_of, own, np.append(rows[:-1][full], rows[-1])).view(np.int64)
-        node = [_node(own[s:e]) if e > s else 0 for s, e in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True)]
+        sets = [_set_id(own[s:e]) if e > s else b"" for s, e in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
+            [batch.column(0), batch.column(2), pa.array(size, pa.int64()), pa.array(sets, pa.binary()),
              pa.FixedSizeListArray.from_arrays(pa.array(tokens.ravel()), LISTS).cast(pa.list_(pa.int64()))],
-            names=["doc_id", "print", "n_shingles", "node", "tokens"],
+            names=["doc_id", "print", "n_shingles", "set_id", "tokens"],
         )
 
 
 def sketches(own: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Bytes of each row: a bit of ``BITS`` coordinates, then 16 bits of each list's number."""
+    """Bytes of each row: a bit of ``BITS`` coordinates, then 32 bits of each list's number."""
     bits = np.packbits((signatures(own, rows, LISTS, BITS) & np.uint64(1)).astype(np.uint8), axis=1)
-    return np.concatenate([bits, (tokens_of(own, rows) & np.uint64(0xFFFF)).astype("<u2").view(np.uint8)], axis=1)
+    return np.concatenate([bits, (tokens_of(own, rows) & np.uint64(0xFFFFFFFF)).astype("<u4").view(np.uint8)], axis=1)
 
 
 def _candidates(best: bool):
@@ -115,7 +115,7 @@ def _candidates(best: bool):
         mask = rows["mask"].to_numpy()
         raw = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(n, -1)
         sketch = np.ascontiguousarray(raw[:, : BITS // 8]).view(np.uint64)
-        values = np.ascontiguousarray(raw[:, BITS // 8 :]).view("<u2")
+        values = np.ascontiguousarray(raw[:, BITS // 8 :]).view("<u4")
         powers = np.int64(1) << np.arange(LISTS, dtype=np.int64)
         left, right, agree = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for d in range(1, n):
@@ -207,14 +207,14 @@ def _texts(batches):
             continue
         number, at = words(batch.column(1))
         own, rows = shingles(number, at, WORDS)
-        node = batch.column(0).to_pylist()
-        right = [e > s and _node(own[s:e]) == n for n, s, e in zip(node, rows[:-1].tolist(), rows[1:].tolist(), strict=True)]
+        sets = batch.column(2).to_pylist()
+        right = [e > s and _set_id(own[s:e]) == n for n, s, e in zip(sets, rows[:-1].tolist(), rows[1:].tolist(), strict=True)]
         there = np.flatnonzero(right)
         if len(there):
             size = np.diff(rows)[there]
             made = by_slices(sketches, gathered(own, rows[:-1][there], size), np.concatenate([[0], np.cumsum(size)]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.filter(pa.array(right, pa.bool_())).columns, pa.array([x.tobytes() for x in made], pa.binary())],
+                [*batch.filter(pa.array(right, pa.bool_())).columns[:2], pa.array([x.tobytes() for x in made], pa.binary())],
                 names=["node", "text", "sketch"],
             )
 
@@ -253,13 +253,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     rows = rows.withColumn("print", F.xxhash64("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     signed = materialize(
-        rows.mapInArrow(_sign, f"doc_id {id_type}, print bigint, n_shingles bigint, node bigint, tokens array<bigint>")
+        rows.mapInArrow(_sign, f"doc_id {id_type}, print bigint, n_shingles bigint, set_id binary, tokens array<bigint>")
     )
     members = signed.where("n_shingles > 0")
     # one row of a class gives its text, found again by its id, null too, and its text's fingerprint
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")
-    heads = members.groupBy("node").agg(F.min(row).alias("rep"), F.min("n_shingles").alias("n"))
-    tokens = members.select("node", "tokens").dropDuplicates(["node"]).select("node", F.posexplode("tokens").alias("c", "token"))
+    heads = members.groupBy("set_id").agg(F.min(row).alias("rep"), F.min("n_shingles").alias("n"), F.first("tokens").alias("tokens"))
+    # written, so that a class keeps its number
+    numbered = materialize(heads.withColumn("node", F.monotonically_increasing_id()))
+    tokens = numbered.select("node", F.posexplode("tokens").alias("c", "token"))
     common = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     # a list with one member is not here, and takes a place in the prefix all the same
     shared = (
@@ -268,10 +270,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         .where(F.size("posts") >= MEET)
         .select("node", F.slice("posts", F.lit(1), F.size("posts") - F.lit(MEET - 1)).alias("prefix"))
     )
-    posted = materialize(shared.join(heads, "node"))
+    posted = materialize(shared.join(numbered.drop("tokens"), "node"))
     own = F.col("rep.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("rep.print") == F.col("print"))
     texts = materialize(
-        posted.select("node", "rep").join(rows, own).select("node", "text")
+        posted.select("node", "rep", "set_id").join(rows, own).select("node", "text", "set_id")
         .mapInArrow(_texts, "node bigint, text string, sketch binary").dropDuplicates(["node"])
     )
     classes = posted.join(texts.select("node", "sketch"), "node")
@@ -290,8 +292,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
             tried = pairs.select(F.col("a").alias("node"), F.col("b").alias("tried"))
             labels = labels.join(tried, "node", "left")
         labels = materialize(labels)
-    placed = members.select("doc_id", "n_shingles", "node").join(labels.select("node", "label"), "node", "left")
-    placed = placed.withColumn("label", F.coalesce("label", "node"))
+    named = numbered.select("node", "set_id").join(labels.select("node", "label"), "node", "left")
+    named = named.select("set_id", F.coalesce("label", "node").alias("label"))
+    placed = members.select("doc_id", "n_shingles", "set_id").join(named, "set_id")
     smallest = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
     linked = placed.join(smallest, "label").select("doc_id", "n_shingles", "component_id")
     alone = signed.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

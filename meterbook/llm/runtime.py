@@ -9,7 +9,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: Rows of one Arrow batch, and its bytes where Spark knows the setting: what a Python worker holds at a time.
 BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
@@ -62,3 +62,29 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def unused(frame: DataFrame, *names: str) -> list[str]:
+    """The names, longer where a column of the frame has one already."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def keep_listed(docs: DataFrame, key: Column, marks: DataFrame) -> DataFrame:
+    """One row of each key, and none of a key that ``marks`` (``key``, ``stays``) says does not stay; all columns of ``docs``.
+
+    The documents are dealt once, by the key, whatever the number of marks; the first row of a key is then found in place.
+    Keys are texts and never null.
+    """
+    own, other, stays, nth = unused(docs, "_key", "_marked_key", "_stays", "_nth")
+    listed = marks.select(F.col("key").alias(other), F.col("stays").alias(stays)).hint("merge")
+    joined = docs.withColumn(own, key).join(listed, F.col(own) == F.col(other), "left")
+    first = F.row_number().over(Window.partitionBy(own).orderBy(own))
+    kept = joined.where(F.coalesce(F.col(stays), F.lit(True))).withColumn(nth, first)
+    return kept.where(F.col(nth) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
