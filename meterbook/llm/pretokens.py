@@ -21,10 +21,10 @@ _PATTERN = re.compile(r"[^\W\d_²³¹¼½¾]+|'(?:s|t|re|ve|m|ll|d)|[\d²³¹¼
 _LATER = re.compile(r"[^\x21-\x7e¡-ſ]|<\|")
 #: Fixed value: how the file's special strings begin.
 SPECIAL = b"<|"
-#: Words whose ids a worker keeps; the list starts anew when it is full.
-CACHE = 1 << 17
+#: Words whose ids a worker keeps; when the list is full, half of it stays: those met in most batches.
+CACHE = 1 << 19
 #: Pieces of words kept as Python lists, for new words only.
-PARTS = 1 << 16
+PARTS = 1 << 17
 _OPEN: dict[str, "Pieces"] = {}
 
 
@@ -50,9 +50,18 @@ class Pieces:
 
     def forget(self) -> None:
         self.place: dict[bytes, int] = {}
-        self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.begin, self.count, self.met = (np.zeros(0, np.int64) for _ in range(3))
         self.pool, self.parts = np.zeros(0, np.uint32), {}
 
+    def make_room(self) -> None:
+        stay = np.argsort(-self.met, kind="stable")[: CACHE // 2]
+        names = list(self.place)  # in the order of their places
+        self.place = {names[i]: k for k, i in enumerate(stay.tolist())}
+        self.pool = gathered(self.pool, self.begin[stay], self.count[stay])
+        self.count = self.count[stay]
+        self.begin = np.cumsum(self.count) - self.count
+        self.met = np.minimum(self.met[stay], 1)
+
     def part(self, part: str) -> list[int]:
         found = self.parts.get(part)
         if found is None:
@@ -74,16 +83,18 @@ class Pieces:
         """All ids of a text column in order, and where each row's begin; one more entry closes the last row."""
         found = words_of(column, SPECIAL)
         if len(self.place) + len(found.distinct) > CACHE:
-            self.forget()
+            self.make_room()
         fresh = [w for w in found.distinct if w not in self.place]
         if fresh:
             new = [self.word(w) for w in fresh]
             count = np.fromiter(map(len, new), np.int64, len(new))
-            begin = len(self.pool) + np.concatenate([[0], np.cumsum(count)[:-1]]).astype(np.int64)
+            begin = len(self.pool) + np.cumsum(count) - count
             self.pool = np.concatenate([self.pool, np.fromiter((x for ids in new for x in ids), np.uint32, int(count.sum()))])
             self.place.update(zip(fresh, range(len(self.begin), len(self.begin) + len(fresh)), strict=True))
             self.begin, self.count = np.concatenate([self.begin, begin]), np.concatenate([self.count, count])
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
         at = np.fromiter(map(self.place.__getitem__, found.distinct), np.int64, len(found.distinct))
+        self.met[at] += 1
         each = at[found.code]
         ids = gathered(self.pool, self.begin[each], self.count[each])
         upto = np.concatenate([[0], np.cumsum(self.count[each])])

@@ -15,6 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 _KEY = b"meterbook words"
+#: Words whose digests a worker keeps.
+REMEMBERED = 1 << 17
+_KNOWN: dict[bytes, bytes] = {}
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -63,8 +66,15 @@ def coded(data: np.ndarray, inside: np.ndarray, starts: np.ndarray, ends: np.nda
 
 
 def numbers(distinct: list[bytes]) -> np.ndarray:
-    """The numbers of words."""
-    made = b"".join([hashlib.blake2b(w, digest_size=8, key=_KEY).digest() for w in distinct])
+    """The numbers of words; a worker remembers the digests of the last ones."""
+    if len(_KNOWN) + len(distinct) > REMEMBERED:
+        _KNOWN.clear()
+    for w in distinct:
+        if w not in _KNOWN:
+            _KNOWN[w] = hashlib.blake2b(w, digest_size=8, key=_KEY).digest()
+    made = b"".join(map(_KNOWN.__getitem__, distinct))
+    if len(_KNOWN) > REMEMBERED:
+        _KNOWN.clear()
     return np.frombuffer(made, "<u8").astype(np.uint64)
 
 

@@ -39,3 +39,16 @@ def test_operators_tell_them_apart(docs):
     assert {r.component_id for r in near_dedup.near_duplicates(docs).collect()} == {1, 2}
     first = F.col("doc_id") == 1
     assert {r.doc_id: r.n_known for r in lm_scoring.lm_scores(docs, first, ~first).collect()} == {1: 2, 2: 1}
+
+
+def test_a_full_cache_keeps_ids_right(monkeypatch):
+    import pyarrow as pa
+    from meterbook.llm import pretokens
+
+    monkeypatch.setattr(pretokens, "CACHE", 40)
+    pieces = pretokens.Pieces(tokenizer_path())
+    for k in range(12):
+        texts = [" ".join(f"often{i} word{i * k}" for i in range(k, k + n)) for n in (0, 3, 30, 7)]
+        ids, rows = pieces.batch(pa.array(texts))
+        for i, text in enumerate(texts):
+            assert ids[rows[i] : rows[i + 1]].tolist() == pieces.library.encode(text, add_special_tokens=False).ids
