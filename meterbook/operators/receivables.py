@@ -74,14 +74,19 @@ def amount_due_before_due_date(
     return frame.select(*ACCOUNT, due.alias("amount_due_before_due_date"))
 
 
-def open_charges(ar_txns: DataFrame, as_of) -> DataFrame:
-    """Positive, unstatemented, unaged transactions of the last twelve months."""
-    return ar_txns.filter(
+def is_open_charge(as_of) -> Column:
+    """Positive, unstatemented and unaged, of the last twelve months."""
+    return (
         (F.col("trans_date") > F.add_months(day(as_of), -12))
         & ~F.col("is_statement")
         & (F.col("amount") > 0)
         & F.col("aging_date").isNull()
-    ).select(*ACCOUNT, "trans_num", "bill_number", "linked_trans_num", "trans_code", "amount")
+    )
+
+
+def open_charges(ar_txns: DataFrame, as_of) -> DataFrame:
+    """The open charges (see :func:`is_open_charge`)."""
+    return ar_txns.filter(is_open_charge(as_of)).select(*ACCOUNT, "trans_num", "bill_number", "linked_trans_num", "trans_code", "amount")
 
 
 def unbilled_amount(

@@ -19,8 +19,8 @@ from meterbook.operators.comments import cash_only, comment_restrictions, commen
 from meterbook.operators.contacts import phone_by_priority, phone_by_priority_v1
 from meterbook.operators.joins import earliest, join_keyed
 from meterbook.operators.payments import last_payment, pending_payments_v1
-from meterbook.operators.receivables import before_due_payments, due_before_due_date
-from meterbook.plans.past_due import past_due_frame, past_due_frame_v1
+from meterbook.operators.receivables import due_before_due_date
+from meterbook.plans.past_due import past_due_and_state, past_due_frame, past_due_frame_v1
 
 ACCOUNT = ["customer", "account"]
 
@@ -60,17 +60,13 @@ def account_summary(
     ``accounts`` also carries ``col_status`` and ``pin``, which the account check reports.
     The bill number is that of the current bill.
     """
-    frame = past_due_frame(tables, as_of, notice_codes, exact_tokens)
-    billed = frame.filter("calc_ts is not null").select(*ACCOUNT, "calc_ts")
+    frame, state = past_due_and_state(tables, as_of, notice_codes, exact_tokens)
     parts = [
-        before_due_payments(tables.ar_txns, tables.bill_lines, tables.trans_codes, billed),
         last_payment(tables.payments, tables.batches, tables.deposit_codes),
         arrangement_status(tables.arrangements, as_of),
-        cash_only(tables.accounts, tables.comments, tables.comment_codes, as_of),
-        comment_restrictions(
-            tables.accounts, tables.comments, tables.comment_codes, tables.payment_types, as_of
-        ),
-        open_service_order_flag(tables.accounts, tables.service_orders),
+        cash_only(state, tables.comments, tables.comment_codes, as_of),
+        comment_restrictions(state, tables.comments, tables.comment_codes, tables.payment_types, as_of),
+        open_service_order_flag(state, tables.service_orders),
     ]
     for part in parts:
         frame = frame.join(part, ACCOUNT, "left")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterbook.functions.rules import day, empty_date, money, or_empty_date, or_zero
 from meterbook.operators.accounts import current_accounts
 from meterbook.operators.bills import bill_facts, current_bill, last_past_due_bill, master_not_due
+from meterbook.operators import ledger as led
 from meterbook.operators.codes import balance_codes, excluded_codes, notice_codes_on
 from meterbook.operators.enrolments import (
     ar_balance,
@@ -20,14 +21,7 @@ from meterbook.operators.enrolments import (
     plan_status_v1,
 )
 from meterbook.operators.payments import pending_payments
-from meterbook.operators.receivables import (
-    bill_adjustments_v1,
-    later_charges_v1,
-    not_due_lines,
-    nsf_amount,
-    plan_adjustments,
-    unbilled_amount,
-)
+from meterbook.operators.receivables import bill_adjustments_v1, later_charges_v1, plan_adjustments
 from meterbook.session import materialize
 
 ACCOUNT = ["customer", "account"]
@@ -87,6 +81,13 @@ def plan_past_due(tables, as_of, exact_tokens: bool = False) -> DataFrame:
 
 def past_due_frame(tables, as_of, notice_codes: bool | None = None, exact_tokens: bool = False) -> DataFrame:
     """The account state with ``past_due_amount`` and ``past_due_date``."""
+    return past_due_and_state(tables, as_of, notice_codes, exact_tokens)[0]
+
+
+def past_due_and_state(
+    tables, as_of, notice_codes: bool | None = None, exact_tokens: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`past_due_frame` and the stored state below it, one row per account."""
     notice = notice_codes_on(tables.trans_codes) if notice_codes is None else notice_codes
     state = account_state(tables, as_of)
     master = master_not_due(
@@ -96,37 +97,11 @@ def past_due_frame(tables, as_of, notice_codes: bool | None = None, exact_tokens
         as_of,
     ).select(*ACCOUNT, "master_not_due")
 
+    ledger = led.read_ledger(tables, state, as_of, notice, exact_tokens)
     plan_rows = state.filter("use_plan_billed and plan_bill_number is not null")
-    parts = [
-        master,
-        plan_adjustments(tables.bill_lines, plan_rows, exact_tokens),
-        unbilled_amount(
-            tables.ar_txns,
-            tables.bill_lines,
-            tables.payments,
-            tables.bills,
-            tables.trans_codes,
-            state,
-            as_of,
-            notice,
-            exact_tokens,
-        ),
-        nsf_amount(tables.ar_txns, tables.trans_codes, state, as_of),
-    ]
+    parts = [master, led.plan_adjustments(ledger, plan_rows, exact_tokens), led.transaction_sums(ledger)]
     if notice:
-        parts.append(
-            not_due_lines(
-                state,
-                tables.bill_lines,
-                tables.bills,
-                tables.trans_codes,
-                tables.ar_codes,
-                tables.ar_txns,
-                balance_codes(tables.ar_codes),
-                as_of,
-                exact_tokens,
-            )
-        )
+        parts.append(led.not_due_amount(ledger, state, balance_codes(tables.ar_codes), exact_tokens))
     frame = state
     for part in parts:
         frame = frame.join(part, ACCOUNT, "left")
@@ -145,12 +120,13 @@ def past_due_frame(tables, as_of, notice_codes: bool | None = None, exact_tokens
     of_master = balance - F.greatest(F.col("master_not_due"), F.lit(0))
     raw = F.when(F.col("master_not_due").isNotNull(), of_master).otherwise(own)
     below = F.coalesce(F.col("_raw") < 0, F.lit(False))
-    return (
+    frame = (
         frame.withColumn("_raw", raw)
         .withColumn("past_due_amount", money(F.when(below, F.lit(0)).otherwise(F.col("_raw"))))
         .withColumn("past_due_date", F.when(below, empty_date()).otherwise(or_empty_date(F.col("past_due_date"))))
         .drop("_raw")
     )
+    return frame, state
 
 
 def past_due(tables, as_of, notice_codes: bool | None = None, exact_tokens: bool = False) -> DataFrame:
