@@ -164,9 +164,19 @@ def validated_rows(
     return rows.orderBy(request_id, F.desc(newest_first))
 
 
+# The forms of a date text that the source's conversion reads, in the order they are tried.
+DATE_FORMS = [
+    "yyyy-M-d", "yyyyMMdd", "M/d/yyyy", "M-d-yyyy", "M.d.yyyy", "yyyy/M/d", "yyyy.M.d", "MMM d, yyyy", "MMM d yyyy", "d MMM yyyy",
+]
+
+
 def parsed_date(text: Column) -> Column:
-    """A date from caller text; text that is no date gives NULL instead of failing."""
-    return F.try_to_date(text, "yyyy-MM-dd")
+    """A date from caller text, in any of ``DATE_FORMS``, with or without a time of day behind it.
+
+    Text that is no date gives NULL instead of failing.
+    """
+    plain = F.regexp_replace(F.trim(text), r"\s+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?(\s*[AaPp][Mm])?$", "")
+    return F.coalesce(*[F.try_to_date(plain, form) for form in DATE_FORMS])
 
 
 def request_date(text: Column) -> Column:
@@ -177,3 +187,32 @@ def request_date(text: Column) -> Column:
 def is_readable(text: Column) -> Column:
     """False for a text that is no date."""
     return text.isNull() | request_date(text).isNotNull()
+
+
+def customer_of_account(accounts: DataFrame, active: str = "AC") -> DataFrame:
+    """One customer for each account, and how many it has.
+
+    An account's customer is the one whose newest row is active, the newest of them by effective date and then by
+    the greatest number; without an active one, the newest of all.
+    """
+    newest_row = accounts.groupBy("account", "customer").agg(F.max(F.struct("effective_date", "account_status")).alias("row"))
+    order = F.struct((F.col("row.account_status") == active).alias("active"), F.col("row.effective_date").alias("since"), "customer")
+    chosen = newest_row.groupBy("account").agg(F.max(order).alias("chosen"), F.count(F.lit(1)).cast("int").alias("customers"))
+    return chosen.select("account", F.col("chosen.customer").alias("customer"), "customers")
+
+
+def account_lookup(requests: DataFrame, accounts: DataFrame, result: DataFrame, request_id: str = "request_id") -> DataFrame:
+    """Answer requests that name an account alone.
+
+    Code 1: the account has one customer; 2: it has several and :func:`customer_of_account` chose; 0: there is no such account,
+    and the values are defaults. A known account without a result row is answered with NULL data.
+    """
+    asked = join_keyed(requests.select(request_id, "account"), customer_of_account(accounts), ["account"], "left")
+    rows = join_keyed(asked, result, ACCOUNT, "left")
+    known = F.col("customers").isNotNull()
+    fields = [f for f in result.schema.fields if f.name not in ACCOUNT]
+    code = F.when(~known, 0).when(F.col("customers") == 1, 1).otherwise(2)
+    return rows.select(
+        request_id, "account", F.coalesce("customer", F.lit(0)).alias("customer"), code.alias("responsecode"),
+        *[F.when(known, F.col(f.name)).otherwise(_default(f.dataType)).alias(f.name) for f in fields],
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from meterbook.functions.rules import active_at, money, or_zero, total
 from meterbook.operators.joins import join_keyed, newest
+from meterbook.operators.ranges import range_join
 
 ACCOUNT = ["customer", "account"]
 
@@ -22,6 +23,12 @@ def active_plans(enrolments: DataFrame, plan_types: DataFrame, as_of) -> DataFra
     return join_keyed(running, plan_types, ["plan_type"], "inner")
 
 
+def active_plans_on(dates: DataFrame, enrolments: DataFrame, plan_types: DataFrame, date: str = "as_of") -> DataFrame:
+    """The enrolments in force on each of many days, with the settings of their plan type."""
+    running = range_join(dates.select(date), date, enrolments, "start_date", "stop_date")
+    return join_keyed(running, plan_types, ["plan_type"], "inner")
+
+
 def plan_number(plan_class: Column) -> Column:
     number = F.lit(0)
     for code, value in PLAN_NUMBER.items():

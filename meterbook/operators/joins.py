@@ -83,3 +83,22 @@ def earliest(values: Sequence[str | Column], order: Sequence[str | Column], when
     if when is None:
         return F.min_by(picked, position)
     return F.min_by(F.when(when, picked), F.when(when, position))
+
+
+def scalar_lookup(
+    rows: DataFrame, table: DataFrame, on: Sequence[str], value: str, name: str, unique: bool = True
+) -> DataFrame:
+    """Add ``(SELECT value FROM table WHERE on)`` as column ``name``; NULL where there is no row.
+
+    As in SQL, a second row for a key that is asked for is an error, raised by the task that meets it; the count is part of
+    the aggregate that the look-up needs anyway. With ``unique=False`` the smallest value counts.
+    """
+    keyed = table.filter(F.expr(" and ".join(f"`{c}` is not null" for c in on))).groupBy(*on).agg(
+        F.min(value).alias(name), F.count(F.lit(1)).alias("_rows")
+    )
+    found = join_keyed(rows, keyed, on)
+    if unique:
+        text = F.concat(F.lit(f"more than one row of {name} for {', '.join(on)} "), F.concat_ws(", ", *[F.col(c).cast("string") for c in on]))
+        checked = F.when(F.col("_rows") > 1, F.raise_error(text).cast(found.schema[name].dataType)).otherwise(F.col(name))
+        found = found.withColumn(name, checked)
+    return found.drop("_rows")

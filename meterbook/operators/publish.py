@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 class CheckFailed(RuntimeError):
@@ -78,3 +78,23 @@ def checked_append(
         "rows_after",
         (F.col("rows_after") == before + found).alias("ok"),
     )
+
+
+def write_ordered(df: DataFrame, path: str, order: Sequence[str | Column]) -> DataFrame:
+    """Write rows so that the files by name, and the rows in them, are in order; returns what was written.
+
+    Spark deals the rows by ranges of the order and sorts each range, so no task holds more than its range.
+    """
+    df.orderBy(*order).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store a working table dealt to buckets by its keys, as catalog table ``name`` in folder ``path``.
+
+    Joins and sums on these keys between tables with as many buckets need no exchange.
+    """
+    spark = df.sparkSession
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+    writer.option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)

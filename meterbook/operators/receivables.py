@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from meterbook.functions.rules import day, listed, money, or_empty_date, total
 from meterbook.operators.bills import current_bill
-from meterbook.operators.joins import exclude_listed, join_keyed
+from meterbook.operators.joins import exclude_listed, join_keyed, scalar_lookup
 
 ACCOUNT = ["customer", "account"]
 
@@ -99,12 +99,15 @@ def unbilled_amount(
     as_of,
     notice_codes: bool,
     exact_tokens: bool = False,
+    unique: bool = False,
 ) -> DataFrame:
     """Charges not billed yet, per account.
 
     A charge is open when it is on no bill and either unlinked or on no bill line, or
     when its bill is the one its payment names and that bill is past due.
     ``exclusions`` holds the code list of each account; a NULL list excludes everything.
+    With ``unique`` a payment or bill number that occurs twice among those looked up stops the job, as it does in
+    the source; otherwise any of its rows may match.
     """
     charges = open_charges(ar_txns, as_of)
     if notice_codes:
@@ -122,12 +125,16 @@ def unbilled_amount(
     unlisted = join_keyed(linked, on_lines, ["trans_num"], "left_anti")
 
     # a bill that does not exist counts as due on the day itself, so never as past due
-    paid_for = payments.filter(F.col("paid_bill") != 0).select("trans_num", F.col("paid_bill").alias("bill_number"))
-    due = bills.filter(F.col("due_date") < day(as_of)).select("bill_number").distinct()
-    billed = join_keyed(
-        charges.filter(F.col("bill_number") != 0), paid_for.distinct(), ["trans_num", "bill_number"], "left_semi",
-    )
-    billed = join_keyed(billed, due, ["bill_number"], "left_semi")
+    billed = charges.filter(F.col("bill_number") != 0)
+    if unique:
+        billed = scalar_lookup(billed, payments, ["trans_num"], "paid_bill", "paid_bill")
+        billed = scalar_lookup(billed.filter("paid_bill = bill_number"), bills, ["bill_number"], "due_date", "due_date")
+        billed = billed.filter(F.col("due_date") < day(as_of))
+    else:
+        paid_for = payments.filter(F.col("paid_bill") != 0).select("trans_num", F.col("paid_bill").alias("bill_number"))
+        due = bills.filter(F.col("due_date") < day(as_of)).select("bill_number").distinct()
+        billed = join_keyed(billed, paid_for.distinct(), ["trans_num", "bill_number"], "left_semi")
+        billed = join_keyed(billed, due, ["bill_number"], "left_semi")
     columns = [*ACCOUNT, "amount"]
     return (
         unlinked.select(columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from meterbook.functions.rules import MONEY, code_number, day, empty_date
+from meterbook.functions.rules import MONEY, code_number, day, empty_date, or_zero
 from meterbook.operators.ids import assign_ids, highest_id
 from meterbook.operators.joins import join_keyed
 
@@ -38,6 +38,13 @@ def stage_target_accounts(
     )
 
 
+def staged_receivables(targets: DataFrame, ar_txns: DataFrame) -> DataFrame:
+    """Number and sum of the receivables of each target account; without an exchange where both are in buckets by account."""
+    return targets.join(ar_txns, "account", "left").groupBy("account").agg(
+        F.count("amount").alias("transactions"), or_zero(F.sum("amount")).alias("amount")
+    )
+
+
 def multiplier_coverage(
     services: DataFrame, accounts: DataFrame, multipliers: DataFrame, service: str, account_type: str, division: str
 ) -> DataFrame:

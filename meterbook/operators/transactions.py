@@ -83,3 +83,21 @@ def reconcile_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
         .withColumn("actual_rows", found)
         .withColumn("ok", F.col("expected_rows") == F.col("actual_rows"))
     )
+
+
+def reconcile_above(staged: DataFrame, table: DataFrame, on: str, pk: str, mark, inserted: DataFrame | None = None) -> DataFrame:
+    """Do the rows that an append put above the old highest key join back to the staged rows one to one?
+
+    ``mark`` is the highest key before the append. A staged key that stands twice, or a row that came twice, joins back
+    more often than rows were inserted, and ``ok`` is false. Both sides are counted per key, so matches are never listed.
+    """
+    above = table.filter(F.col(pk) > mark)
+    wanted = staged.groupBy(on).agg(F.count(F.lit(1)).alias("n"))
+    found = above.groupBy(on).agg(F.count(F.lit(1)).alias("m"))
+    verified = wanted.join(found, on).agg(F.coalesce(F.sum(F.col("n") * F.col("m")), F.lit(0)).cast("bigint").alias("v")).scalar()
+    expected = staged.agg(F.count(F.lit(1))).scalar()
+    counted = (above if inserted is None else inserted).agg(F.count(F.lit(1)).alias("inserted_rows"))
+    return counted.select(
+        expected.alias("staged_rows"), "inserted_rows", verified.alias("verified_rows"),
+        ((F.col("inserted_rows") == verified) & (expected == F.col("inserted_rows"))).alias("ok"),
+    )

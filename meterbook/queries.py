@@ -24,6 +24,7 @@ from meterbook.operators import (
     transactions as txn,
 )
 from meterbook.operators.ids import assign_ids, highest_id
+from meterbook.operators.versions import VersionedTable
 from meterbook.plans import past_due as due, account_summary as summary
 from meterbook.session import shared_dir, tune
 from meterbook.sources.derived import AS_OF, Tables
@@ -35,6 +36,7 @@ PHONES = ["P3", "P11", "P5", "P7"]
 TYPE, DIVISION, SERVICE = "BU", "02", "30"
 CODE, CUTOFF = "RF", "2000-01-01"
 STAGED_START = "2023-01-01"
+STAGE_BUCKETS = 8
 
 # the aggregation behind the bill lines and receivables; plans that read those several times store it first
 LEDGERS = ("bill_txns",)
@@ -91,12 +93,30 @@ def active_plans(t):
     )
 
 
+@query
+def active_plans_on(t):
+    dates = t.bills.select((F.trunc("bill_date", "month") + F.expr("interval 1400 days")).cast("date").alias("as_of")).distinct()
+    return plan.active_plans_on(dates, t.plan_enrolments, t.plan_types).select(
+        "as_of", *ACCOUNT, "plan_type", "start_date", "stop_date", "plan_class"
+    )
+
+
+@query
+def staged_receivables(t):
+    """Receivables of the target accounts, both stored in buckets by account."""
+    folder, name = f"{shared_dir(t.spark)}/{_scratch()}", uuid.uuid4().hex
+    staged = srv.stage_target_accounts(t.services, t.accounts, SERVICE, TYPE, DIVISION).select("account").distinct()
+    targets = publish.stage_bucketed(staged, f"targets_{name}", f"{folder}-targets", ["account"], STAGE_BUCKETS)
+    txns = publish.stage_bucketed(t.ar_txns.select("account", "amount"), f"txns_{name}", f"{folder}-txns", ["account"], STAGE_BUCKETS)
+    return srv.staged_receivables(targets, txns)
+
+
 # ---- joins and subqueries -------------------------------------------------------------------
 
 
 @query
 def multiplier_profile(t):
-    return srv.multiplier_profile(t.services, t.accounts, t.multipliers, TYPE, 30, 1, 2)
+    return srv.multiplier_profile(t.services, t.accounts, t.multipliers, TYPE, 30, 1, 2).orderBy("multiplier")
 
 
 @query
@@ -200,6 +220,14 @@ def reconcile_counts(t):
     return txn.reconcile_counts(staged, lines.filter((F.col("trans_code") == CODE) & (F.col("trans_num") == -1)))
 
 
+@query
+def reconcile_above_mark(t):
+    staged = srv.stage_target_accounts(t.services, t.accounts, SERVICE, TYPE, DIVISION)
+    new = srv.add_multipliers_staged(staged, t.multipliers, STAGED_START, SERVICE)
+    mark = highest_id(t.multipliers, "multiplier_pk")
+    return txn.reconcile_above(staged, append_rows(t.multipliers, new), "servgrp_id", "multiplier_pk", mark)
+
+
 @query
 def exclude_codes(t):
     plans = plan.plan_status(t.plan_enrolments, t.plan_types, AS_OF)
@@ -389,6 +417,31 @@ def checked_append(t):
     return publish.checked_append(base, rows, expected, f"{base}-staging", joins_back)
 
 
+@query
+def versioned_append(t):
+    """The append of new multipliers as a version of its own."""
+    table = VersionedTable(t.spark, f"{shared_dir(t.spark)}/{_scratch()}-multipliers")
+    before = table.replace(t.multipliers, None)
+    targets = (TYPE, 30, 1, 2)
+    new = append_rows(empty_like(t.multipliers), srv.add_multipliers(t.services, t.accounts, t.multipliers, *targets))
+    after = table.append(new, before, expected=srv.target_services(t.services, t.accounts, *targets))
+    counts = table.read(after).agg(F.count(F.lit(1)).alias("rows_after"))
+    return counts.select(
+        F.lit(before.rows).cast("bigint").alias("rows_before"), F.lit(after.rows - before.rows).cast("bigint").alias("rows_added"),
+        "rows_after", (F.col("rows_after") == after.rows).alias("ok"),
+    )
+
+
+@query
+def sync_newer_contacts_touched(t):
+    """The update of contacts, written only to the buckets of accounts that have a newer row."""
+    table = VersionedTable(t.spark, f"{shared_dir(t.spark)}/{_scratch()}-contacts", key="account", buckets=STAGE_BUCKETS)
+    before = table.replace(t.contacts, None)
+    touched = t.contacts.filter(F.col("add_type") == "BF").select("account").distinct()
+    after = table.rewrite(touched, con.sync_newer_contacts, before)
+    return table.read(after)
+
+
 @query
 def multiplier_targets(t):
     return srv.multiplier_targets(t.services, t.accounts, TYPE, 30, 1, 2)
@@ -474,6 +527,15 @@ def unbilled_amount_plain(t):
     return rec.unbilled_amount(t.ar_txns, t.bill_lines, t.payments, t.bills, t.trans_codes, lists, AS_OF, False)
 
 
+@query
+def unbilled_amount_unique(t):
+    plans = plan.plan_status(t.plan_enrolments, t.plan_types, AS_OF)
+    lists = codes.exclude_codes(t.accounts, plans, t.ar_codes)
+    return rec.unbilled_amount(
+        t.ar_txns, t.bill_lines, t.payments, t.bills, t.trans_codes, lists, AS_OF, True, unique=True
+    )
+
+
 @query
 def nsf_amount(t):
     return rec.nsf_amount(t.ar_txns, t.trans_codes, bills.current_bill(t.bills), AS_OF)
@@ -526,7 +588,8 @@ def account_summary_v1(t):
 
 @query
 def billing_history(t):
-    return bills.billing_history(t.bills, "1999-01-01", "2000-12-31")
+    rows = bills.billing_history(t.bills, "1999-01-01", "2000-12-31")
+    return rows.orderBy("customernumber", "accountnumber", F.desc("billdate"), "billnumber")
 
 
 @query
@@ -546,6 +609,12 @@ def validated_lookup(t):
     return acc.validated_lookup(t.lookup_requests, t.accounts, balances.join(newest, ACCOUNT, "left"))
 
 
+@query
+def account_lookup(t):
+    newest = bills.current_bill(t.bills).select(*ACCOUNT, "bill_date", "bill_amount")
+    return acc.account_lookup(t.lookup_requests, t.accounts, newest)
+
+
 # ---- helpers ------------------------------------------------------------------------------------------------
 
 

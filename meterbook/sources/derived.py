@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from meterbook.session import materialize
 from meterbook.sources.seeds import CARD_TYPES, CROSSWALK
-from meterbook.sources.tables import load
+from meterbook.sources.tables import canonical_codes, load
 
 AS_OF = "2001-07-15"
 
@@ -343,13 +343,45 @@ DERIVED: dict[str, str] = {
     "lookup_requests": """
         select event_id as request_id, user_id * (1 + event_id % 3) as customer,
                case when event_id % 5 = 0 then user_id + 1 else user_id * (1 + event_id % 3) end + 700000 as account,
-               case when event_id % 11 = 0 then '2000-13-45' when event_id % 17 = 0 then '' else '1999-01-01' end
-                   as first_text,
-               case event_id % 13 when 0 then 'soon' when 1 then null else '2000-12-31' end as last_text
+               case when event_id % 11 = 0 then '2000-13-45' when event_id % 17 = 0 then '' when event_id % 7 = 0 then '19990101'
+                    when event_id % 7 = 1 then ' 1/1/1999 ' when event_id % 7 = 2 then '01-01-1999' when event_id % 7 = 3 then 'Jan 1, 1999'
+                    else '1999-01-01' end as first_text,
+               case event_id % 13 when 0 then 'soon' when 1 then null when 2 then '12.31.2000' when 3 then '31 Dec 2000'
+                    when 4 then '2000/12/31' when 5 then '12/32/2000' when 6 then '2000-12-31 23:59:59' else '2000-12-31' end
+                   as last_text
         from {events}""",
 }
 
 
+#: Code columns that the tables hold with blanks behind them and in either case, as a source with such a collation may.
+#: The SQL counterparts read the plain codes: what the source holds equal must come out equal.
+#: By table: the number that decides how a row's codes are written, and the columns.
+PADDED = {
+    "accounts": ("customer", ["account_type", "bill_group"]),
+    "addresses": ("customer", ["add_type"]),
+    "ar_balances": ("customer", ["ar_code"]),
+    "ar_txns": ("trans_num", ["trans_code"]),
+    "bill_lines": ("trans_num", ["trans_code", "ar_code"]),
+    "bills": ("bill_number", ["account_type", "bill_type", "bill_group"]),
+    "comments": ("comment_id", ["comment_code"]),
+    "contacts": ("contact_pk", ["add_type", "phone_type"]),
+    "payments": ("trans_num", ["trans_code"]),
+    "plan_enrolments": ("customer", ["plan_type"]),
+    "services": ("service_id", ["service"]),
+}
+
+
+def padded(df: DataFrame, number: str, columns: list[str]) -> DataFrame:
+    """Codes with none, one or two blanks behind them, every fifth in lower case."""
+    kind = F.col(number)
+
+    def written(name: str):
+        text = F.when(kind % 5 == 0, F.lower(name)).otherwise(F.col(name))
+        return F.concat(text, F.when(kind % 3 == 0, "").when(kind % 3 == 1, " ").otherwise("  "))
+
+    return df.withColumns({name: written(name) for name in columns})
+
+
 def names_in(text: str) -> list[str]:
     """The tables a text refers to, in order of appearance."""
     seen: dict[str, None] = {}
@@ -373,7 +405,10 @@ class Tables:
             if name in DERIVED:
                 text = DERIVED[name]
                 parts = {n: getattr(self, n) for n in names_in(text)}
-                self._built[name] = self.spark.sql(text, **parts)
+                built = self.spark.sql(text, **parts)
+                if name in PADDED:
+                    built = canonical_codes(padded(built, *PADDED[name]))
+                self._built[name] = built
             else:
                 self._built[name] = load(self.spark, self.folder, name)
         return self._built[name]

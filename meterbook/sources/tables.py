@@ -17,6 +17,33 @@ def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# Columns that hold codes, which the source compares without trailing blanks and without case.
+# Not among them: card types, which the recoding tells apart by case, and free text.
+CODE_COLUMNS = frozenset(
+    {
+        "account_status", "account_type", "add_type", "ar_code", "bill_group", "bill_type", "code", "col_status",
+        "comment_code", "comment_type", "company", "credit_code", "debit_code", "deposit_code", "disconnect_status",
+        "division", "num_suffix", "pending_status", "phone_type", "plan_class", "plan_type", "service", "service_group",
+        "street_prefix", "trans_code", "transaction_type",
+    }
+)
+
+
+def canonical_codes(df: DataFrame, ignore_case: bool = True) -> DataFrame:
+    """Codes in the one form that equals all that the source holds equal: no trailing blanks, upper case.
+
+    Joins, groupings, lists and filters on these columns then compare as the source does, in every operator and
+    at no cost but a projection. NULL stays NULL.
+    """
+
+    def plain(name: str) -> Column:
+        text = F.rtrim(F.col(f"`{name}`"))
+        return (F.upper(text) if ignore_case else text).alias(name)
+
+    texts = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+    return df.select(*[plain(c) if c in CODE_COLUMNS and c in texts else F.col(f"`{c}`") for c in df.columns])
+
+
 def typed(name: str) -> Column:
     """A source column cast by its prefix (``C_`` text, ``D_`` date, ``Y_`` money, …)."""
     return F.col(name).cast(TYPE_BY_PREFIX[name.split("_", 1)[0]])
@@ -70,7 +97,8 @@ def append_rows(base: DataFrame, new: DataFrame) -> DataFrame:
 class SourceTables:
     """The billing system's tables by the attribute names the plans read.
 
-    Each table comes from ``load`` under its source name and is renamed and cast.
+    Each table comes from ``load`` under its source name, is renamed and cast, and has its codes in one form
+    (see :func:`canonical_codes`; ``ignore_case=False`` for a source whose collation tells cases apart).
     """
 
     # Attribute -> source table.
@@ -112,8 +140,8 @@ class SourceTables:
         "crosswalk": "INT100",
     }
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, ignore_case: bool = True):
+        self.spark, self.folder, self.ignore_case = spark, folder, ignore_case
         self._built: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -121,5 +149,6 @@ class SourceTables:
             raise AttributeError(name)
         if name not in self._built:
             table = self.NAMES[name]
-            self._built[name] = from_source(load(self.spark, self.folder, table), table)
+            rows = from_source(load(self.spark, self.folder, table), table)
+            self._built[name] = canonical_codes(rows, self.ignore_case)
         return self._built[name]

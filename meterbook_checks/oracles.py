@@ -253,6 +253,21 @@ ORACLES: dict[str, str] = {
     "staged_amount_stats": """
     select count(*) as total_records, cast(avg(amount) as decimal(15,2)) as average_amount,
            min(amount) as min_amount, max(amount) as max_amount from {q_missing_system_txns}""",
+    "active_plans_on": """
+    select d.as_of, e.customer, e.account, e.plan_type, e.start_date, e.stop_date, p.plan_class
+    from (select distinct cast(date_trunc('month', bill_date) as date) + 1400 as as_of from {bills}) d
+        join {plan_enrolments} e on e.start_date <= d.as_of and (e.stop_date is null or d.as_of <= e.stop_date)
+        join {plan_types} p on p.plan_type = e.plan_type""",
+    "staged_receivables": """
+    select s.account, count(a.amount) as transactions, cast(coalesce(sum(a.amount), 0) as decimal(15,2)) as amount
+    from (select distinct account from {q_stage_target_accounts}) s left join {ar_txns} a on a.account = s.account
+    group by s.account""",
+    "reconcile_above_mark": """
+    with staged as (select * from {q_stage_target_accounts}), n as (select count(*) as rows from staged),
+    verified as (
+        select coalesce(sum(k * k), 0) as v from (select servgrp_id, count(*) as k from staged group by servgrp_id))
+    select n.rows as staged_rows, n.rows as inserted_rows, cast(v as bigint) as verified_rows, n.rows = v as ok
+    from n, verified""",
     "reconcile_counts": """
     select expected_rows, actual_rows, expected_rows = actual_rows as ok from
       (select count(*) as expected_rows from {q_missing_system_txns}),
@@ -723,8 +738,8 @@ ORACLES: dict[str, str] = {
     from {bills} where @real and bill_date between date '1999-01-01' and date '2000-12-31'""",
     "billing_history_lookup": """
     with read as (
-        select r.*, case when first_text = '' then date '1900-01-01' else try_cast(first_text as date) end as d1,
-               case when last_text = '' then date '1900-01-01' else try_cast(last_text as date) end as d2,
+        select r.*, case when trim(first_text) = '' then date '1900-01-01' else @date(first_text) end as d1,
+               case when trim(last_text) = '' then date '1900-01-01' else @date(last_text) end as d2,
                exists (select 1 from {accounts} a where a.customer = r.customer and a.account = r.account) as known
         from {lookup_requests} r
     ), judged as (
@@ -747,6 +762,22 @@ ORACLES: dict[str, str] = {
     select j.request_id, h.responsecode, h.payamount, h.paydate
     from judged j join {q_payment_history} h on h.customer = j.customer and h.account = j.account where j.valid
     union all select request_id, 0, 0, date '1900-01-01' from judged where not valid""",
+    "account_lookup": """
+    with newest as (
+        select account, customer, max(effective_date) as since,
+               arg_max(account_status, effective_date::varchar || account_status) as status
+        from {accounts} group by account, customer
+    ), chosen as (
+        select account, customer, count(*) over (partition by account) as customers,
+               row_number() over (partition by account order by status = 'AC' desc, since desc, customer desc) as rn
+        from newest
+    )
+    select r.request_id, r.account, coalesce(c.customer, 0) as customer,
+           case when c.account is null then 0 when c.customers = 1 then 1 else 2 end as responsecode,
+           case when c.account is null then date '1900-01-01' else b.bill_date end as bill_date,
+           case when c.account is null then 0 else b.bill_amount end as bill_amount
+    from {lookup_requests} r left join chosen c on c.account = r.account and c.rn = 1
+    left join {q_current_bill} b on b.customer = c.customer and b.account = c.account""",
     "validated_lookup": """
     select r.request_id, r.customer, r.account, case when k.account is null then 0 else 1 end as responsecode,
            case when k.account is null then 0 else c.current_balance end as current_balance,
@@ -759,11 +790,21 @@ ORACLES: dict[str, str] = {
     left join {q_current_bill} b on b.customer = r.customer and b.account = r.account""",
 }
 
+ORACLES["versioned_append"] = ORACLES["checked_append"]
+ORACLES["sync_newer_contacts_touched"] = ORACLES["sync_newer_contacts"]
+ORACLES["unbilled_amount_unique"] = ORACLES["unbilled_amount"]
+
 # helper texts that are no query of their own
 _HELPERS = {"expanded", "current_accounts", "state_v1"}
 
 
+# Forms of a date text.
+_FORMS = "['%Y-%m-%d', '%Y%m%d', '%m/%d/%Y', '%m-%d-%Y', '%m.%d.%Y', '%Y/%m/%d', '%Y.%m.%d', '%b %d, %Y', '%b %d %Y', '%d %b %Y', '%Y-%m-%d %H:%M:%S']"
+
+
 def _marked(text: str) -> str:
+    for name in ("first_text", "last_text"):
+        text = text.replace(f"@date({name})", f"cast(try_strptime(trim({name}), {_FORMS}) as date)")
     for mark, value in _MARKS.items():
         text = text.replace(mark, value)
     return text
