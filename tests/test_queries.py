@@ -9,6 +9,7 @@ from conftest import SMALL
 from meterbook.operators import ledger
 from meterbook.plans import past_due
 from meterbook.queries import QUERIES as NAMES, run
+from meterbook.session import tune
 from meterbook.sources import derived
 from meterbook_checks.compare import connect, differences
 from meterbook_checks.oracles import oracle_texts
@@ -47,8 +48,11 @@ def test_building_starts_only_the_written_tables(spark, monkeypatch, name, most)
     """With the writes left out no job runs, but the look at the notice codes."""
     for module in (derived, ledger, past_due):
         monkeypatch.setattr(module, "materialize", lambda df: df)
+    tables = derived.Tables(tune(spark), SMALL)
+    for table in derived.DRIVER_TABLES:  # Spark reads the files' schemas
+        getattr(tables, table)
     before = set(jobs(spark))
-    QUERIES[name](spark, SMALL)
+    NAMES[name](tables)
     assert len(set(jobs(spark)) - before) <= most
 
 
