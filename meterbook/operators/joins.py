@@ -56,11 +56,12 @@ def exclude_listed(
     if not per:
         return flag_unlisted(rows, column, values, value, "_unlisted").filter("_unlisted").drop("_unlisted")
     values = values.select(*per, F.col(value).alias(column))
-    with_null = values.filter(F.col(column).isNull()).select(*per).distinct()
-    listing = values.filter(F.col(column).isNotNull()).distinct()
+    # anti joins ask whether a row is there, however often
+    with_null = values.filter(F.col(column).isNull()).select(*per)
+    listing = values.filter(F.col(column).isNotNull())
     valued = join_keyed(rows.filter(F.col(column).isNotNull()), listing, [*per, column], "left_anti")
     valued = join_keyed(valued, with_null, per, "left_anti")
-    blank = join_keyed(rows.filter(F.col(column).isNull()), values.select(*per).distinct(), per, "left_anti")
+    blank = join_keyed(rows.filter(F.col(column).isNull()), values.select(*per), per, "left_anti")
     return valued.unionByName(blank.select(valued.columns))
 
 

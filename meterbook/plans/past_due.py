@@ -20,6 +20,7 @@ from meterbook.operators.enrolments import (
     plan_status,
     plan_status_v1,
 )
+from meterbook.operators.joins import join_keyed
 from meterbook.operators.payments import pending_payments
 from meterbook.operators.receivables import bill_adjustments_v1, later_charges_v1, plan_adjustments
 from meterbook.session import materialize
@@ -27,22 +28,28 @@ from meterbook.session import materialize
 ACCOUNT = ["customer", "account"]
 
 
-def account_state(tables, as_of) -> DataFrame:
+def account_state(tables, as_of, plan_billed: bool = False) -> DataFrame:
     """One row per account: newest account row, plan, balances, bill facts, code lists.
 
     Written once, because the receivable and line jobs below all join to it; each of
-    the big tables behind it is read a single time.
+    the big tables behind it is read a single time. With ``plan_billed`` only accounts on plan billing are
+    looked at, and of the big tables only their rows move.
     """
     plans = plan_status(tables.plan_enrolments, tables.plan_types, as_of)
+    wanted = plans.filter("use_plan_billed").select(*ACCOUNT)
+
+    def own(rows: DataFrame) -> DataFrame:
+        return join_keyed(rows, wanted, ACCOUNT, "left_semi") if plan_billed else rows
+
+    facts = bill_facts(own(tables.bills), as_of).withColumnRenamed("not_due", "not_due_bills")
+    pending = pending_payments(own(tables.payments), tables.trans_codes, own(tables.ext_pending))
     frame = (
-        current_accounts(tables.accounts)
+        current_accounts(own(tables.accounts))
         .join(plans, ACCOUNT, "left")
-        .join(plan_balance(tables.plan_balances), ACCOUNT, "left")
-        .join(ar_balance(tables.ar_balances, tables.ar_codes), ACCOUNT, "left")
-        .join(
-            bill_facts(tables.bills, as_of).withColumnRenamed("not_due", "not_due_bills"), ACCOUNT, "left"
-        )
-        .join(pending_payments(tables.payments, tables.trans_codes, tables.ext_pending), ACCOUNT, "left")
+        .join(plan_balance(own(tables.plan_balances)), ACCOUNT, "left")
+        .join(ar_balance(own(tables.ar_balances), tables.ar_codes), ACCOUNT, "left")
+        .join(facts, ACCOUNT, "left")
+        .join(pending, ACCOUNT, "left")
     )
     _, full = excluded_codes(tables.ar_codes, plans)
     frame = balance_rule(frame).withColumn("exclude_codes", full)
@@ -70,7 +77,7 @@ def plan_past_due_rule(balance: Column) -> Column:
 
 def plan_past_due(tables, as_of, exact_tokens: bool = False) -> DataFrame:
     """Accounts on plan billing, with the amount taken from the plan bill."""
-    state = account_state(tables, as_of).filter("use_plan_billed")
+    state = account_state(tables, as_of, plan_billed=True)
     adjustments = plan_adjustments(
         tables.bill_lines, state.filter("plan_bill_number is not null"), exact_tokens
     )

@@ -442,6 +442,27 @@ def sync_newer_contacts_touched(t):
     return table.read(after)
 
 
+@query
+def promote_addresses_touched(t):
+    """The promotion of addresses, written only to the buckets of accounts that have one of the old type."""
+    table = VersionedTable(t.spark, f"{shared_dir(t.spark)}/{_scratch()}-addresses", key="account", buckets=STAGE_BUCKETS)
+    before = table.replace(t.addresses, None)
+    touched = t.addresses.filter(F.col("add_type") == "BF").select("account").distinct()
+    after = table.rewrite(touched, lambda part: con.promote_addresses(part)[0], before)
+    return table.read(after)
+
+
+@query
+def card_type_recode_touched(t):
+    """The recoding of card types, written only to the buckets of owners with an old code."""
+    table = VersionedTable(t.spark, f"{shared_dir(t.spark)}/{_scratch()}-cards", key="pay003_fk", buckets=STAGE_BUCKETS)
+    before = table.replace(t.card_types, None)
+    coded = cards.recode(t.card_types.withColumn("_old", F.col("card_type")), "card_type")
+    touched = coded.filter(~F.col("_old").eqNullSafe(F.col("card_type"))).select("pay003_fk").distinct()
+    after = table.rewrite(touched, lambda part: cards.recode(part, "card_type"), before)
+    return table.read(after)
+
+
 @query
 def multiplier_targets(t):
     return srv.multiplier_targets(t.services, t.accounts, TYPE, 30, 1, 2)

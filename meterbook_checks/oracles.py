@@ -792,6 +792,8 @@ ORACLES: dict[str, str] = {
 
 ORACLES["versioned_append"] = ORACLES["checked_append"]
 ORACLES["sync_newer_contacts_touched"] = ORACLES["sync_newer_contacts"]
+ORACLES["promote_addresses_touched"] = ORACLES["promote_addresses"]
+ORACLES["card_type_recode_touched"] = ORACLES["card_type_recode"]
 ORACLES["unbilled_amount_unique"] = ORACLES["unbilled_amount"]
 
 # helper texts that are no query of their own

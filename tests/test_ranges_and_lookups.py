@@ -156,3 +156,38 @@ def test_code_forms(spark):
     frame = spark.createDataFrame([("ab ", "x ", 1), ("AB", "x", 2), (None, None, 3)], "trans_code string, note string, plan_type int")
     assert rows(canonical_codes(frame)) == sorted([("AB", "x ", 1), ("AB", "x", 2), (None, None, 3)], key=repr)
     assert rows(canonical_codes(frame, ignore_case=False).select("trans_code")) == sorted([("ab",), ("AB",), (None,)], key=repr)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_last_payment_against_the_row_by_row_rule(spark, seed):
+    """The source's loop: newest first, while the batch stays that of the first."""
+    from decimal import Decimal
+
+    from meterbook.operators.payments import last_payment
+
+    pick = random.Random(seed)
+    made = []
+    for n in range(400):
+        made.append((n, 1, pick.randrange(25), Decimal(-pick.randrange(1, 9)), pick.choice([-1, 1, 1, 2]), day(pick.randrange(4)),
+                     pick.choice(["A", "A", "A", " "]), "PAY", pick.random() < 0.9, pick.random() < 0.05))
+    schema = ("trans_num long, customer long, account long, amount decimal(15,2), batch_id long, pay_date date, ar_code string, trans_code string, "
+              "processed boolean, is_deleted boolean")
+    batches = spark.createDataFrame([(-1, "CA"), (1, "CA"), (2, "CA" if seed else "AD")], "batch_id long, transaction_type string")
+    cash = {-1, 1} | ({2} if seed else set())
+    want = []
+    for account in range(25):
+        settled = [r for r in made if r[2] == account and r[3] < 0 and r[8] and not r[9]]
+        rows_ = sorted((r for r in settled if r[4] in cash and r[6].strip()), key=lambda r: (r[5], r[0]), reverse=True)
+        if not rows_:
+            continue
+        first = rows_[0]
+        amount = Decimal(0)
+        if first[4] == -1:
+            amount = sum(r[3] for r in settled if r[5] == first[5])
+        else:
+            for r in rows_:
+                if r[4] != first[4]:
+                    break
+                amount += r[3]
+        want.append((1, account, amount, first[5]))
+    assert rows(last_payment(spark.createDataFrame(made, schema), batches)) == sorted(want, key=repr)
