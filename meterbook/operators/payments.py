@@ -99,8 +99,8 @@ def last_payment(
 
     Payments are taken newest first (date, then transaction number) while the batch
     stays that of the first; with batch -1 the amount is all settled payments of that
-    date. Done without a per-account sort, on sums per batch and day: the newest position of each batch gives
-    the first batch and the position where the run stops.
+    date. Done without a per-account sort: the newest position of each batch gives
+    the first batch and the position where the run stops, and one more pass sums.
     """
     cash = (
         batches.filter(F.col("transaction_type") == "CA").select("batch_id").distinct().withColumn("_cash", F.lit(True))
@@ -121,39 +121,29 @@ def last_payment(
         *ACCOUNT, "trans_num", "batch_id", "pay_date", "amount", F.coalesce(listed, F.lit(False)).alias("listed")
     )
 
-    # per batch and day, which is all that the pick and most sums need
     position = F.struct("pay_date", "trans_num")
-    days = paid.groupBy(*ACCOUNT, "batch_id", "pay_date").agg(
-        total(F.col("amount")).alias("day_sum"),
-        total(F.col("amount"), F.col("listed")).alias("listed_sum"),
-        F.max(F.when(F.col("listed"), position)).alias("newest"),
-        F.min(F.when(F.col("listed"), position)).alias("oldest"),
-    )
-    by_batch = days.filter("newest is not null").groupBy(*ACCOUNT, "batch_id").agg(F.max("newest").alias("pos"))
+    by_batch = paid.filter("listed").groupBy(*ACCOUNT, "batch_id").agg(F.max(position).alias("pos"))
     first_two = top_per_key(by_batch, ACCOUNT, [F.desc("pos")], 2)
     run = first_two.groupBy(*ACCOUNT).agg(
         F.max_by("batch_id", "pos").alias("first_batch"),
         F.max("pos").alias("first_pos"),
         F.when(F.count(F.lit(1)) == 2, F.min("pos")).alias("stop_pos"),
     )
-    placed = join_keyed(days, run, ACCOUNT, "inner")
+
     whole_day = (F.col("first_batch") == -1) & (F.col("pay_date") == F.col("first_pos.pay_date"))
-    own = (F.col("first_batch") != -1) & (F.col("batch_id") == F.col("first_batch")) & F.col("newest").isNotNull()
-    inside = F.col("stop_pos").isNull() | (F.col("oldest") > F.col("stop_pos"))
-    sums = placed.filter(whole_day | (own & inside)).select(
-        *ACCOUNT, F.when(whole_day, F.col("day_sum")).otherwise(F.col("listed_sum")).alias("amount"), "first_pos.pay_date"
-    )
-    # a day on which the run stops between two payments of the batch is read again, payment by payment
-    split = placed.filter(own & ~inside & (F.col("newest") > F.col("stop_pos"))).select(
-        *[F.col(c).alias(f"_{c}") for c in (*ACCOUNT, "batch_id", "pay_date")], "stop_pos", F.col("first_pos.pay_date").alias("first_day")
-    )
-    on = (
-        (F.col("customer") == F.col("_customer")) & (F.col("account") == F.col("_account"))
-        & (F.col("batch_id") == F.col("_batch_id")) & F.col("pay_date").eqNullSafe(F.col("_pay_date"))
+    in_run = (
+        F.col("listed")
+        & (F.col("first_batch") != -1)
+        & (F.col("batch_id") == F.col("first_batch"))
+        & (F.col("stop_pos").isNull() | (position > F.col("stop_pos")))
     )
-    cut = paid.filter("listed").join(split, on).filter(position > F.col("stop_pos"))
-    cut = cut.select(*ACCOUNT, "amount", F.col("first_day").alias("pay_date"))
     # the first payment itself always qualifies, so every account with a run has a sum
-    return sums.unionByName(cut).groupBy(*ACCOUNT).agg(
-        total(F.col("amount")).alias("payment_amount"), F.max("pay_date").alias("payment_date")
+    return (
+        join_keyed(paid, run, ACCOUNT, "inner")
+        .filter(whole_day | in_run)
+        .groupBy(*ACCOUNT)
+        .agg(
+            total(F.col("amount")).alias("payment_amount"),
+            F.max("first_pos.pay_date").alias("payment_date"),
+        )
     )
