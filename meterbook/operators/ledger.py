@@ -117,14 +117,13 @@ def _resolved(flagged: DataFrame, hits: DataFrame, payments: DataFrame, bills: D
     anywhere = on_lines.select("trans_num").distinct().withColumn("on_a_line", F.lit(True))
     own = on_lines.withColumn("on_own_line", F.lit(True))
     # one line without a number makes every NOT IN of its account unknown
-    unknown = hits.filter("trans_num is null").select("account").distinct().withColumn("unknown", F.lit(True))
-    some = hits.select("account").distinct().withColumn("some_line", F.lit(True))
+    by_account = hits.groupBy("account").agg(F.max(F.col("trans_num").isNull()).alias("unknown"))
     plain = flagged.filter("not (paid or linked or billed)")
     asked = join_keyed(flagged.filter("paid or linked"), anywhere, ["trans_num"])
     asked = join_keyed(asked, own, ["account", "trans_num"])
-    asked = join_keyed(join_keyed(asked, unknown, ["account"]), some, ["account"])
-    absent = F.col("on_own_line").isNull() & F.col("unknown").isNull()
-    missing = F.when(F.col("trans_num").isNull(), F.col("some_line").isNull()).otherwise(absent)
+    asked = join_keyed(asked, by_account, ["account"])
+    absent = F.col("on_own_line").isNull() & ~F.coalesce("unknown", F.lit(False))
+    missing = F.when(F.col("trans_num").isNull(), F.col("unknown").isNull()).otherwise(absent)
     asked = asked.withColumn("paid", F.col("paid") & missing).withColumn("linked", F.col("linked") & F.col("on_a_line").isNull())
     paid_for = payments.filter(F.col("paid_bill") != 0).select("trans_num", F.col("paid_bill").alias("bill_number")).distinct()
     overdue = bills.filter(F.col("due_date") < day(as_of)).select("bill_number").distinct()

@@ -27,12 +27,15 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Where that is unset, a folder under the session's warehouse, which executors share as well.
+    Where that is unset, a folder under the session's warehouse, which executors share as well. A warehouse on the
+    driver's own disk will do on a local master only.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        if folder.startswith("file:") and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
 
 
