@@ -1,17 +1,19 @@
-"""Bigram language-model scores of documents, learned from the corpus itself.
+"""Trigram language-model scores of documents, learned from the corpus itself.
 
 Counts cover all training documents. Blocks of documents ask the shards of the vocabulary for each distinct word once
-and get its id and count; then they ask the shards of the contexts for each distinct pair of words once. A context shard
-sums the blocks' counts of its pairs, builds an Elias-Fano trie of the pairs with quantised probabilities and looks up
-what each block asks. A context with many occurrences is split over shards by its next word, so no shard depends on one word.
+and get its id and count; then they ask the shards of the contexts for each distinct triple of words once. A context shard
+sums the blocks' counts, builds an Elias-Fano trie of its pairs and triples with quantised probabilities, maps it from the
+shared folder and looks up what the blocks ask. All of a word's contexts lie in one shard, unless it has many
+occurrences: then its triples and pairs are split by their other words, and its pairs are asked for on their own.
 
-``P(w | v) = (c(v, w) + MU * P(w)) / (c(v) + MU)`` with ``P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))``. The trie
-keeps ``c(v, w) / (c(v) + MU)`` in 8 bits of its logarithm; the rest of the mass goes to ``P(w)``. A document starts after
-an end, and its end is a token.
+``P(w | u v) = (c(u, v, w) + MU3 * P(w | v)) / (c(u, v) + MU3)``, ``P(w | v) = (c(v, w) + MU * P(w)) / (c(v) + MU)`` and
+``P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))``. The trie keeps each count of ``v``'s pairs and triples as a share of ``c(v) +
+MU`` in 8 bits of its logarithm, so that shards need not hold all of a pair's triples. A document starts after two
+ends, and its end is a token.
 
 Defined cases: null counts as empty, which is one end; rows with a null id are scored and not learned from; repeated rows are
 documents of their own; words are told apart by 64 bits; an empty table gives an empty result; without
-training tokens every probability is 1; other columns are not read. At most 2^32 distinct words.
+training tokens every probability is 1; other columns are not read.
 """
 
 from __future__ import annotations
@@ -23,13 +25,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from meterbook.llm import blocks as B
 from meterbook.llm.elias_fano import Trie
 from meterbook.llm.runtime import parts, small_batches
-from meterbook.llm.textnum import mixed, sums, words
-from meterbook.session import materialize
+from meterbook.llm.textnum import mixed, numbers, sums, words_of
+from meterbook.session import materialize, scratch_path
 
-#: Mass of the word's own probability, occurrences of a context per shard, and the smallest log10 kept.
-MU, SPLIT, FLOOR = 100.0, 1 << 20, 12.0
+#: Mass of the word's own probability and of that after one word, occurrences of a context per shard, and the smallest log10 kept.
+MU, MU3, SPLIT, FLOOR = 100.0, 10.0, 1 << 20, 12.0
+#: Bytes of text for each shard: what bounds a task, whatever the input.
+SHARD_BYTES = 64 << 20
 #: The number of the end token; words have mixed numbers.
 END = np.uint64(0x5851F42D4C957F2D)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def coded(p: np.ndarray) -> np.ndarray:
@@ -37,20 +42,24 @@ def coded(p: np.ndarray) -> np.ndarray:
     return (1 + np.rint(np.clip(-np.log10(p), 0, FLOOR) * (254 / FLOOR))).astype(np.uint8)
 
 
+_DECODED = np.append(0.0, 10.0 ** (-np.arange(255) * (FLOOR / 254)))
+
+
 def decoded(codes: np.ndarray) -> np.ndarray:
-    return np.where(codes == 0, 0.0, 10.0 ** (-(codes.astype(float) - 1) * (FLOOR / 254)))
+    """The probability of each code; 0 for 0, which stands for nothing seen."""
+    return _DECODED[codes]
 
 
 def _ask_words(shards: int):
     def make(block: int, docs: pa.Table) -> list[tuple]:
-        number, rows = words(docs["text"])
-        n = np.diff(rows) + 1
-        stream = np.insert(number, rows[1:], END)
-        distinct, place = np.unique(stream, return_inverse=True)
+        found = words_of(docs["text"])
+        distinct, own = np.unique(np.append(numbers(found.distinct), END), return_inverse=True)
+        n = np.diff(found.rows) + 1
+        place = np.insert(own[found.code], found.rows[1:], own[-1])
         learned = np.repeat(docs["train"].to_numpy(zero_copy_only=False), n)
         count = np.bincount(place[learned], minlength=len(distinct))
-        own = docs.select(["doc_id", "held_out", "train"])
-        out = [(0, block, block, -1, B.joined([B.framed(own), B.packed(n), B.packed(place)]))]
+        own_rows = docs.select(["doc_id", "held_out", "train"])
+        out = [(0, block, block, -1, B.joined([B.framed(own_rows), B.packed(n), B.packed(place)]))]
         edges = B.shard_edges(distinct, shards).tolist()
         for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             if b > a:
@@ -63,16 +72,16 @@ def _ask_words(shards: int):
 def _answer_words(shards: int):
     def answer(rows: pa.Table) -> pa.Table:
         asked = [B.parted(x) for x in rows["data"].to_pylist()]
-        numbers = [np.frombuffer(a, np.uint64) for a, _ in asked]
-        distinct, place = np.unique(np.concatenate(numbers), return_inverse=True)
+        own_numbers = [np.frombuffer(a, np.uint64) for a, _ in asked]
+        distinct, place = np.unique(np.concatenate(own_numbers), return_inverse=True)
         count = np.bincount(place, np.concatenate([B.unpacked(c) for _, c in asked]), len(distinct)).astype(np.int64)
         shard = rows["part"][0].as_py()
-        # frequent words get small ids; the ids of shards interleave
+        # frequent words get small ids; the ids of shards interleave, and 0 is no word's
         rank = np.empty(len(distinct), np.int64)
         rank[np.argsort(-count, kind="stable")] = np.arange(len(distinct))
-        word = rank * shards + shard
+        word = rank * shards + shard + 1
         out, at = [], 0
-        for block, own in zip(rows["block"].to_pylist(), numbers, strict=True):
+        for block, own in zip(rows["block"].to_pylist(), own_numbers, strict=True):
             mine = place[at : at + len(own)]
             at += len(own)
             out.append((2, block, block, shard, B.joined([B.packed(word[mine]), B.packed(count[mine])])))
@@ -82,8 +91,20 @@ def _answer_words(shards: int):
     return answer
 
 
+def _shard_of(v: np.ndarray, other: np.ndarray, before: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of what lies around ``v``: one for all, or several by the other words where ``v`` is frequent."""
+    part = np.zeros(len(v), np.uint64)
+    hot = np.flatnonzero(before >= SPLIT)
+    part[hot] = mixed(other[hot]) % (before[hot] // SPLIT + 1).astype(np.uint64)
+    return (mixed(v * _SPREAD + part) % np.uint64(shards)).astype(np.int64)
+
+
 class _Block:
-    """A block with the vocabulary's answers: tokens, their contexts, and its distinct known pairs by shard."""
+    """A block with the vocabulary's answers: its tokens, and its distinct triples and pairs in the order in which shards are asked.
+
+    Words have local places in the order of their ids; place 0 is any word without training count. ``t`` are the triples (v, u, w)
+    with a known ``v``, the word before ``w``; ``a`` their pairs (v, u) and ``b`` their pairs (v, w).
+    """
 
     def __init__(self, rows: list[tuple[int, int, bytes]], shards: int):
         (_, _, body), *answers = sorted(x for x in rows if x[0] in (0, 2))
@@ -93,124 +114,265 @@ class _Block:
         pairs = [B.parted(x) for _, _, x in answers]
         word = np.concatenate([B.unpacked(w) for w, _ in pairs])
         count = np.concatenate([B.unpacked(c) for _, c in pairs]).astype(np.int64)
-        if len(word) and int(word.max()) >> 32:
-            raise OverflowError("more than 2^32 distinct words")
+        known = count > 0
+        self.ids = np.append(np.uint64(0), np.sort(word[known]))
+        local = np.zeros(len(word), np.int64)
+        local[known] = np.searchsorted(self.ids, word[known])
+        self.seen = np.zeros(len(self.ids), np.int64)
+        self.seen[local[known]] = count[known]
+
         self.edges = np.concatenate([[0], np.cumsum(self.n)])
-        self.count = count[place]
-        # the context of a document's first token is an end, which is every document's last
-        before = np.empty_like(place)
-        before[1:] = place[:-1]
-        before[:1] = place[-1:]
-        self.before = count[before]
-        self.known = np.flatnonzero((self.count > 0) & (self.before > 0))
-        key = (word[before[self.known]] << np.uint64(32)) | word[place[self.known]]
-        split = (self.before[self.known] // SPLIT + 1).astype(np.uint64)
-        part = (key & np.uint64(0xFFFFFFFF)) % split
-        shard = mixed((key >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15) + part) % np.uint64(shards)
-        pair, first, which = np.unique(key, return_index=True, return_inverse=True)
-        order = np.argsort(shard[first], kind="stable")
-        self.pair, self.shard = pair[order], shard[first][order].astype(np.int64)
-        place_of = np.empty(len(order), np.int64)
-        place_of[order] = np.arange(len(order))
-        self.which = place_of[which]
-        self.pair_before = self.before[self.known][first][order]
+        self.token = w = local[place]
+        end, start = w[-1], self.edges[:-1]
+        # before a document's first token stand two ends; every document's last token is one
+        v = np.append(end, w[:-1])
+        u = np.append(end, v[:-1])
+        u[start] = end
+        self.asked = np.flatnonzero(v > 0)
+        v, u, w = v[self.asked], u[self.asked], w[self.asked]
+        m = len(self.ids)
+        a_key, a_of = np.unique(v * m + u, return_inverse=True)
+        t_key, self.t_of = np.unique(a_of * m + w, return_inverse=True)
+        a, self.t_w = np.divmod(t_key, m)
+        self.a_v, self.a_u = np.divmod(a_key, m)
+        self.t_v = self.a_v[a]
+        b_key, b = np.unique(self.t_v * m + self.t_w, return_inverse=True)
+        self.b_v, self.b_w = np.divmod(b_key, m)
+
+        seen, ids = self.seen, self.ids
+        t_u = self.a_u[a]
+        t_shard = _shard_of(ids[self.t_v], ids[t_u] * _SPREAD + ids[self.t_w], seen[self.t_v], shards)
+        a_shard = _shard_of(ids[self.a_v], ids[self.a_u], seen[self.a_v], shards)
+        b_shard = _shard_of(ids[self.b_v], ids[self.b_w], seen[self.b_v], shards)
+        self.t_order = np.argsort(t_shard, kind="stable")
+        # pairs of frequent words come last: the others follow from the triples
+        self.a_order = np.lexsort((seen[self.a_v] >= SPLIT, a_shard))
+        self.b_order = np.lexsort((seen[self.b_v] >= SPLIT, b_shard))
+        self.t_a, self.t_b, self.t_u = a, b, t_u
+        self.shards = [(x[o], o) for x, o in ((t_shard, self.t_order), (a_shard, self.a_order), (b_shard, self.b_order))]
+
+    def requests(self, shards: int):
+        """Of each shard that is asked, its number and the request."""
+        learned = np.repeat(self.docs["train"].to_numpy(zero_copy_only=False), self.n)[self.asked]
+        t_count = np.bincount(self.t_of[learned], minlength=len(self.t_w))
+        a_count = np.bincount(self.t_a, t_count, len(self.a_v)).astype(np.int64)
+        b_count = np.bincount(self.t_b, t_count, len(self.b_v)).astype(np.int64)
+        edges = [np.searchsorted(x, np.arange(shards + 1)) for x, _ in self.shards]
+        for shard in range(shards):
+            t, a, b = (o[e[shard] : e[shard + 1]] for (_, o), e in zip(self.shards, edges, strict=True))
+            if len(t) or len(a) or len(b):
+                a, b = a[self.seen[self.a_v[a]] >= SPLIT], b[self.seen[self.b_v[b]] >= SPLIT]
+                ids = self.ids
+                yield shard, B.joined([
+                    _packed_rows([ids[self.t_v[t]], ids[self.t_u[t]], ids[self.t_w[t]]], t_count[t], self.seen[self.t_v[t]]),
+                    _packed_rows([ids[self.a_v[a]], ids[self.a_u[a]]], a_count[a], self.seen[self.a_v[a]]),
+                    _packed_rows([ids[self.b_v[b]], ids[self.b_w[b]]], b_count[b], self.seen[self.b_v[b]]),
+                ])
+
+    def log_p(self, answers: list[bytes], n: int, distinct: int) -> tuple[np.ndarray, np.ndarray]:
+        """log10 of the probability of each token, on its own and by the model; ``answers`` in the order of shards."""
+        codes = [B.parted(x) for x in answers]
+        found = []
+        for i, order in enumerate((self.t_order, self.a_order, self.b_order)):
+            own = np.empty(len(order), np.uint8)
+            own[order] = np.concatenate([np.zeros(0, np.uint64), *[B.unpacked(x[i]) for x in codes]]).astype(np.uint8)
+            found.append(decoded(own))
+        three, before, after = found
+        alone = (self.seen + 0.5) / (n + 0.5 * (distinct + 1))
+        total = self.seen[self.t_v] + MU
+        two = after[self.t_b] + MU / total * alone[self.t_w]
+        p = (three + MU3 / total * two) / (before[self.t_a] + MU3 / total)
+        base = np.log10(alone)[self.token]
+        scored = base.copy()
+        scored[self.asked] = np.log10(np.minimum(p, 1.0))[self.t_of]
+        return base, scored
+
+
+def _packed_rows(columns: list[np.ndarray], count: np.ndarray, before: np.ndarray) -> bytes:
+    """Sorted rows of word ids: each column as steps inside the run of the columns before it, and the runs' lengths."""
+    new = np.zeros(len(count), bool)
+    new[:1] = True
+    body = []
+    for i, column in enumerate(columns):
+        opens = new.copy()
+        new[1:] |= column[1:] != column[:-1]
+        if i == len(columns) - 1:
+            new[:] = True
+        at = np.flatnonzero(new)
+        value = column[at]
+        step = np.diff(value, prepend=np.uint64(0))
+        fresh = opens[at]
+        step[fresh] = value[fresh]
+        # how many runs of this column each run of the column before has
+        each = np.diff(np.append(np.flatnonzero(fresh), len(at)))
+        body += [B.packed(each), B.packed(step)]
+        if not i:
+            body.append(B.packed(before[at]))
+    return B.joined([*body, B.packed(count)])
+
+
+def _unpacked_rows(data: bytes, n: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The ``n`` columns, the counts, and the count of the first column's word."""
+    listed = [B.unpacked(x) for x in B.parted(data)]
+    count = listed.pop().astype(np.int64)
+    before = listed.pop(2).astype(np.int64)
+    columns: list[np.ndarray] = []
+    for each, step in zip(listed[0::2], listed[1::2], strict=True):
+        each = each.astype(np.int64)
+        total = np.cumsum(step)
+        if len(total):
+            first = np.cumsum(each) - each
+            total = total - np.repeat(total[first] - step[first], each)
+        if columns:  # runs of this column in each run of the one before
+            columns = [np.repeat(c, each) for c in columns]
+            before = np.repeat(before, each)
+        columns.append(total)
+    return columns, count, before
 
 
 def _rows_of(table: pa.Table) -> list[tuple[int, int, bytes]]:
     return list(zip(table["kind"].to_pylist(), table["part"].to_pylist(), table["data"].to_pylist(), strict=True))
 
 
-def _ask_pairs(shards: int):
+def _ask_contexts(shards: int):
     def ask(rows: pa.Table) -> pa.Table:
         own = _Block(_rows_of(rows), shards)
         block = rows["block"][0].as_py()
-        learned = np.repeat(own.docs["train"].to_numpy(zero_copy_only=False), own.n)[own.known]
-        count = np.bincount(own.which[learned], minlength=len(own.pair))
-        edges = np.searchsorted(own.shard, np.arange(shards + 1)).tolist()
-        out = []
-        for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            if b > a:
-                left, right = own.pair[a:b] >> np.uint64(32), own.pair[a:b] & np.uint64(0xFFFFFFFF)
-                contexts, first, each = np.unique(left, return_index=True, return_counts=True)
-                step = np.diff(right, prepend=np.uint64(0))
-                step[first] = right[first]
-                body = [np.diff(contexts, prepend=np.uint64(0)), each, step, count[a:b], own.pair_before[a:b][first]]
-                out.append((4, shard, block, shard, B.joined(map(B.packed, body))))
+        out = [(4, shard, block, shard, request) for shard, request in own.requests(shards)]
         return pa.Table.from_batches([B.row_batch(out)] if out else [], schema=B._SCHEMA)
 
     return ask
 
 
-def read_pairs(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Context, word, count and the context's count of what a block asks."""
-    contexts, each, step, count, before = map(B.unpacked, B.parted(data))
-    each = each.astype(np.int64)
-    context = np.repeat(np.cumsum(contexts), each)
-    total = np.cumsum(step)
-    first = np.cumsum(each) - each
-    word = total - np.repeat(total[first] - step[first], each)
-    return context, word, count.astype(np.int64), np.repeat(before, each).astype(np.int64)
-
-
-def shard_image(context: np.ndarray, word: np.ndarray, count: np.ndarray, before: np.ndarray) -> bytes:
-    """A shard's trie from pairs that may repeat."""
-    key, first, place = np.unique((context << np.uint64(32)) | word, return_index=True, return_inverse=True)
-    total = np.bincount(place, count, len(key))
-    there = total > 0
-    p = total[there] / (before[first][there] + MU)
-    return Trie.image(key[there] >> np.uint64(32), key[there] & np.uint64(0xFFFFFFFF), coded(p))
-
+class _Asked:
+    """All requests to a shard, with words by their place in the shard's own list."""
+
+    def __init__(self, requests: list[bytes]):
+        read = [[_unpacked_rows(x, n) for x, n in zip(B.parted(r), (3, 2, 2), strict=True)] for r in requests]
+        #: Where each block's rows of the three kinds begin, with a last entry.
+        self.edges = [np.cumsum([0, *[len(r[k][1]) for r in read]]) for k in range(3)]
+        joined = lambda k, i: np.concatenate([r[k][0][i] for r in read])
+        ids = [[joined(k, i) for i in range(n)] for k, n in enumerate((3, 2, 2))]
+        self.words = np.unique(np.concatenate([np.unique(c) for own in ids for c in own]))
+        self.m = len(self.words)
+        (self.v, self.u, self.w), (self.av, self.au), (self.bv, self.bw) = (
+            [np.searchsorted(self.words, c) for c in own] for own in ids
+        )
+        self.count, self.a_count, self.b_count = (np.concatenate([r[k][1] for r in read]) for k in range(3))
+        before = np.zeros(self.m, np.int64)
+        for k, v in enumerate((self.v, self.av, self.bv)):
+            before[v] = np.concatenate([r[k][2] for r in read])
+        self.before = before
+        self.whole = before[self.v] < SPLIT
+
+    def image(self) -> bytes:
+        """The trie of what was seen in training."""
+        m, there = self.m, np.flatnonzero(self.count > 0)
+        v, u, w, count = self.v[there], self.u[there], self.w[there], self.count[there]
+        whole = self.whole[there]
+        share = lambda total, key: total / (self.before[key // m] + MU)
+        before, place = np.unique(np.concatenate([v * m + u, self.av * m + self.au]), return_inverse=True)
+        of = np.append(np.where(whole, count, 0), self.a_count)
+        n_before = np.bincount(place, of, len(before))
+        third, first, of_third = np.unique(place[: len(v)] * m + w, return_index=True, return_inverse=True)
+        n_third = np.bincount(of_third, count, len(third))
+        after, of_after = np.unique(np.append((v * m + w)[whole], self.bv * m + self.bw), return_inverse=True)
+        n_after = np.bincount(of_after, np.append(count[whole], self.b_count), len(after))
+        seen = n_after > 0
+        codes = np.zeros(len(before), np.uint8)
+        codes[n_before > 0] = coded(share(n_before, before)[n_before > 0])
+        return Trie.image(
+            self.words, (before, codes), (after[seen], coded(share(n_after[seen], after[seen]))),
+            (third, coded(n_third / (self.before[v[first]] + MU))),
+        )
+
+    def answers(self, trie: Trie):
+        """Of each request, the codes of its triples, of the words before and of those behind."""
+        m = trie.words.n
+        local = trie.places(self.words)
+        pair, of = np.unique(local[self.v] * m + local[self.u], return_inverse=True)
+        at, there = trie.before.find(*np.divmod(pair, m))
+        at = np.where(there, at, 0)
+        codes = np.zeros(len(pair), np.uint8)
+        codes[there] = trie.before.codes[at[there]]
+        before = codes[of]
+        held = np.flatnonzero(there[of])
+        key, of_key = np.unique(at[of[held]] * m + local[self.w[held]], return_inverse=True)
+        three = np.zeros(len(self.v), np.uint8)
+        three[held] = trie.third.look_up(*np.divmod(key, m))[of_key] if len(key) else 0
+        own = np.flatnonzero(self.whole)
+        key, of_key = np.unique(local[self.v[own]] * m + local[self.w[own]], return_inverse=True)
+        after = np.zeros(len(self.v), np.uint8)
+        after[own] = trie.after.look_up(*np.divmod(key, m))[of_key] if len(key) else 0
+        a_codes = trie.before.look_up(local[self.av], local[self.au])
+        b_codes = trie.after.look_up(local[self.bv], local[self.bw])
+        for i in range(len(self.edges[0]) - 1):
+            t, a, b = (slice(e[i], e[i + 1]) for e in self.edges)
+            v, u, w, whole = self.v[t], self.u[t], self.w[t], self.whole[t]
+            key = v * m + u
+            opens = np.flatnonzero(whole & (np.append(-1, key[:-1]) != key))
+            _, once = np.unique((v * m + w)[whole], return_index=True)
+            yield B.joined([
+                B.packed(three[t]), B.packed(np.append(before[t][opens], a_codes[a])),
+                B.packed(np.append(after[t][whole][once], b_codes[b])),
+            ])
+
+
+def _answer_contexts(folder: str | None):
+    def answer(rows: pa.Table) -> pa.Table:
+        asked = _Asked(rows["data"].to_pylist())
+        trie = Trie.mapped(asked.image(), folder)
+        shard = rows["part"][0].as_py()
+        out = [(5, block, block, shard, x) for block, x in zip(rows["block"].to_pylist(), asked.answers(trie), strict=True)]
+        return pa.Table.from_batches([B.row_batch(out)])
 
-def _answer_pairs(rows: pa.Table) -> pa.Table:
-    asked = [read_pairs(x) for x in rows["data"].to_pylist()]
-    trie = Trie.of(shard_image(*(np.concatenate([x[i] for x in asked]) for i in range(4))))
-    shard = rows["part"][0].as_py()
-    out = [
-        (5, block, block, shard, B.packed(trie.look_up(context, word)))
-        for block, (context, word, _, _) in zip(rows["block"].to_pylist(), asked, strict=True)
-    ]
-    return pa.Table.from_batches([B.row_batch(out)])
+    return answer
 
 
 def _score(shards: int, n: int, v: int):
     def score(rows: pa.Table) -> pa.Table:
         listed = _rows_of(rows)
         own = _Block(listed, shards)
-        answers = [B.unpacked(x) for _, _, x in sorted(x for x in listed if x[0] == 5)]
-        codes = np.concatenate([np.zeros(0, np.uint64), *answers]).astype(np.uint8)
-        alone = (own.count + 0.5) / (n + 0.5 * (v + 1))
-        p = alone * (MU / (own.before + MU))
-        p[own.known] += decoded(codes)[own.which]
+        base, scored = own.log_p([x for _, _, x in sorted(x for x in listed if x[0] == 5)], n, v)
         return pa.table({
             "doc_id": own.docs["doc_id"], "held_out": own.docs["held_out"],
             "n_tokens": pa.array(own.n, pa.int64()),
-            "n_known": pa.array(sums((own.count > 0).astype(np.int64), own.edges), pa.int64()),
+            "n_known": pa.array(sums((own.token > 0).astype(np.int64), own.edges), pa.int64()),
             "train_tokens": pa.array(np.full(len(own.n), n, np.int64)),
-            "base_score": np.add.reduceat(np.log10(alone), own.edges[:-1]),
-            "score": np.add.reduceat(np.log10(np.minimum(p, 1.0)), own.edges[:-1]),
+            "base_score": np.add.reduceat(base, own.edges[:-1]),
+            "score": np.add.reduceat(scored, own.edges[:-1]),
         })
 
     return score
 
 
+def _map_folder(docs: DataFrame) -> str | None:
+    """A new folder for mapped files where the shared folder is one that tasks can open, else none."""
+    path = scratch_path(docs.sparkSession)
+    return path.removeprefix("file://").removeprefix("file:") if path.startswith(("file:", "/")) else None
+
+
 def lm_scores(docs: DataFrame, train: Column, held_out: Column, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each row of ``docs``; the model learns from the rows where ``train`` is true."""
     spark = small_batches(docs.sparkSession)
-    shards = parts(spark)
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.coalesce(train, F.lit(False)).alias("train"), F.col(text).cast("string").alias("text"),
     )
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(parts(spark), -(-size // SHARD_BYTES))
     stored = materialize(rows.mapInArrow(_ask_words(shards), B.ROWS), by="kind")
     names = ["kind", "key", "block", "part", "data"]
+    # as many tasks as shards: a task's share does not grow with the input
+    dealt = lambda frame: frame.repartition(shards, "key").groupBy("key")
     ask = stored.where("kind = 1").select(*names)
-    vocabulary = materialize(ask.groupBy("key").applyInArrow(_answer_words(shards), B.ROWS), by="kind")
+    vocabulary = materialize(dealt(ask).applyInArrow(_answer_words(shards), B.ROWS), by="kind")
     totals = vocabulary.where("kind = 3").agg(F.sum("block").alias("n"), F.sum("part").alias("v")).first()
     known = stored.where("kind = 0").select(*names).unionByName(vocabulary.where("kind = 2").select(*names))
-    pairs = known.groupBy("key").applyInArrow(_ask_pairs(shards), B.ROWS)
-    answers = pairs.groupBy("key").applyInArrow(_answer_pairs, B.ROWS)
+    requests = dealt(known).applyInArrow(_ask_contexts(shards), B.ROWS)
+    answers = dealt(requests).applyInArrow(_answer_contexts(_map_folder(docs)), B.ROWS)
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    return known.unionByName(answers).groupBy("key").applyInArrow(
+    return dealt(known.unionByName(answers)).applyInArrow(
         _score(shards, totals.n or 0, totals.v or 0),
         f"doc_id {id_type}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from meterbook.llm import (
-    exact_dedup, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, token_counts, topk, url_filter,
+    blocks, exact_dedup, language_id, line_dedup, lm_scoring, mixing, near_dedup, packing, token_counts, topk, url_filter,
 )
 from meterbook.llm.cuckoo import Cuckoo
 from meterbook.llm.elias_fano import EliasFano, Trie
@@ -209,36 +209,95 @@ def test_language(spark, docs):
         assert (r.lang_pred == "und") == (not any(map(str.isalpha, r.text or ""))) and 0 <= r.score <= 1
 
 
-def test_lm_against_plain_counts(docs):
-    train = F.col("doc_id") % 2 == 0
-    got = lm_scoring.lm_scores(docs, train, ~train).collect()
+def plain_scores(texts, train):
+    """Base and trigram score of each text, and its tokens, from plain counts."""
     cut = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t)), None]
-    one, two = {}, {}
-    for i, t in listed(docs):
-        if i is not None and i % 2 == 0:
-            for a, b in zip([None, *cut(t)], cut(t), strict=False):
-                one[b], two[a, b] = one.get(b, 0) + 1, two.get((a, b), 0) + 1
-    n, v = sum(one.values()), len(one)
-    texts = {i: t for i, t in listed(docs)}
-    for r in got:
-        words = cut(texts[r.doc_id])
-        alone = [(one.get(w, 0) + 0.5) / (n + 0.5 * (v + 1)) for w in words]
-        p = [(two.get((a, b), 0) + lm_scoring.MU * q) / (one.get(a, 0) + lm_scoring.MU) for a, b, q in zip([None, *words], words, alone, strict=False)]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(w in one for w in words), n)
-        assert r.base_score == pytest.approx(sum(map(np.log10, alone)))
-        assert r.score == pytest.approx(sum(map(np.log10, p)), abs=0.025 * len(words))
-
-
-def test_elias_fano_and_trie(tmp_path):
-    values = np.sort(np.random.default_rng(2).integers(0, 1 << 40, 5000))
-    held = EliasFano.open(np.frombuffer(EliasFano.image(values), np.uint8))
-    assert (held.at(np.arange(5000)) == values.astype(np.uint64)).all()
-    asked = np.random.default_rng(3).integers(0, 1 << 40, 3000)
-    assert (held.successor(asked) == np.searchsorted(values, asked)).all()
-    context, word = np.array([1, 1, 7, 9], np.uint64), np.array([3, 8, 0, 2], np.uint64)
-    (tmp_path / "trie").write_bytes(Trie.image(context, word, np.array([5, 6, 7, 8])))
-    trie = Trie.mapped(str(tmp_path / "trie"))
-    assert trie.look_up(np.array([1, 1, 7, 9, 9, 2, 1]), np.array([3, 8, 0, 2, 3, 3, 9])).tolist() == [5, 6, 7, 8, 0, 0, 0]
+    one, two, three = {}, {}, {}
+    for i, t in texts.items():
+        if train(i):
+            words = cut(t)
+            for u, v, w in zip([None, None, *words], [None, *words], words, strict=False):
+                for held, k in ((one, w), (two, (v, w)), (three, (u, v, w))):
+                    held[k] = held.get(k, 0) + 1
+    pair = {}
+    for (u, v, _), c in three.items():
+        pair[u, v] = pair.get((u, v), 0) + c
+    n, distinct, out = sum(one.values()), len(one), {}
+    for i, t in texts.items():
+        words = cut(t)
+        alone = [(one.get(w, 0) + 0.5) / (n + 0.5 * (distinct + 1)) for w in words]
+        p = []
+        for u, v, w, q in zip([None, None, *words], [None, *words], words, alone, strict=False):
+            q = (two.get((v, w), 0) + lm_scoring.MU * q) / (one.get(v, 0) + lm_scoring.MU)
+            p.append((three.get((u, v, w), 0) + lm_scoring.MU3 * q) / (pair.get((u, v), 0) + lm_scoring.MU3))
+        out[i] = (words, sum(w in one for w in words), n, sum(map(np.log10, alone)), sum(map(np.log10, p)))
+    return out
+
+
+@pytest.mark.parametrize("split", [1 << 20, 3])
+def test_lm_against_plain_counts(docs, monkeypatch, split):
+    """Also with the contexts of every repeated word split over shards."""
+    monkeypatch.setattr(lm_scoring, "SPLIT", split)
+    train = F.col("doc_id") % 2 == 0
+    # the workers of tasks do not see a changed limit, so with that the blocks run here
+    want = plain_scores(dict(listed(docs)), lambda i: i is not None and i % 2 == 0)
+    for r in (lm_scoring.lm_scores(docs, train, ~train).collect() if split > 3 else scored_here(docs, 5)):
+        words, known, n, base, score = want[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words), known, n)
+        assert r["base_score"] == pytest.approx(base)
+        assert r["score"] == pytest.approx(score, abs=0.075 * len(words))
+
+
+def scored_here(docs, shards):
+    """The steps of the scoring over two blocks, without Spark."""
+    import pyarrow as pa
+
+    table = lambda rows: pa.Table.from_batches([blocks.row_batch(rows)])
+    by_key = lambda rows: [[r for r in rows if r[1] == k] for k in sorted({r[1] for r in rows})]
+    taken = lambda t: list(zip(*[t[c].to_pylist() for c in t.column_names], strict=True))
+    every = [(i, t, i is not None and i % 2 == 0) for i, t in listed(docs)]
+    rows = []
+    for part in (every[: len(every) // 2], every[len(every) // 2 :]):
+        batch = pa.RecordBatch.from_pydict({
+            "doc_id": pa.array([i for i, _, _ in part], pa.int64()), "text": [t for _, t, _ in part],
+            "train": [x for *_, x in part], "held_out": [not x for *_, x in part],
+        })
+        for out in lm_scoring._ask_words(shards)([batch]):
+            rows += taken(pa.Table.from_batches([out]))
+    said = [r for g in by_key([r for r in rows if r[0] == 1]) for r in taken(lm_scoring._answer_words(shards)(table(g)))]
+    known = [r for r in rows if r[0] == 0] + [r for r in said if r[0] == 2]
+    n, v = (sum(r[i] for r in said if r[0] == 3) for i in (2, 3))
+    asked = [r for g in by_key(known) for r in taken(lm_scoring._ask_contexts(shards)(table(g)))]
+    answers = [r for g in by_key(asked) for r in taken(lm_scoring._answer_contexts(None)(table(g)))]
+    return [r for g in by_key(known + answers) for r in lm_scoring._score(shards, n, v)(table(g)).to_pylist()]
+
+
+def test_elias_fano(monkeypatch):
+    made = np.random.default_rng(2)
+    for top in (3, 5000, 1 << 40, (1 << 63) - 1):
+        values = np.sort(made.integers(0, top, 5000))
+        held = EliasFano.open(np.frombuffer(EliasFano.image(values), np.uint8))
+        for window in (1, 300, 1 << 19):
+            monkeypatch.setattr("meterbook.llm.elias_fano.WINDOW", window)
+            index = made.integers(0, 5000, 700)
+            assert (held.at(index) == values.astype(np.uint64)[index]).all()
+            asked = np.append(made.integers(0, top, 700), [0, int(values[-1]), int(values[0])])
+            assert (held.successor(asked) == np.searchsorted(values, asked)).all()
+    none = EliasFano.open(np.frombuffer(EliasFano.image(np.zeros(0, np.uint64)), np.uint8))
+    assert none.successor(np.array([0, 5])).tolist() == [0, 0] and none.place(np.array([3]))[1].tolist() == [False]
+
+
+def test_trie(tmp_path):
+    words = np.array([4, 9, 1 << 50], np.uint64)
+    # keys are parent * 3 + child; before 9 stand 4 and 1 << 50, the pairs (9, 4) and (9, 1 << 50) are numbers 0 and 1
+    image = Trie.image(words, (np.array([3, 5]), np.array([7, 8])), (np.array([1, 3]), np.array([5, 6])), (np.array([2, 3]), np.array([1, 2])))
+    for folder in (str(tmp_path / "maps"), None):
+        trie = Trie.mapped(image, folder)
+        assert trie.places(np.array([1 << 50, 4, 5], np.uint64)).tolist() == [2, 0, -1]
+        assert trie.before.look_up(np.array([1, 1, 1, 0]), np.array([2, 0, 1, 0])).tolist() == [8, 7, 0, 0]
+        assert trie.after.look_up(np.array([0, 1, 2]), np.array([1, 0, 2])).tolist() == [5, 6, 0]
+        assert trie.third.look_up(np.array([0, 1, 1]), np.array([2, 0, 2])).tolist() == [1, 2, 0]
+    assert not list((tmp_path / "maps").iterdir())
 
 
 def test_stages_keep_the_columns(spark, docs):
