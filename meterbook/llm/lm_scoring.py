@@ -30,8 +30,10 @@ from meterbook.session import materialize, scratch_path
 
 #: Mass of the word's own probability and of that after one word, occurrences of a context per shard, and the smallest log10 kept.
 MU, MU3, SPLIT, FLOOR = 100.0, 10.0, 1 << 20, 12.0
-#: Bytes of text for each shard: what bounds a task, whatever the input.
-SHARD_BYTES = 64 << 20
+#: Bytes of text for each shard: what bounds a task, whatever the input. Rows of a shard that one trie is built for.
+SHARD_BYTES, STRETCH = 32 << 20, 1 << 19
+#: Words of a block that get the smallest numbers in it, so that the list of its words compresses well.
+OFTEN = 4096
 #: The number of the end token; words have mixed numbers.
 END = np.uint64(0x5851F42D4C957F2D)
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -50,6 +52,13 @@ def decoded(codes: np.ndarray) -> np.ndarray:
     return _DECODED[codes]
 
 
+def _by_short(often: np.ndarray, distinct: int) -> np.ndarray:
+    """The places of a block's words: of the most frequent first, then of the others in order."""
+    rest = np.ones(distinct, bool)
+    rest[often] = False
+    return np.append(often, np.flatnonzero(rest))
+
+
 def _ask_words(shards: int):
     def make(block: int, docs: pa.Table) -> list[tuple]:
         found = words_of(docs["text"])
@@ -58,8 +67,11 @@ def _ask_words(shards: int):
         place = np.insert(own[found.code], found.rows[1:], own[-1])
         learned = np.repeat(docs["train"].to_numpy(zero_copy_only=False), n)
         count = np.bincount(place[learned], minlength=len(distinct))
+        often = np.argsort(-np.bincount(place), kind="stable")[:OFTEN]
+        short = np.empty(len(distinct), np.int64)
+        short[_by_short(often, len(distinct))] = np.arange(len(distinct))
         own_rows = docs.select(["doc_id", "held_out", "train"])
-        out = [(0, block, block, -1, B.joined([B.framed(own_rows), B.packed(n), B.packed(place)]))]
+        out = [(0, block, block, -1, B.joined([B.framed(own_rows), *map(B.packed, (n, often, short[place]))]))]
         edges = B.shard_edges(distinct, shards).tolist()
         for shard, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             if b > a:
@@ -91,12 +103,13 @@ def _answer_words(shards: int):
     return answer
 
 
-def _shard_of(v: np.ndarray, other: np.ndarray, before: np.ndarray, shards: int) -> np.ndarray:
-    """The shard of what lies around ``v``: one for all, or several by the other words where ``v`` is frequent."""
-    part = np.zeros(len(v), np.uint64)
-    hot = np.flatnonzero(before >= SPLIT)
-    part[hot] = mixed(other[hot]) % (before[hot] // SPLIT + 1).astype(np.uint64)
-    return (mixed(v * _SPREAD + part) % np.uint64(shards)).astype(np.int64)
+def _shard_of(ids: np.ndarray, v: np.ndarray, other, seen: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of what lies around each ``v``: one for all, or several by the other words where ``v`` is frequent."""
+    shard = (mixed(ids * _SPREAD) % np.uint64(shards)).astype(np.int32)[v]
+    hot = np.flatnonzero((seen >= SPLIT)[v])
+    part = mixed(other(hot)) % (seen[v[hot]] // SPLIT + 1).astype(np.uint64)
+    shard[hot] = (mixed(ids[v[hot]] * _SPREAD + part) % np.uint64(shards)).astype(np.int32)
+    return shard
 
 
 class _Block:
@@ -108,9 +121,8 @@ class _Block:
 
     def __init__(self, rows: list[tuple[int, int, bytes]], shards: int):
         (_, _, body), *answers = sorted(x for x in rows if x[0] in (0, 2))
-        own, n, place = B.parted(body)
+        own, n, often, place = B.parted(body)
         self.docs, self.n = B.unframed(own), B.unpacked(n).astype(np.int64)
-        place = B.unpacked(place).astype(np.int64)
         pairs = [B.parted(x) for _, _, x in answers]
         word = np.concatenate([B.unpacked(w) for w, _ in pairs])
         count = np.concatenate([B.unpacked(c) for _, c in pairs]).astype(np.int64)
@@ -122,34 +134,42 @@ class _Block:
         self.seen[local[known]] = count[known]
 
         self.edges = np.concatenate([[0], np.cumsum(self.n)])
-        self.token = w = local[place]
+        place = B.unpacked(place).astype(np.int64)
+        w = local[_by_short(B.unpacked(often).astype(np.int64), len(word))][place]
+        del place
         end, start = w[-1], self.edges[:-1]
         # before a document's first token stand two ends; every document's last token is one
         v = np.append(end, w[:-1])
         u = np.append(end, v[:-1])
         u[start] = end
-        self.asked = np.flatnonzero(v > 0)
-        v, u, w = v[self.asked], u[self.asked], w[self.asked]
+        self.token = w.astype(np.int32)
+        self.asked = np.flatnonzero(v > 0).astype(np.int32)
         m = len(self.ids)
-        a_key, a_of = np.unique(v * m + u, return_inverse=True)
-        t_key, self.t_of = np.unique(a_of * m + w, return_inverse=True)
-        a, self.t_w = np.divmod(t_key, m)
-        self.a_v, self.a_u = np.divmod(a_key, m)
-        self.t_v = self.a_v[a]
-        b_key, b = np.unique(self.t_v * m + self.t_w, return_inverse=True)
-        self.b_v, self.b_w = np.divmod(b_key, m)
+        a_key, a_of = np.unique(v[self.asked] * m + u[self.asked], return_inverse=True)
+        del u, v
+        t_key, t_of = np.unique(a_of * m + w[self.asked], return_inverse=True)
+        del a_of, w
+        self.t_of = t_of.astype(np.int32)
+        a, t_w = (x.astype(np.int32) for x in np.divmod(t_key, m))
+        del t_key, t_of
+        self.a_v, self.a_u = (x.astype(np.int32) for x in np.divmod(a_key, m))
+        self.t_a, self.t_w, self.t_v, self.t_u = a, t_w, self.a_v[a], self.a_u[a]
+        b_key, b = np.unique(self.t_v.astype(np.int64) * m + t_w, return_inverse=True)
+        self.t_b = b.astype(np.int32)
+        self.b_v, self.b_w = (x.astype(np.int32) for x in np.divmod(b_key, m))
+        del b, a_key, b_key
 
         seen, ids = self.seen, self.ids
-        t_u = self.a_u[a]
-        t_shard = _shard_of(ids[self.t_v], ids[t_u] * _SPREAD + ids[self.t_w], seen[self.t_v], shards)
-        a_shard = _shard_of(ids[self.a_v], ids[self.a_u], seen[self.a_v], shards)
-        b_shard = _shard_of(ids[self.b_v], ids[self.b_w], seen[self.b_v], shards)
-        self.t_order = np.argsort(t_shard, kind="stable")
+        t_shard = _shard_of(ids, self.t_v, lambda i: ids[self.t_u[i]] * _SPREAD + ids[self.t_w[i]], seen, shards)
+        a_shard = _shard_of(ids, self.a_v, lambda i: ids[self.a_u[i]], seen, shards)
+        b_shard = _shard_of(ids, self.b_v, lambda i: ids[self.b_w[i]], seen, shards)
+        self.t_order = np.argsort(t_shard, kind="stable").astype(np.int32)
         # pairs of frequent words come last: the others follow from the triples
-        self.a_order = np.lexsort((seen[self.a_v] >= SPLIT, a_shard))
-        self.b_order = np.lexsort((seen[self.b_v] >= SPLIT, b_shard))
-        self.t_a, self.t_b, self.t_u = a, b, t_u
-        self.shards = [(x[o], o) for x, o in ((t_shard, self.t_order), (a_shard, self.a_order), (b_shard, self.b_order))]
+        self.a_order = np.lexsort((seen[self.a_v] >= SPLIT, a_shard)).astype(np.int32)
+        self.b_order = np.lexsort((seen[self.b_v] >= SPLIT, b_shard)).astype(np.int32)
+        every = ((t_shard, self.t_order), (a_shard, self.a_order), (b_shard, self.b_order))
+        #: Where each shard's triples and pairs begin in these orders.
+        self.cuts = [np.searchsorted(x[o], np.arange(shards + 1)) for x, o in every]
 
     def requests(self, shards: int):
         """Of each shard that is asked, its number and the request."""
@@ -157,9 +177,9 @@ class _Block:
         t_count = np.bincount(self.t_of[learned], minlength=len(self.t_w))
         a_count = np.bincount(self.t_a, t_count, len(self.a_v)).astype(np.int64)
         b_count = np.bincount(self.t_b, t_count, len(self.b_v)).astype(np.int64)
-        edges = [np.searchsorted(x, np.arange(shards + 1)) for x, _ in self.shards]
+        orders = (self.t_order, self.a_order, self.b_order)
         for shard in range(shards):
-            t, a, b = (o[e[shard] : e[shard + 1]] for (_, o), e in zip(self.shards, edges, strict=True))
+            t, a, b = (o[c[shard] : c[shard + 1]] for o, c in zip(orders, self.cuts, strict=True))
             if len(t) or len(a) or len(b):
                 a, b = a[self.seen[self.a_v[a]] >= SPLIT], b[self.seen[self.b_v[b]] >= SPLIT]
                 ids = self.ids
@@ -175,9 +195,12 @@ class _Block:
         found = []
         for i, order in enumerate((self.t_order, self.a_order, self.b_order)):
             own = np.empty(len(order), np.uint8)
-            own[order] = np.concatenate([np.zeros(0, np.uint64), *[B.unpacked(x[i]) for x in codes]]).astype(np.uint8)
-            found.append(decoded(own))
+            own[order] = np.concatenate([np.zeros(0, np.uint8), *[B.unpacked(x[i]).astype(np.uint8) for x in codes]])
+            found.append(own)
         three, before, after = found
+        # a triple of a word in one shard is told by its distance to its pair
+        three = decoded(np.where((self.seen >= SPLIT)[self.t_v], three, three + before[self.t_a]))
+        before, after = decoded(before), decoded(after)
         alone = (self.seen + 0.5) / (n + 0.5 * (distinct + 1))
         total = self.seen[self.t_v] + MU
         two = after[self.t_b] + MU / total * alone[self.t_w]
@@ -244,25 +267,44 @@ def _ask_contexts(shards: int):
     return ask
 
 
-class _Asked:
-    """All requests to a shard, with words by their place in the shard's own list."""
-
-    def __init__(self, requests: list[bytes]):
-        read = [[_unpacked_rows(x, n) for x, n in zip(B.parted(r), (3, 2, 2), strict=True)] for r in requests]
+def _stretches(requests: list[bytes]):
+    """The requests to a shard in stretches of the words ``v`` in order, each of a bounded number of rows or one word."""
+    read = lambda: ([_unpacked_rows(x, n) for x, n in zip(B.parted(r), (3, 2, 2), strict=True)] for r in requests)
+    words = np.zeros(0, np.uint64)
+    for own in read():
+        words = np.unique(np.concatenate([words, *[c for columns, _, _ in own for c in columns]]))
+    before, rows = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    held = []
+    for own in read():
+        kinds = []
+        for columns, count, total in own:
+            local = [np.searchsorted(words, c).astype(np.int32) for c in columns]
+            before[local[0]] = total
+            rows += np.bincount(local[0], minlength=len(words))
+            kinds.append((*local, count.astype(np.int32 if count.max(initial=0) < 1 << 31 else np.int64)))
+        held.append(kinds)
+    at = np.cumsum(rows) // STRETCH
+    first = np.append(np.flatnonzero(np.append(True, at[1:] != at[:-1])), len(words)).tolist()
+    for lo, hi in zip(first[:-1], first[1:], strict=True):
+        yield _Stretch(words, before, [[_cut(x, lo, hi) for x in kinds] for kinds in held])
+
+
+def _cut(rows: tuple[np.ndarray, ...], first: int, last: int) -> list[np.ndarray]:
+    a, b = np.searchsorted(rows[0], [first, last])
+    return [x[a:b] for x in rows]
+
+
+class _Stretch:
+    """What all blocks ask about some words, with words by their place in the shard's list."""
+
+    def __init__(self, words: np.ndarray, before: np.ndarray, held: list[list[list[np.ndarray]]]):
+        self.words, self.m, self.before = words, len(words), before
         #: Where each block's rows of the three kinds begin, with a last entry.
-        self.edges = [np.cumsum([0, *[len(r[k][1]) for r in read]]) for k in range(3)]
-        joined = lambda k, i: np.concatenate([r[k][0][i] for r in read])
-        ids = [[joined(k, i) for i in range(n)] for k, n in enumerate((3, 2, 2))]
-        self.words = np.unique(np.concatenate([np.unique(c) for own in ids for c in own]))
-        self.m = len(self.words)
-        (self.v, self.u, self.w), (self.av, self.au), (self.bv, self.bw) = (
-            [np.searchsorted(self.words, c) for c in own] for own in ids
-        )
-        self.count, self.a_count, self.b_count = (np.concatenate([r[k][1] for r in read]) for k in range(3))
-        before = np.zeros(self.m, np.int64)
-        for k, v in enumerate((self.v, self.av, self.bv)):
-            before[v] = np.concatenate([r[k][2] for r in read])
-        self.before = before
+        self.edges = [np.cumsum([0, *[len(kinds[k][0]) for kinds in held]]) for k in range(3)]
+        joined = lambda k, i: np.concatenate([kinds[k][i] for kinds in held]).astype(np.int64)
+        self.v, self.u, self.w, self.count = (joined(0, i) for i in range(4))
+        self.av, self.au, self.a_count = (joined(1, i) for i in range(3))
+        self.bv, self.bw, self.b_count = (joined(2, i) for i in range(3))
         self.whole = before[self.v] < SPLIT
 
     def image(self) -> bytes:
@@ -287,7 +329,7 @@ class _Asked:
         )
 
     def answers(self, trie: Trie):
-        """Of each request, the codes of its triples, of the words before and of those behind."""
+        """Of each request, the codes of its triples, and those of the pairs behind it: of words whole here, and asked for."""
         m = trie.words.n
         local = trie.places(self.words)
         pair, of = np.unique(local[self.v] * m + local[self.u], return_inverse=True)
@@ -306,24 +348,28 @@ class _Asked:
         after[own] = trie.after.look_up(*np.divmod(key, m))[of_key] if len(key) else 0
         a_codes = trie.before.look_up(local[self.av], local[self.au])
         b_codes = trie.after.look_up(local[self.bv], local[self.bw])
+        three = np.where(self.whole, three - before, three)
         for i in range(len(self.edges[0]) - 1):
             t, a, b = (slice(e[i], e[i + 1]) for e in self.edges)
             v, u, w, whole = self.v[t], self.u[t], self.w[t], self.whole[t]
             key = v * m + u
             opens = np.flatnonzero(whole & (np.append(-1, key[:-1]) != key))
             _, once = np.unique((v * m + w)[whole], return_index=True)
-            yield B.joined([
-                B.packed(three[t]), B.packed(np.append(before[t][opens], a_codes[a])),
-                B.packed(np.append(after[t][whole][once], b_codes[b])),
-            ])
+            yield three[t], before[t][opens], a_codes[a], after[t][whole][once], b_codes[b]
 
 
 def _answer_contexts(folder: str | None):
     def answer(rows: pa.Table) -> pa.Table:
-        asked = _Asked(rows["data"].to_pylist())
-        trie = Trie.mapped(asked.image(), folder)
-        shard = rows["part"][0].as_py()
-        out = [(5, block, block, shard, x) for block, x in zip(rows["block"].to_pylist(), asked.answers(trie), strict=True)]
+        requests = rows["data"].to_pylist()
+        found: list[list[tuple]] = [[] for _ in requests]
+        for stretch in _stretches(requests):
+            trie = Trie.mapped(stretch.image(), folder)
+            for own, codes in zip(found, stretch.answers(trie), strict=True):
+                own.append(codes)
+        shard, out = rows["part"][0].as_py(), []
+        for block, own in zip(rows["block"].to_pylist(), found, strict=True):
+            three, a, a_hot, b, b_hot = zip(*own, strict=True)
+            out.append((5, block, block, shard, B.joined(B.packed(np.concatenate(x)) for x in (three, a + a_hot, b + b_hot))))
         return pa.Table.from_batches([B.row_batch(out)])
 
     return answer

@@ -234,14 +234,16 @@ def plain_scores(texts, train):
     return out
 
 
-@pytest.mark.parametrize("split", [1 << 20, 3])
+@pytest.mark.parametrize("split", [1 << 20, 1 << 19, 3])
 def test_lm_against_plain_counts(docs, monkeypatch, split):
-    """Also with the contexts of every repeated word split over shards."""
+    """Also with the contexts of every repeated word split over shards, and with shards cut to many stretches."""
     monkeypatch.setattr(lm_scoring, "SPLIT", split)
+    monkeypatch.setattr(lm_scoring, "STRETCH", 20)
+    monkeypatch.setattr(lm_scoring, "OFTEN", 5)
     train = F.col("doc_id") % 2 == 0
     # the workers of tasks do not see a changed limit, so with that the blocks run here
     want = plain_scores(dict(listed(docs)), lambda i: i is not None and i % 2 == 0)
-    for r in (lm_scoring.lm_scores(docs, train, ~train).collect() if split > 3 else scored_here(docs, 5)):
+    for r in (lm_scoring.lm_scores(docs, train, ~train).collect() if split == 1 << 20 else scored_here(docs, 5)):
         words, known, n, base, score = want[r["doc_id"]]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(words), known, n)
         assert r["base_score"] == pytest.approx(base)
