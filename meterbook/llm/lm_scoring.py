@@ -178,15 +178,28 @@ class _Block:
         a_count = np.bincount(self.t_a, t_count, len(self.a_v)).astype(np.int64)
         b_count = np.bincount(self.t_b, t_count, len(self.b_v)).astype(np.int64)
         orders = (self.t_order, self.a_order, self.b_order)
+        used, place = np.zeros(len(self.ids), bool), np.zeros(len(self.ids), np.uint64)
         for shard in range(shards):
             t, a, b = (o[c[shard] : c[shard + 1]] for o, c in zip(orders, self.cuts, strict=True))
             if len(t) or len(a) or len(b):
                 a, b = a[self.seen[self.a_v[a]] >= SPLIT], b[self.seen[self.b_v[b]] >= SPLIT]
-                ids = self.ids
+                kinds = (
+                    ([self.t_v[t], self.t_u[t], self.t_w[t]], t_count[t]),
+                    ([self.a_v[a], self.a_u[a]], a_count[a]), ([self.b_v[b], self.b_w[b]], b_count[b]),
+                )
+                # the request lists its words once; its rows name them by their place in the list
+                used[:] = False
+                for columns, _ in kinds:
+                    used[columns[0]] = True
+                around = np.flatnonzero(used)
+                for columns, _ in kinds:
+                    for column in columns[1:]:
+                        used[column] = True
+                own = np.flatnonzero(used)
+                place[own] = np.arange(len(own), dtype=np.uint64)
                 yield shard, B.joined([
-                    _packed_rows([ids[self.t_v[t]], ids[self.t_u[t]], ids[self.t_w[t]]], t_count[t], self.seen[self.t_v[t]]),
-                    _packed_rows([ids[self.a_v[a]], ids[self.a_u[a]]], a_count[a], self.seen[self.a_v[a]]),
-                    _packed_rows([ids[self.b_v[b]], ids[self.b_w[b]]], b_count[b], self.seen[self.b_v[b]]),
+                    B.packed(np.diff(self.ids[own], prepend=np.uint64(0))), B.packed(self.seen[around]),
+                    *[_packed_rows([place[c] for c in columns], count) for columns, count in kinds],
                 ])
 
     def log_p(self, answers: list[bytes], n: int, distinct: int) -> tuple[np.ndarray, np.ndarray]:
@@ -211,8 +224,8 @@ class _Block:
         return base, scored
 
 
-def _packed_rows(columns: list[np.ndarray], count: np.ndarray, before: np.ndarray) -> bytes:
-    """Sorted rows of word ids: each column as steps inside the run of the columns before it, and the runs' lengths."""
+def _packed_rows(columns: list[np.ndarray], count: np.ndarray) -> bytes:
+    """Sorted rows of numbers: each column as steps inside the run of the columns before it, and the runs' lengths."""
     new = np.zeros(len(count), bool)
     new[:1] = True
     body = []
@@ -229,16 +242,12 @@ def _packed_rows(columns: list[np.ndarray], count: np.ndarray, before: np.ndarra
         # how many runs of this column each run of the column before has
         each = np.diff(np.append(np.flatnonzero(fresh), len(at)))
         body += [B.packed(each), B.packed(step)]
-        if not i:
-            body.append(B.packed(before[at]))
     return B.joined([*body, B.packed(count)])
 
 
-def _unpacked_rows(data: bytes, n: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The ``n`` columns, the counts, and the count of the first column's word."""
-    listed = [B.unpacked(x) for x in B.parted(data)]
-    count = listed.pop().astype(np.int64)
-    before = listed.pop(2).astype(np.int64)
+def _unpacked_rows(data: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+    """The columns and the counts."""
+    *listed, count = [B.unpacked(x) for x in B.parted(data)]
     columns: list[np.ndarray] = []
     for each, step in zip(listed[0::2], listed[1::2], strict=True):
         each = each.astype(np.int64)
@@ -246,11 +255,9 @@ def _unpacked_rows(data: bytes, n: int) -> tuple[list[np.ndarray], np.ndarray, n
         if len(total):
             first = np.cumsum(each) - each
             total = total - np.repeat(total[first] - step[first], each)
-        if columns:  # runs of this column in each run of the one before
-            columns = [np.repeat(c, each) for c in columns]
-            before = np.repeat(before, each)
-        columns.append(total)
-    return columns, count, before
+        # runs of this column in each run of the one before
+        columns = [*(np.repeat(c, each) for c in columns), total]
+    return columns, count.astype(np.int64)
 
 
 def _rows_of(table: pa.Table) -> list[tuple[int, int, bytes]]:
@@ -269,20 +276,20 @@ def _ask_contexts(shards: int):
 
 def _stretches(requests: list[bytes]):
     """The requests to a shard in stretches of the words ``v`` in order, each of a bounded number of rows or one word."""
-    read = lambda: ([_unpacked_rows(x, n) for x, n in zip(B.parted(r), (3, 2, 2), strict=True)] for r in requests)
-    words = np.zeros(0, np.uint64)
-    for own in read():
-        words = np.unique(np.concatenate([words, *[c for columns, _, _ in own for c in columns]]))
+    parted = [B.parted(r) for r in requests]
+    ids = [np.cumsum(B.unpacked(p[0])) for p in parted]
+    words = np.unique(np.concatenate(ids))
     before, rows = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
     held = []
-    for own in read():
-        kinds = []
-        for columns, count, total in own:
-            local = [np.searchsorted(words, c).astype(np.int32) for c in columns]
-            before[local[0]] = total
-            rows += np.bincount(local[0], minlength=len(words))
-            kinds.append((*local, count.astype(np.int32 if count.max(initial=0) < 1 << 31 else np.int64)))
-        held.append(kinds)
+    for own, (_, seen, *kinds) in zip(ids, parted, strict=True):
+        local = np.searchsorted(words, own).astype(np.int32)
+        held.append([])
+        n = np.zeros(len(own), np.int64)
+        for columns, count in map(_unpacked_rows, kinds):
+            n += np.bincount(columns[0].astype(np.int64), minlength=len(own))
+            held[-1].append((*(local[c.astype(np.int64)] for c in columns), count.astype(np.int32 if count.max(initial=0) < 1 << 31 else np.int64)))
+        rows[local] += n
+        before[local[n > 0]] = B.unpacked(seen)
     at = np.cumsum(rows) // STRETCH
     first = np.append(np.flatnonzero(np.append(True, at[1:] != at[:-1])), len(words)).tolist()
     for lo, hi in zip(first[:-1], first[1:], strict=True):
@@ -295,67 +302,71 @@ def _cut(rows: tuple[np.ndarray, ...], first: int, last: int) -> list[np.ndarray
 
 
 class _Stretch:
-    """What all blocks ask about some words, with words by their place in the shard's list."""
+    """What all blocks ask about some words, with words by their place in the shard's list.
 
-    def __init__(self, words: np.ndarray, before: np.ndarray, held: list[list[list[np.ndarray]]]):
-        self.words, self.m, self.before = words, len(words), before
+    Of the distinct pairs (v, u), triples and pairs (v, w) there are keys, counts, and which of them each row asks for.
+    """
+
+    def __init__(self, words: np.ndarray, seen: np.ndarray, held: list[list[list[np.ndarray]]]):
+        self.words, self.seen = words, seen
+        self.m = m = len(words)
         #: Where each block's rows of the three kinds begin, with a last entry.
         self.edges = [np.cumsum([0, *[len(kinds[k][0]) for kinds in held]]) for k in range(3)]
         joined = lambda k, i: np.concatenate([kinds[k][i] for kinds in held]).astype(np.int64)
-        self.v, self.u, self.w, self.count = (joined(0, i) for i in range(4))
-        self.av, self.au, self.a_count = (joined(1, i) for i in range(3))
-        self.bv, self.bw, self.b_count = (joined(2, i) for i in range(3))
-        self.whole = before[self.v] < SPLIT
+        v, w, count = joined(0, 0), joined(0, 2), joined(0, 3)
+        self.whole = whole = (seen < SPLIT)[v]
+        self.n = len(v)
+        self.before, self.of_before = np.unique(
+            np.append(v * m + joined(0, 1), joined(1, 0) * m + joined(1, 1)), return_inverse=True
+        )
+        own = np.append(np.where(whole, count, 0), joined(1, 2))
+        self.n_before = np.bincount(self.of_before, own, len(self.before))
+        self.third, self.of_third = np.unique(self.of_before[: self.n] * m + w, return_inverse=True)
+        self.n_third = np.bincount(self.of_third, count, len(self.third))
+        self.after, self.of_after = np.unique(np.append((v * m + w)[whole], joined(2, 0) * m + joined(2, 1)), return_inverse=True)
+        self.n_after = np.bincount(self.of_after, np.append(count[whole], joined(2, 2)), len(self.after))
 
     def image(self) -> bytes:
         """The trie of what was seen in training."""
-        m, there = self.m, np.flatnonzero(self.count > 0)
-        v, u, w, count = self.v[there], self.u[there], self.w[there], self.count[there]
-        whole = self.whole[there]
-        share = lambda total, key: total / (self.before[key // m] + MU)
-        before, place = np.unique(np.concatenate([v * m + u, self.av * m + self.au]), return_inverse=True)
-        of = np.append(np.where(whole, count, 0), self.a_count)
-        n_before = np.bincount(place, of, len(before))
-        third, first, of_third = np.unique(place[: len(v)] * m + w, return_index=True, return_inverse=True)
-        n_third = np.bincount(of_third, count, len(third))
-        after, of_after = np.unique(np.append((v * m + w)[whole], self.bv * m + self.bw), return_inverse=True)
-        n_after = np.bincount(of_after, np.append(count[whole], self.b_count), len(after))
-        seen = n_after > 0
-        codes = np.zeros(len(before), np.uint8)
-        codes[n_before > 0] = coded(share(n_before, before)[n_before > 0])
+        m, total = self.m, self.seen + MU
+        pair, w = np.divmod(self.third, m)
+        three, after = self.n_third > 0, self.n_after > 0
+        kept = self.n_before > 0
+        kept[pair[three]] = True  # also pairs of split words, whose own count another shard may have
+        place = np.cumsum(kept) - 1
+        share = self.n_before[kept] / total[self.before[kept] // m]
+        codes = np.zeros(len(share), np.uint8)
+        codes[share > 0] = coded(share[share > 0])
         return Trie.image(
-            self.words, (before, codes), (after[seen], coded(share(n_after[seen], after[seen]))),
-            (third, coded(n_third / (self.before[v[first]] + MU))),
+            self.words, (self.before[kept], codes),
+            (self.after[after], coded(self.n_after[after] / total[self.after[after] // m])),
+            ((place[pair] * m + w)[three], coded(self.n_third[three] / total[self.before[pair[three]] // m])),
         )
 
     def answers(self, trie: Trie):
         """Of each request, the codes of its triples, and those of the pairs behind it: of words whole here, and asked for."""
-        m = trie.words.n
-        local = trie.places(self.words)
-        pair, of = np.unique(local[self.v] * m + local[self.u], return_inverse=True)
-        at, there = trie.before.find(*np.divmod(pair, m))
-        at = np.where(there, at, 0)
-        codes = np.zeros(len(pair), np.uint8)
+        local, m, n = trie.places(self.words), self.m, self.n
+        v, u = np.divmod(self.before, m)
+        at, there = trie.before.find(local[v], local[u])
+        codes = np.zeros(len(at), np.uint8)
         codes[there] = trie.before.codes[at[there]]
-        before = codes[of]
-        held = np.flatnonzero(there[of])
-        key, of_key = np.unique(at[of[held]] * m + local[self.w[held]], return_inverse=True)
-        three = np.zeros(len(self.v), np.uint8)
-        three[held] = trie.third.look_up(*np.divmod(key, m))[of_key] if len(key) else 0
-        own = np.flatnonzero(self.whole)
-        key, of_key = np.unique(local[self.v[own]] * m + local[self.w[own]], return_inverse=True)
-        after = np.zeros(len(self.v), np.uint8)
-        after[own] = trie.after.look_up(*np.divmod(key, m))[of_key] if len(key) else 0
-        a_codes = trie.before.look_up(local[self.av], local[self.au])
-        b_codes = trie.after.look_up(local[self.bv], local[self.bw])
+        before, a_codes = codes[self.of_before[:n]], codes[self.of_before[n:]]
+        pair, w = np.divmod(self.third, m)
+        held = there[pair]
+        codes = np.zeros(len(pair), np.uint8)
+        codes[held] = trie.third.look_up(at[pair[held]], local[w[held]])
+        three = codes[self.of_third]
         three = np.where(self.whole, three - before, three)
+        v, w = np.divmod(self.after, m)
+        after = trie.after.look_up(local[v], local[w])
+        wholes = np.append(0, np.cumsum(self.whole))
+        b_codes = after[self.of_after[wholes[-1] :]]
         for i in range(len(self.edges[0]) - 1):
             t, a, b = (slice(e[i], e[i + 1]) for e in self.edges)
-            v, u, w, whole = self.v[t], self.u[t], self.w[t], self.whole[t]
-            key = v * m + u
-            opens = np.flatnonzero(whole & (np.append(-1, key[:-1]) != key))
-            _, once = np.unique((v * m + w)[whole], return_index=True)
-            yield three[t], before[t][opens], a_codes[a], after[t][whole][once], b_codes[b]
+            pair, whole = self.of_before[t], self.whole[t]
+            opens = np.flatnonzero(whole & (np.append(-1, pair[:-1]) != pair))
+            once = np.unique(self.of_after[wholes[t.start] : wholes[t.stop]])
+            yield three[t], before[t][opens], a_codes[a], after[once], b_codes[b]
 
 
 def _answer_contexts(folder: str | None):
