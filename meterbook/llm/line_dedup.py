@@ -5,15 +5,16 @@ documents and the largest id, exactly, and ``filters`` has a cuckoo filter per s
 limit. Documents can be inserted and deleted: their references change the counts, and the keys that cross the limit enter or leave
 the filters, so that inserting and deleting a document gives the index before.
 
-Looking up asks the filters first. They come in groups of at most ``FILTER_BYTES``, one broadcast per group, and
-only references that may be repeated (all that are, and a few in ten thousand others) are joined to the exact counts. A
-key in a third of all documents is counted before the shuffle, and run-time splitting spreads its references in the join.
+Looking up asks the filters first: the references of a shard, dealt to as many groups as they need, meet copies of its filter, and
+only references that may be repeated (all that are, and a few in ten thousand others) are joined to the exact counts. The
+references are counted by shard and then dealt once, and no filter passes the driver. A key in a third of all documents is counted before the
+shuffle, and run-time splitting spreads its references in the join.
 
 A line's key is the line without white space at its ends, A-Z lower-cased, as 128 bits of BLAKE2b.
 
 Defined cases: a null or empty text is one empty line; each row is a document, also rows that repeat an id; a null id is
 smaller than all others; keys shorter than ``LEAST`` code points always stay; an empty table gives an empty result;
-lines end at ``\\n`` only; other columns are not read.
+lines end at ``\\n`` only; other columns are not read; ``delete`` leaves documents without an id, which no id names.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from meterbook.llm.runtime import small_batches
 from meterbook.session import materialize
 
 LEAST, DOCS = 40, 5
-#: Keys of a filter shard, and bytes of filters broadcast at a time.
-SHARD_KEYS, FILTER_BYTES = 1 << 18, 32 << 20
+#: Keys of a filter shard, and references that ask one copy of its filter.
+SHARD_KEYS, GROUP_ROWS = 1 << 18, 1 << 20
 _EDGE = b" \t\n\x0b\x0c\r"
 
 
@@ -156,40 +157,28 @@ def delete(index: LineIndex, ids: DataFrame) -> LineIndex:
     return _moved(index, left, materialize(counts))
 
 
-def may_repeat(index: LineIndex) -> DataFrame:
+def may_repeat(index: LineIndex, group_rows: int = GROUP_ROWS) -> DataFrame:
     """The references that the filters let through: every repeated one, and few others."""
-    spark = index.refs.sparkSession
-    sizes = index.filters.select("shard", F.length("image").alias("n")).orderBy("shard").toLocalIterator()
-    groups, room = [[]], FILTER_BYTES
-    for row in sizes:
-        if groups[-1] and row.n > room:
-            groups.append([])
-            room = FILTER_BYTES
-        groups[-1].append(row.shard)
-        room -= row.n
-    found = None
-    for group in groups:
-        images = index.filters.where(F.col("shard").isin(group)).collect()
-        shared = spark.sparkContext.broadcast({r.shard: bytes(r.image) for r in images})
-        hits = index.refs.mapInArrow(_probe(shared, index.shards), index.refs.schema)
-        found = hits if found is None else found.unionByName(hits)
-    return found
-
-
-def _probe(shared, shards: int):
-    def probe(batches):
-        filters = {s: Cuckoo.load(x) for s, x in shared.value.items()}
-        for batch in batches:
-            a, b = (batch.column(i).to_numpy() for i in (0, 1))
-            shard = b % shards
-            hit = np.zeros(len(a), bool)
-            for s, held in filters.items():
-                own = np.flatnonzero(shard == s)
-                hit[own] = held.holds(a[own].view(np.uint64), b[own].view(np.uint64))
-            if hit.any():
-                yield batch.filter(pa.array(hit))
-
-    return probe
+    small_batches(index.refs.sparkSession)
+    # the rows of a stored table have the same numbers whenever they are read
+    nth = F.monotonically_increasing_id().alias("nth")
+    sharded = index.refs.select("a", "b", "doc_id", _shard(index.shards), nth)
+    # only references whose shard has a filter are dealt; a shard gets groups by its own number of references
+    asked = index.refs.groupBy(_shard(index.shards)).agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("groups"))
+    load = materialize(asked.join(index.filters.select("shard"), "shard"))
+    dealt = F.pmod("nth", "groups").alias("part")
+    refs = sharded.join(load, "shard").select("a", "b", "doc_id", "shard", dealt)
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("groups") - 1)).alias("part")
+    filters = index.filters.join(load, "shard").select("shard", "image", parts)
+    met = refs.groupBy("shard", "part").cogroup(filters.groupBy("shard", "part"))
+    return met.applyInArrow(_probe, index.refs.schema)
+
+
+def _probe(refs: pa.Table, filters: pa.Table) -> pa.Table:
+    own = refs.select(["a", "b", "doc_id"])
+    if not len(filters):
+        return own.slice(0, 0)
+    return own.filter(pa.array(Cuckoo.load(filters["image"][0].as_py()).holds(*_halves(own))))
 
 
 def _cleaned(least: int):

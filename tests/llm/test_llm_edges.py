@@ -121,6 +121,15 @@ def test_line_index_is_reversible(spark, docs):
     assert rows(line_dedup.may_repeat(back)) == rows(line_dedup.may_repeat(first))
 
 
+def test_filters_meet_references_in_groups(docs):
+    index = line_dedup.build_index(docs)
+    repeated = index.counts.where(f"n >= {line_dedup.DOCS}")
+    want = rows(index.refs.join(repeated, ["a", "b"], "left_semi"))
+    for group_rows in (1, 3, 1 << 20):
+        got = rows(line_dedup.may_repeat(index, group_rows))
+        assert len(want) > 3 and not [r for r in want if got.count(r) != want.count(r)]
+
+
 def test_cuckoo():
     keys = np.random.default_rng(1).integers(0, 1 << 63, (2, 50_000)).astype(np.uint64)
     held = Cuckoo.of(*keys)
