@@ -24,14 +24,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from meterbook.llm import blocks as B
 from meterbook.llm.elias_fano import Trie
-from meterbook.llm.runtime import parts, small_batches
+from meterbook.llm.runtime import small_batches, text_shards
 from meterbook.llm.textnum import mixed, numbers, sums, words_of
 from meterbook.session import materialize, scratch_path
 
 #: Mass of the word's own probability and of that after one word, occurrences of a context per shard, and the smallest log10 kept.
 MU, MU3, SPLIT, FLOOR = 100.0, 10.0, 1 << 20, 12.0
-#: Bytes of text for each shard: what bounds a task, whatever the input. Rows of a shard that one trie is built for.
-SHARD_BYTES, STRETCH = 32 << 20, 1 << 19
+#: Rows of a shard that one trie is built for.
+STRETCH = 1 << 19
 #: Words of a block that get the smallest numbers in it, so that the list of its words compresses well.
 OFTEN = 4096
 #: The number of the end token; words have mixed numbers.
@@ -411,13 +411,12 @@ def _map_folder(docs: DataFrame) -> str | None:
 
 def lm_scores(docs: DataFrame, train: Column, held_out: Column, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each row of ``docs``; the model learns from the rows where ``train`` is true."""
-    spark = small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col(id_column).alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"),
         F.coalesce(train, F.lit(False)).alias("train"), F.col(text).cast("string").alias("text"),
     )
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = max(parts(spark), -(-size // SHARD_BYTES))
+    shards = text_shards(rows)
     stored = materialize(rows.mapInArrow(_ask_words(shards), B.ROWS), by="kind")
     names = ["kind", "key", "block", "part", "data"]
     # as many tasks as shards: a task's share does not grow with the input

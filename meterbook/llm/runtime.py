@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: Rows of one Arrow batch, and its bytes where Spark knows the setting: what a Python worker holds at a time.
 BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+#: Bytes of text for each shard of an operator that asks shards: what bounds a task, whatever the input.
+SHARD_BYTES = 32 << 20
 #: The class of white space of all operators here, as Java, Python and RE2 read it.
 SPACE, WORD = r"[\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]+"
 TOKENIZER = "word_bpe_49k.json"
@@ -64,6 +66,12 @@ def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_shards(rows: DataFrame, text: str = "text") -> int:
+    """Shards for all text of ``rows``, as many as there are shuffle partitions at least."""
+    size = rows.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    return max(parts(rows.sparkSession), -(-size // SHARD_BYTES))
+
+
 def unused(frame: DataFrame, *names: str) -> list[str]:
     """The names, longer where a column of the frame has one already."""
     taken = {c.lower() for c in frame.columns}

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from meterbook.llm import blocks as B
 from meterbook.llm.pretokens import SPECIAL, pieces_of
-from meterbook.llm.runtime import TOKENIZER, parts, small_batches, tokenizer_path
+from meterbook.llm.runtime import TOKENIZER, small_batches, text_shards, tokenizer_path
 from meterbook.llm.textnum import numbers, sums, text_bytes, words_of
 from meterbook.session import materialize
 
@@ -85,14 +85,15 @@ def token_counts(
     docs: DataFrame, id_column: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, limit: int = LIMIT
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit``, a row for each row of ``docs``."""
-    spark = small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text).alias("text"))
-    stored = materialize(rows.mapInArrow(_block(parts(spark)), B.ROWS), by="kind")
-    answers = (
-        stored.where("kind = 1").groupBy("key").applyInArrow(_shard(tokenizer), B.ROWS)
-    )
+    shards = text_shards(rows)
+    stored = materialize(rows.mapInArrow(_block(shards), B.ROWS), by="kind")
+    # as many tasks as shards: a task's share does not grow with the input
+    dealt = lambda frame: frame.repartition(shards, "key").groupBy("key")
+    answers = dealt(stored.where("kind = 1")).applyInArrow(_shard(tokenizer), B.ROWS)
     id_type = rows.schema["doc_id"].dataType.simpleString()
     own = stored.where("kind = 0").select(*answers.columns)
-    return own.unionByName(answers).groupBy("key").applyInArrow(
+    return dealt(own.unionByName(answers)).applyInArrow(
         _sum(limit), f"doc_id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean"
     )
