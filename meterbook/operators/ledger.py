@@ -80,7 +80,9 @@ def _line_hits(flagged: DataFrame, lines: DataFrame) -> DataFrame:
     """
     asked = flagged.filter("paid or linked").select("trans_num").distinct().withColumn("asked", F.lit(True))
     blank = flagged.filter("paid and trans_num is null").select("account").distinct().withColumn("asked_all", F.lit(True))
-    found = join_keyed(join_keyed(lines.select("account", "trans_num"), asked, ["trans_num"]), blank, ["account"])
+    # only distinct pairs are kept, so they are made distinct first: a frequent number then brings one row per account
+    pairs = lines.select("account", "trans_num").distinct()
+    found = join_keyed(join_keyed(pairs, asked, ["trans_num"]), blank, ["account"])
     return found.filter("asked or asked_all or trans_num is null").select("account", "trans_num").distinct()
 
 
